@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, partitions
+from .common import BLANKS, partitions, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -36,6 +36,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Da
     ranged = hashed.repartitionByRange(n, "h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id", "position")
     # the range holds all rows of a key and document, so this needs no further exchange
     held = ranged.groupBy("h1", "h2", "doc_id").agg(F.collect_list(F.struct("text_hash", "position")).alias("places"))
+    held = stored(held, "lines")  # read for the counts and again for the places
     frequent = held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs).drop("n")
     lost = held.join(frequent, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", F.inline("places"))
     word = lost.groupBy("doc_id", "text_hash", F.expr("position div 64").cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("position") % 64)).alias("bits"))
