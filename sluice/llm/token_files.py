@@ -136,7 +136,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, keeps_b
         if seen[0]:
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([path]), pa.array([seen[0]]), pa.array([seen[1]])], ["part", "path", "docs", "tokens"])
 
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()]
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc()]
     ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
     parts = stored(ranged.mapInArrow(write, schema), "manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
@@ -167,5 +167,5 @@ def token_round_trip(docs: DataFrame, vocabulary: str, end_id: int = 0, keeps_bl
     """Write all documents' ids, read the files back, and return doc_id, start, n_tokens, ids_crc32 per document.
 
     Null or empty texts have the end id alone; null doc_ids come last; repeated rows are written each, ties of doc_id
-    in order of their texts; an empty table gives no rows; other columns are not read."""
+    in order of a hash of their texts; an empty table gives no rows; other columns are not read."""
     return read_token_files(write_token_files(docs, vocabulary, end_id, keeps_blanks))
