@@ -109,16 +109,16 @@ def rules() -> dict:
     }
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, anchor: float = 0.05):
+def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, anchor: float = 1.0):
     """EM over vote patterns: (share of good documents, per rule P(good vote | good), P(good vote | bad), posteriors).
 
     Votes are independent given the class, and an abstention says nothing.  Accuracies start above chance and are held
-    there by a prior worth `anchor` of the documents, so the classes cannot swap, a rule that never votes stays neutral,
+    there by a prior worth `anchor` times the documents, so the classes cannot swap, a rule that never votes stays neutral,
     and the verdicts are alike at every size of the corpus."""
     votes = np.asarray(patterns, float)
     counts = np.asarray(counts, float)
     up, down = votes == 1, votes == -1
-    hit0, false0, weight = 0.9, 0.4, max(1.0, anchor * counts.sum())
+    hit0, false0, weight = 0.95, 0.4, max(1.0, anchor * counts.sum())
     share, hit, false = 0.8, np.full(votes.shape[1], hit0), np.full(votes.shape[1], false0)
 
     def posterior():
