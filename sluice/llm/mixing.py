@@ -153,7 +153,8 @@ def mix(docs: DataFrame, seed: int = 17, shards: int = 64, **options) -> DataFra
         lambda e: F.struct(e.alias("epoch"), F.array_min(F.transform(of(e), lambda d: d["shard"])).alias("shard"), F.aggregate(of(e), F.lit(0).cast("long"), lambda a, d: a + d["words"]).alias("words")),
     )
     drawn = rows.select(*own, "size", F.inline(epochs))
-    part = F.call_function("regexp_extract", F.col("text"), F.concat(F.lit("^(?:[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++){"), F.col("words").cast("string"), F.lit("}")), F.lit(0))
+    # cut after each word, without losing a blank
+    part = F.array_join(F.slice(F.split("text", "(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])", -1), 1, F.col("words").cast("int")), "")
     drawn = drawn.withColumn("text", F.when(F.col("words") >= F.col("size"), F.col("text")).otherwise(part))
     if "n_chars" in own:
         drawn = drawn.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

@@ -402,7 +402,7 @@ def event_seconds(spark, d):
     return events(spark, d).withColumn("at", F.expr("at div 1000000"))
 
 
-@frame(f"with e as ({_SECONDS}), m as (select *, case when at - lag(at) over (partition by user_id order by at) <= 18000 then 0 else 1 end as n from e), g as (select *, sum(n) over (partition by user_id order by at range unbounded preceding) as session from m) select user_id, session::bigint as session, min(at) as first_at, max(at) as last_at, count(*) as n, count(*) filter (where event_type = 'click') as clicks from g group by user_id, session")
+@frame(f"""with e as ({_SECONDS}), m as (select *, case when "at" - lag("at") over (partition by user_id order by "at") <= 18000 then 0 else 1 end as n from e), g as (select *, sum(n) over (partition by user_id order by "at" range unbounded preceding) as session from m) select user_id, session::bigint as session, min("at") as first_at, max("at") as last_at, count(*) as n, count(*) filter (where event_type = 'click') as clicks from g group by user_id, session""")
 def session_islands(spark, d):
     return periods.sessions(event_seconds(spark, d), ["user_id"], "at", 18000, F.count_if(F.col("event_type") == "click").alias("clicks"))
 
