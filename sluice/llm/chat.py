@@ -61,7 +61,8 @@ class Hmm:
     def emit(self, text: str | None) -> np.ndarray:
         rows = features(text)
         none = self.mark[""]
-        return np.stack([self.mark.get(m, none) + self.first[f] + self.length[n] + self.question[q] for m, f, n, q in rows])
+        # a marked line may begin a turn anywhere in a record
+        return np.stack([(self.mark.get(m, none) if m else none + self.first[f]) + self.length[n] + self.question[q] for m, f, n, q in rows])
 
 
 def fit(turns: DataFrame, smooth: float = 0.5) -> Hmm:

@@ -58,6 +58,8 @@ class Model:
 
     def predict(self, texts: list[str | None]):
         """(language, score, rejected) for each text; a text without a letter is `und` with score 0."""
+        if not self.languages:
+            return [(UNKNOWN, 0.0, True)] * len(texts)
         sound = [t if t and any(map(str.isalpha, t)) else "" for t in texts]
         out = []
         for lo, hi in slices(sound, 150_000):
@@ -68,7 +70,7 @@ class Model:
                 top = cos[np.arange(len(some)), best]
                 for t, k, x in zip(some, best, top):
                     score = min(1.0, max(0.0, float(x)))
-                    out.append((self.languages[k], score, bool(x < self.reject_below[k])) if t and self.languages else (UNKNOWN, 0.0, True))
+                    out.append((self.languages[k], score, bool(x < self.reject_below[k])) if t else (UNKNOWN, 0.0, True))
         return out
 
 
