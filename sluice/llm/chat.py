@@ -87,6 +87,7 @@ def fit(turns: DataFrame, smooth: float = 0.5) -> Hmm:
     table = lines.groupBy("state", "mark", "first", "length", "question").agg(F.sum("n").alias("n")).collect()
     marks = ["", *sorted(set(MARKERS.values()) | set(roles))]
     mark, first, length, question = (np.full((k, 2 * n), smooth) for k in (len(marks), 2, LENGTHS, 2))
+    mark *= 0.002  # a marker of another role is next to impossible, however rare the role
     inner = np.full(2 * n, smooth)
     for r in table:
         s, c = r["state"], r["n"]
