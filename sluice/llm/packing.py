@@ -89,7 +89,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id:
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
     def cut(batches):
-        encode, end = encoder(vocabulary, keeps_blanks).encode, np.uint32(end_id).tobytes()
+        encode, end = encoder(vocabulary, keeps_blanks, 120_000).encode, np.uint32(end_id).tobytes()
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for lo, hi in slices(texts):

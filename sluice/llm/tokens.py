@@ -107,10 +107,10 @@ class WordEncoder:
 _ENCODERS: dict = {}
 
 
-def encoder(path: str, keeps_blanks: bool) -> WordEncoder:
-    """One encoder for each Python worker, so its cache lives over tasks."""
+def encoder(path: str, keeps_blanks: bool, capacity: int = 400_000) -> WordEncoder:
+    """One encoder for each Python worker, so its cache lives over tasks; capacity bounds what idle workers hold."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path, keeps_blanks)
+        _ENCODERS[path] = WordEncoder(path, keeps_blanks, capacity)
     return _ENCODERS[path]
 
 
