@@ -84,12 +84,12 @@ def slots(patterns: list[tuple[tuple[int, ...], int]]):
     return sorted(out)
 
 
-def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 2, keeps_blanks: bool = False, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 2, keeps_blanks: bool = False, text: str = "text", doc_id: str = "doc_id", cache_words: int = 400_000) -> DataFrame:
     """Each text's ids and end id, cut every `capacity` ids: doc_id, start, length, ids_crc32, doc_tokens."""
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
     def cut(batches):
-        encode, end = encoder(vocabulary, keeps_blanks, 120_000).encode, np.uint32(end_id).tobytes()
+        encode, end = encoder(vocabulary, keeps_blanks, cache_words).encode, np.uint32(end_id).tobytes()
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for lo, hi in slices(texts):
@@ -113,14 +113,14 @@ def rank_in_length(pieces: DataFrame) -> DataFrame:
     return pieces.withColumn("nth", F.row_number().over(within)).join(firsts, ["length", "part"]).withColumn("rank", F.col("first") + F.col("nth") - 1).drop("part", "nth", "first")
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 2, keeps_blanks: bool = False) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 2, keeps_blanks: bool = False, cache_words: int = 400_000) -> DataFrame:
     """Pack every document's ids into sequences of at most `capacity`.
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.  A null or empty text has
     its end id alone; a null doc_id stays null; repeated rows are packed each; an empty table gives no rows; other
     columns of the input, whatever their names, are not read.  The pieces (five numbers each) are written once, so
     the texts are encoded once and a lost executor costs no more than its own tasks."""
-    pieces = stored(token_pieces(docs, vocabulary, capacity, end_id, keeps_blanks), "pieces")
+    pieces = stored(token_pieces(docs, vocabulary, capacity, end_id, keeps_blanks, cache_words=cache_words), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
     table = np.array(slots(pack_histogram(histogram, capacity)), np.int64).reshape(-1, 5)
     # lengths are at most capacity, so a key of length and rank orders the slots
