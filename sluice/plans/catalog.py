@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import periods, recon, tables
+from ..sources import stores
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -417,7 +418,7 @@ def join_time_bucket_band(spark, d):
 @frame("with recursive h as (select c_custkey as child, c_custkey // 4 as ancestor, 1 as level from customer where c_custkey <> c_custkey // 4 union all select h.child, c.c_custkey // 4, h.level + 1 from h join customer c on h.ancestor = c.c_custkey and c.c_custkey <> c.c_custkey // 4 where h.level < 10 and h.child <> c.c_custkey // 4) select child, ancestor, level from h")
 def hierarchy_levels(spark, d):
     edges = table(spark, d, "customer").select("c_custkey", F.expr("c_custkey div 4").alias("up"))
-    return periods.hierarchy(edges, "c_custkey", "up", 10, lambda df: df.persist())
+    return periods.hierarchy(edges, "c_custkey", "up", 10, stores.materialize)
 
 
 @frame("with recursive h as (select c_custkey as child, c_custkey // 4 as ancestor, 1 as level from customer where c_custkey <> c_custkey // 4 union all select h.child, c.c_custkey // 4, h.level + 1 from h join customer c on h.ancestor = c.c_custkey and c.c_custkey <> c.c_custkey // 4 where h.level < 10) select child, string_agg(ancestor::varchar, '>' order by level) as path, max(level) as depth from h group by child")
@@ -464,4 +465,4 @@ def row_filter_admin(spark, d):
     return periods.row_filter(rows, access, "b@x", "project_id", 10).select("o_orderkey")
 
 
-from . import statements  # noqa: E402,F401  registers the queries that are one SQL text
+from . import feeds, statements  # noqa: E402,F401  queries of other modules

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from sluice.operators import periods, recon, tables
 from sluice.plans import catalog
+from sluice.sources import stores
+from sluice.streaming import feeds
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -109,3 +111,49 @@ def test_hierarchy_cuts_cycles(spark):
     df = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "c int, p int")
     got = sorted(map(tuple, periods.hierarchy(df, "c", "p", 10, lambda x: x.persist()).collect()))
     assert got == [(1, 2, 1), (1, 3, 2), (2, 1, 2), (2, 3, 1), (3, 1, 1), (3, 2, 2)]
+
+
+def test_jdbc_ranges(spark, tmp_path):
+    url = f"jdbc:derby:memory:{tmp_path.name};create=true"
+    rows = spark.range(100).selectExpr("id as k", "cast(id * 2 as string) as v")
+    rows.write.format("jdbc").option("url", url).option("dbtable", "t").option("driver", "org.apache.derby.jdbc.EmbeddedDriver").save()
+    got = stores.read_jdbc(spark, url, 'select * from t where "k" < 90', "k", 0, 90, 4, driver="org.apache.derby.jdbc.EmbeddedDriver")
+    assert got.columns == ["k", "v"] and got.rdd.getNumPartitions() == 4
+    assert sorted(r["k"] for r in got.collect()) == list(range(90))
+
+
+def test_jdbc_urls():
+    assert stores.jdbc_url("mssql", "h", "d", encrypt="true") == "jdbc:sqlserver://h:1433;databaseName=d;encrypt=true"
+    assert stores.jdbc_url("oracle", "h", "d") == "jdbc:oracle:thin:@//h:1521/d"
+    assert stores.jdbc_url("snowflake", "h", "d", warehouse="w") == "jdbc:snowflake://h/?db=d&warehouse=w"
+    with pytest.raises(ValueError):
+        stores.jdbc_url("other", "h", "d")
+
+
+def test_increment_repeats_and_empty(spark, tmp_path):
+    store, folder = stores.WatermarkStore(spark, f"{tmp_path}/marks"), f"{tmp_path}/t"
+    df = spark.createDataFrame([(1,), (2,), (3,)], "k long")
+    assert stores.load_increment(store, "t", df.limit(0), "k", folder, 1) == 0 and store.last("t") is None
+    assert stores.load_increment(store, "t", df.where("k < 3"), "k", folder, 2) == 2
+    assert stores.load_increment(store, "t", df, "k", folder, 3) == 1 and store.last("t") == "3"
+    assert spark.read.parquet(folder).count() == 3
+
+
+def test_load_all_reports_failures(spark, tmp_path):
+    def bad():
+        raise RuntimeError("no such source")
+
+    got = {r["table_name"]: (r["status"], r["n_rows"]) for r in stores.load_all(spark, {"a": lambda: spark.range(5), "b": bad}, str(tmp_path), retries=1).collect()}
+    assert got == {"a": ("ok", 5), "b": ("failed", 0)}
+
+
+def test_change_table_takes_late_changes(spark, tmp_path):
+    for i, rows in enumerate([[(1, 5, "c")], [(1, 2, "a"), (1, 3, "b"), (2, 1, "x")]]):
+        spark.createDataFrame(rows, "k long, seq long, v string").coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+        if i == 0:
+            stream = lambda: feeds.file_stream(spark, f"{tmp_path}/in/*/*.parque[t]", "k long, seq long, v string", 1)
+    changes = feeds.ChangeTable(f"{tmp_path}/s2", feeds.scd2_step(["k"], "seq", ["v"], F.lit(False))).run(stream())
+    got = sorted(map(tuple, feeds.versions(changes, ["k"], "seq", ["v"]).collect()))
+    assert got == [(1, "a", 2, 3), (1, "b", 3, 5), (1, "c", 5, None), (2, "x", 1, None)]
+    top = feeds.ChangeTable(f"{tmp_path}/s1", feeds.scd1_step(["k"], "seq", ["v"], F.col("v") == "x")).run(stream())
+    assert sorted(map(tuple, top.collect())) == [(1, 5, "c", False), (2, 1, "x", True)]
