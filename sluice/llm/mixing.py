@@ -82,7 +82,7 @@ def _literal(spark, rows: list[tuple], schema: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{kind}>>")))
 
 
-def mix_draws(docs: DataFrame, turns: tuple = TURNS, share: float = 1.5, most: float = 2.0, block_words: int = 32, shards: int = 64, seed: int = 17) -> DataFrame:
+def mix_draws(docs: DataFrame, turns: tuple = TURNS, share: float = 1.5, most: float = 2.0, block_words: int = 32, shards: int | None = None, shard_words: int = 16_000_000, seed: int = 17) -> DataFrame:
     """Every row of docs with size, source_size, target, taken and draws (shard, epoch, from_word, words) beside its columns.
 
     Sources stand in code-point order, null last, and weigh `turns` in turn.  A source owes round(target /
@@ -91,7 +91,13 @@ def mix_draws(docs: DataFrame, turns: tuple = TURNS, share: float = 1.5, most: f
     have size 0 and are never drawn.  The order on the line is by md5 of seed and doc_id, ties by a hash of the text;
     identical rows are interchangeable, and all rows count, repeated or not.  Null doc_ids and sources are values like
     others; an empty table gives no rows; clashing names of added columns are replaced.  Weights are given per source
-    on the driver, so the number of sources must fit there."""
+    on the driver, so the number of sources must fit there.  Unless given, shards are so many that each takes about
+    shard_words words, 64 at least; the plan holds a run per source and shard."""
+    return _planned(docs, turns, share, most, block_words, shards, shard_words, seed)[0]
+
+
+def _planned(docs: DataFrame, turns: tuple = TURNS, share: float = 1.5, most: float = 2.0, block_words: int = 32, shards: int | None = None, shard_words: int = 16_000_000, seed: int = 17) -> tuple[DataFrame, int]:
+    """The rows of mix_draws and the number of shards."""
     spark = docs.sparkSession
     own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "draws")]
     mark = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
@@ -102,6 +108,7 @@ def mix_draws(docs: DataFrame, turns: tuple = TURNS, share: float = 1.5, most: f
     totals = sorted((r["__source"] == "n", r["__source"], r["w"]) for r in sums.groupBy("__source").agg(F.sum("words").alias("w")).collect())
     sizes = [t[2] for t in totals]
     targets = fill_targets(sizes, [turns[i % len(turns)] for i in range(len(sizes))], share, most)
+    shards = shards or max(64, math.ceil(sum(targets) / shard_words))
     runs: list[list] = [[] for _ in sizes]
     at = [0] * len(sizes)
     for shard, counts in enumerate(splitting_tree([round(t / block_words) for t in targets], shards, seed) if sizes else []):
@@ -112,13 +119,20 @@ def mix_draws(docs: DataFrame, turns: tuple = TURNS, share: float = 1.5, most: f
             at[i] += n
     owed = _literal(spark, [(t[1], t[2], g, r) for t, g, r in zip(totals, targets, runs)], "__source string, source_size bigint, target double, runs array<struct<shard:int;lo:bigint;hi:bigint>>")
     before = Window.partitionBy("__source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = sums.select("__source", "__bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("__first"))
+    firsts = sums.select("__source", "__bucket", "words", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("__first"))
+    firsts = firsts.join(F.broadcast(owed), "__source")  # one row a source
+    # of the runs of a source, a bucket keeps those it meets, so a document looks at few of them
+    firsts = firsts.withColumn("runs", _meeting(F.col("runs"), F.col("__first"), F.col("words"), F.col("source_size"), most)).drop("words")
     within = Window.partitionBy("__source", "__bucket").orderBy("__mark", "__text", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("__before", F.coalesce(F.sum("size").over(within), F.lit(0))).join(firsts, ["__source", "__bucket"])
-    placed = placed.join(F.broadcast(owed), "__source")  # one row a source
     draws = _draws(F.col("runs"), F.col("__first") + F.col("__before"), F.col("size"), F.col("source_size"), most)
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda a, x: a + x["words"])
-    return placed.withColumn("draws", draws).select(*own, "size", "source_size", "target", taken.alias("taken"), "draws")
+    return placed.withColumn("draws", draws).select(*own, "size", "source_size", "target", taken.alias("taken"), "draws"), shards
+
+
+def _meeting(runs: Column, lo: Column, words: Column, line: Column, most: float) -> Column:
+    """The runs that share a word with [lo, lo + words) on any epoch's copy of the line."""
+    return F.filter(runs, lambda r: F.exists(F.array(*[F.lit(e) for e in range(math.ceil(most))]), lambda e: (r["lo"] < lo + e * line + words) & (r["hi"] > lo + e * line)))
 
 
 def _draws(runs: Column, lo: Column, size: Column, line: Column, most: float) -> Column:
@@ -140,12 +154,12 @@ def mix_sizes(docs: DataFrame, **options) -> DataFrame:
     return mix_draws(docs.select("doc_id", "source", "text"), **options).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def mix(docs: DataFrame, seed: int = 17, shards: int = 64, **options) -> DataFrame:
+def mix(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     """The mixed rows themselves: each draw of a document is a row with docs' own columns.
 
     Rows are dealt to shards and shuffled there by a seeded key; a document at the edge of two shards goes to the first
     of them, and the one at the end of a source's line keeps only the words drawn."""
-    rows = mix_draws(docs, seed=seed, shards=shards, **options)
+    rows, shards = _planned(docs, seed=seed, **options)
     own = [c for c in rows.columns if c not in ("size", "source_size", "target", "taken", "draws")]
     of = lambda e: F.filter("draws", lambda d: d["epoch"] == e)
     epochs = F.transform(
