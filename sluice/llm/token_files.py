@@ -110,7 +110,7 @@ class TokenFile:
         self.file.close()
 
 
-def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, keeps_blanks: bool = True, folder: str | None = None, frame_bytes: int = 1 << 18) -> DataFrame:
+def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, keeps_blanks: bool = True, folder: str | None = None, frame_bytes: int = 1 << 18, cache_words: int = 1_000_000) -> DataFrame:
     """Encode every text, append the end id and write files in ascending doc_id order (null ids last).
 
     Returns the manifest: part, path, docs, tokens, start (ids in all files before it).  File names come from the
@@ -120,7 +120,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, keeps_b
     schema = "part int, path string, docs long, tokens long"
 
     def write(batches):
-        encode, end, part, seen = encoder(vocabulary, keeps_blanks).encode, np.uint32(end_id).tobytes(), TaskContext.get().partitionId(), [0, 0]
+        encode, end, part, seen = encoder(vocabulary, keeps_blanks, cache_words).encode, np.uint32(end_id).tobytes(), TaskContext.get().partitionId(), [0, 0]
 
         def documents():
             for batch in batches:
