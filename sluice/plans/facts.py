@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from .catalog import both
+from ..functions import sql
+from .catalog import both, frame, table
 from .statements import MONEY
 
 _N = "cast({} as bigint)"
@@ -56,3 +57,17 @@ both("merge_old_data", "select o_orderkey + 1000000 as k, c_custkey as new_worke
 both("expand_via_group", "select distinct c.c_custkey as worker, s.s_suppkey as manager from {customer} c join {supplier} s on c.c_nationkey = s.s_nationkey")
 both("final_status", "select g, max(case when kind = 'missing' then n else 0 end) = 0 as row_ok, max(case when kind = 'mismatch' then n else 0 end) = 0 as column_ok from (select o_orderstatus as g, case when o_orderkey % 97 = 0 then 'missing' when o_orderkey % 89 = 0 then 'mismatch' else 'match' end as kind, count(*) as n from {orders} group by 1, 2) group by g")
 both("gold_views", "select c.c_custkey, c.c_name, n.n_name, r.r_name, o.o_orderkey as latest_order from {customer} c left join {nation} n on n.n_nationkey = c.c_nationkey left join {region} r on r.r_regionkey = n.n_regionkey left join (select o_custkey, max(o_orderkey) as o_orderkey from {orders} group by 1) o on o.o_custkey = c.c_custkey")
+
+# approximate aggregates and samples: what they promise, held against the exact value
+both("agg_approx_count_distinct", "select o_orderstatus, abs(approx_count_distinct(o_custkey, 0.02) - count(distinct o_custkey)) <= 0.1 * count(distinct o_custkey) as within from {orders} group by o_orderstatus", "select o_orderstatus, true as within from {orders} group by o_orderstatus")
+both("agg_approx_percentile", "select o_orderstatus, abs(approx_percentile(o_custkey, 0.5, 10000) - median(o_custkey)) <= 0.02 * (max(o_custkey) - min(o_custkey)) + 1 as within from {orders} group by o_orderstatus", "select o_orderstatus, true as within from {orders} group by o_orderstatus")
+both("agg_approx_top_k", "select size(approx_top_k(event_type, 3)) as n from {events}", "select least(3, count(distinct event_type))::int as n from {events}")
+both("sample_default", "select count(*) as n from (select * from {orders} limit 50)")
+both("tablesample_percent", "select count(*) between 0.05 * max(total) and 0.15 * max(total) as within from (select o_orderkey from {orders} tablesample (10 percent) repeatable (7)) cross join (select count(*) as total from {orders})", "select true as within")
+both("tablesample_join", "select count(*) between 0.3 * max(total) and 0.7 * max(total) as within from (select * from (select o_orderkey from {orders} join {customer} on o_custkey = c_custkey) tablesample (50 percent) repeatable (7)) cross join (select count(*) as total from {orders})", "select true as within")
+
+
+@frame("select s_suppkey, greatest(abs(s_suppkey % 11 - 5), abs(s_nationkey - 12)) as d, case when s_nationkey = 0 then null else s_suppkey::double / s_nationkey end as r from supplier")
+def register_functions(spark, d):
+    sql.register(spark)
+    return table(spark, d, "supplier").selectExpr("s_suppkey", "sluice_cell_distance(s_suppkey % 11, s_nationkey, 5, 12) as d", "sluice_safe_ratio(s_suppkey, s_nationkey) as r")
