@@ -56,8 +56,9 @@ class WordEncoder:
         for w in words.difference(known):
             if w in old:
                 known[w] = old[w]
-            else:  # a letter and a full stop or comma are always separate pre-tokens
-                cut = len(w) > 1 and w[-1] in _CUT and w[-2].isalpha() and w[-2] < "\u0250"
+            else:  # a letter and a full stop or comma are always separate pre-tokens, but for the one letter that is
+                # lower-cased to two characters, the second of them a mark
+                cut = len(w) > 1 and w[-1] in _CUT and w[-2].isalpha() and w[-2] < "\u0250" and w[-2] != "\u0130"
                 base[w] = w[:-1] if cut else w
         fresh = list(set(base.values()).difference(known))
         known.update(zip(fresh, self._whole([before + w for w in fresh])))
