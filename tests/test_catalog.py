@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.operators import periods, recon, tables
+from sluice.operators import periods, recon, tables, zones
 from sluice.plans import catalog
 from sluice.sources import stores
 from sluice.streaming import feeds
@@ -157,3 +157,21 @@ def test_change_table_takes_late_changes(spark, tmp_path):
     assert got == [(1, "a", 2, 3), (1, "b", 3, 5), (1, "c", 5, None), (2, "x", 1, None)]
     top = feeds.ChangeTable(f"{tmp_path}/s1", feeds.scd1_step(["k"], "seq", ["v"], F.col("v") == "x")).run(stream())
     assert sorted(map(tuple, top.collect())) == [(1, 5, "c", False), (2, 1, "x", True)]
+
+
+def test_zones_on_odd_rings(spark):
+    square = [(1, 0, 0.0, 0.0), (1, 1, 0.0, 4.0), (1, 2, 4.0, 4.0), (1, 3, 4.0, 0.0)]  # clockwise, open
+    line = [(2, 0, 1.0, 1.0), (2, 1, 3.0, 3.0), (2, 2, None, 3.0)]
+    v = spark.createDataFrame(square + line, "zone_id long, seq int, x double, y double")
+    m = {r["zone_id"]: r for r in zones.measures(v.where("zone_id = 1")).collect()}
+    assert (m[1]["signed_area"], m[1]["area"], m[1]["perimeter"], m[1]["cx"], m[1]["cy"]) == (-16.0, 16.0, 16.0, 2.0, 2.0)
+    turned = zones.measures(zones.fix_orientation(v.where("zone_id = 1"))).first()
+    assert turned["signed_area"] == 16.0
+    p = spark.createDataFrame([(1, 2.0, 2.0), (1, 2.0, 2.0), (2, 9.0, 9.0), (3, None, 1.0)], "id long, x double, y double")
+    assert sorted(map(tuple, zones.points_in_zones(p, v, "id", 1.5).collect())) == [(1, 1)]
+    assert {(r[0], r[1]) for r in zones.assign(p, v, "id", 1.5).collect()} == {(1, 1), (2, None), (3, None)}
+    ok = {r["zone_id"]: r for r in zones.validity(v).collect()}
+    assert (ok[1]["closed"], ok[1]["few"], ok[1]["bad"]) == (False, False, 0) and (ok[2]["few"], ok[2]["bad"]) == (True, 1)
+    assert zones.cover(v, 1.0).where("zone_id = 1").count() == 16
+    assert zones.assign(p, v.limit(0), "id", 1.5).where("zone_id is null").count() == 4
+    assert zones.shift_scale(v.where("zone_id = 1"), 1.0, 0.0, 2.0).agg(F.min("x"), F.max("x")).first() == (-1.0, 7.0)
