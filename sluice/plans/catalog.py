@@ -465,4 +465,4 @@ def row_filter_admin(spark, d):
     return periods.row_filter(rows, access, "b@x", "project_id", 10).select("o_orderkey")
 
 
-from . import facts, feeds, statements, zones  # noqa: E402,F401  queries of other modules
+from . import facts, feeds, statements, store, zones  # noqa: E402,F401  queries of other modules
