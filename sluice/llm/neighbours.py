@@ -114,42 +114,48 @@ def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dim
     held = np.array([v for v in known if len(v) == width], float)
     block = max(1, round(reach * total**0.5))
     kind = points.schema["v"].dataType.simpleString()
-    # greatest inner product is nearest in angle once a further component evens out the lengths
+    # greatest inner product is nearest in angle once a further component evens out the lengths of the points; in a query
+    # that component is 0, so it is looked up elsewhere than at its own point
     longest = float(points.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))).first()[0] or 0.0)
     even = lambda a: np.c_[a, np.sqrt(np.maximum(longest - (a * a).sum(1), 0))]
+    asking = lambda a: np.c_[a * np.sqrt(longest / (a * a).sum(1, keepdims=True)), np.zeros(len(a))]
     laid = Curves(even(held), curves, dims, bits)
 
     def place(batches):
         for b in batches:
             v = np.array(b.column(1).flatten(), float).reshape(-1, width)
-            for c, key in enumerate(laid.keys(even(v))):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), c, np.int32)), pa.array(key.astype(np.int64)), b.column(0), b.column(1), b.column(2)], ["curve", "key", "pid", "v", "ids"])
+            lifted = asking(v) if b.schema.names[2] == "asks" else even(v)
+            ids = pa.nulls(len(v), pa.list_(pa.int64())) if b.schema.names[2] == "asks" else b.column(2)
+            for c, key in enumerate(laid.keys(lifted)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), c, np.int32)), pa.array(key.astype(np.int64)), b.column(0), b.column(1), ids], ["curve", "key", "pid", "v", "ids"])
 
     def number(batches):
+        # nth: how many points come before on this curve and partition; a row without ids is a query and no point
         at, part = {}, TaskContext.get().partitionId()
         for b in batches:
-            curve = b.column(0).to_numpy()
+            curve, point = b.column(0).to_numpy(), b.column(4).is_valid().to_numpy(zero_copy_only=False)
             nth = np.zeros(len(curve), np.int64)
             for c in np.unique(curve):
                 own = curve == c
-                nth[own] = at.get(c, 0) + np.arange(own.sum())
-                at[c] = at.get(c, 0) + int(own.sum())
+                upto = at.get(c, 0) + np.cumsum(point[own])
+                nth[own] = upto - point[own]
+                at[c] = int(upto[-1])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.full(len(curve), part, np.int32)), pa.array(nth), b.column(2), b.column(3), b.column(4)], ["curve", "part", "nth", "pid", "v", "ids"])
 
     n = partitions(spark)
-    spread = points.select("pid", "v", "ids").mapInArrow(place, f"curve int, key long, pid long, v {kind}, ids array<long>")
+    # equal vectors share their candidates, so a query is a distinct vector with the ids that ask
+    queries = rows.where(F.col("vec_id") % every == 0).select(F.xxhash64("h", "g").alias("pid"), "vec_id").distinct()
+    asks = points.join(queries.select("pid").distinct(), "pid", "left_semi").select("pid", "v", F.lit(True).alias("asks"))
+    placed = f"curve int, key long, pid long, v {kind}, ids array<long>"
+    spread = points.select("pid", "v", "ids").mapInArrow(place, placed).unionByName(asks.mapInArrow(place, placed))
     ranged = spread.repartitionByRange(n, "curve", "key", "pid").sortWithinPartitions("curve", "key", "pid")
     numbered = stored(ranged.mapInArrow(number, f"curve int, part int, nth long, pid long, v {kind}, ids array<long>"), "curves")
     before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = numbered.groupBy("curve", "part").count().select("curve", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
+    firsts = numbered.groupBy("curve", "part").agg(F.count("ids").alias("count")).select("curve", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
     at = numbered.join(F.broadcast(firsts), ["curve", "part"])  # a row for each curve and partition
     at = at.withColumn("block", F.floor((F.col("first") + F.col("nth")) / block)).select("curve", "block", "pid", "v", "ids")
-    # equal vectors share their candidates, so a query is a distinct vector with the ids that ask
-    queries = rows.where(F.col("vec_id") % every == 0).select(F.xxhash64("h", "g").alias("pid"), "vec_id").distinct()
-    asked = queries.select("pid").distinct().withColumn("is_query", F.lit(True))
-    at = at.join(asked, "pid", "left").withColumn("is_query", F.coalesce("is_query", F.lit(False)))
-    around = at.where("is_query").select("curve", F.explode(F.sequence(F.col("block") - 1, F.col("block") + 1)).alias("block"), "pid", "v", F.lit(None).cast("array<long>").alias("ids"))
-    met = at.select("curve", "block", "pid", "v", "ids").unionByName(around)
+    around = at.where("ids is null").withColumn("block", F.explode(F.sequence(F.col("block") - 1, F.col("block") + 1)))
+    met = at.where("ids is not null").unionByName(around)
 
     def meet(batches):
         for g in runs(batches, ["curve", "block"]):

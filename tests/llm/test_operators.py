@@ -284,6 +284,30 @@ def test_neighbours(spark, sf_dir):
     assert one == list(range(100, 120))
 
 
+def recall(spark, v, **options):
+    """The share of the 20 true neighbours that search finds for every twentieth row of v."""
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in neighbours.search(df, **options).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    d, hits, asked = v.astype(float), 0, range(0, len(v), 20)
+    for q in asked:
+        scores = d @ d[q]
+        scores[q] = -np.inf
+        hits += len(got[q] & set(np.argpartition(-scores, 20)[:20].tolist()))
+    return hits / (20 * len(asked))
+
+
+def directions(n, seed):
+    v = np.random.default_rng(seed).normal(size=(n, 64))
+    return (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+
+
+def test_neighbours_of_uneven_lengths(spark):
+    lengths = np.random.default_rng(4).lognormal(0, 0.4, (20000, 1)).astype(np.float32)
+    assert recall(spark, directions(20000, 3) * lengths, reach=4.0) >= 0.9
+
+
 def test_hilbert_is_a_walk():
     cells = np.array([(x, y, z) for x in range(8) for y in range(8) for z in range(8)])
     keys = neighbours.hilbert_keys(cells, 3)
