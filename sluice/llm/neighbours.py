@@ -8,6 +8,8 @@ products in double precision.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -17,6 +19,9 @@ from pyspark.sql import functions as F
 from .common import partitions, stored
 from .near import runs
 
+#: The share of true neighbours that a search must find, and the most queries by which each run measures it.
+RECALL, PROBES = 0.9, 128
+
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     """Places on the Hilbert curve of integer points (rows), each coordinate of `bits` bits (Skilling's transform)."""
@@ -84,6 +89,18 @@ def sound_vectors(table: DataFrame, vec: str = "embedding", vec_id: str = "vec_i
     return table.select(F.col(vec_id).cast("long").alias("vec_id"), v).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0))
 
 
+def span_for(probes: list[tuple[list[int], list[int]]], recall: float = RECALL) -> tuple[int, float]:
+    """The least span, and its measured recall, that meets `recall` with two standard errors to spare.
+
+    A probe is the block distances of its true neighbours (the least over the curves) and how many ids each stands for."""
+    spans = sorted({1, *(d for away, _ in probes for d in away if d > 1)})
+    for span in spans:
+        got = np.array([np.dot(np.array(away) <= span, n) / max(sum(n), 1) for away, n in probes if sum(n)])
+        if not len(got) or got.mean() - 2 * got.std() / len(got) ** 0.5 >= recall:
+            break
+    return span, float(got.mean()) if len(got) else 1.0
+
+
 def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dims: int = 9, bits: int = 6, reach: float = 6.0, sample: int = 5000, vec: str = "embedding", vec_id: str = "vec_id") -> DataFrame:
     """query_id, rank, vec_id, score: for every row whose vec_id divides by `every`, its k nearest by inner product.
 
@@ -92,9 +109,14 @@ def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dim
     out by id exactly, and repeated rows (same id and vector) count once.  Ids should be unique; where they are not,
     each of an id's vectors is a candidate and its best score counts.  An empty table gives no rows.
 
-    A query meets all points of its own and both neighbouring blocks on each curve; a block holds reach * sqrt(number
-    of distinct vectors) points, so recall holds as the table grows and the work grows by the power 1.5 of it.  sample:
-    the most rows on which directions of spread are fitted; every row is indexed."""
+    A block holds reach * sqrt(number of distinct vectors) points; on each curve a query meets the blocks up to `span`
+    before and after its own place.  Span begins at 1.  At most PROBES of the queries are also compared with all points,
+    and span grows until RECALL of their true neighbours are met, with two standard errors to spare, so the span depends
+    on the vectors and on the size of the table.  Where that would meet as many points as there are, counted once a
+    curve, a query meets every point once instead and the answer is exact.  For evenly spread vectors the share of the
+    table that RECALL takes hardly falls, so their work tends to the square of the table; the more the vectors lie in
+    groups, the nearer it is to the power 1.5.  The span and the recall measured go to the log.  sample: the most rows
+    on which directions of spread are fitted; every row is indexed."""
     spark = table.sparkSession
     rows = sound_vectors(table, vec, vec_id)
     rows = rows.withColumn("h", F.xxhash64("v")).withColumn("g", F.xxhash64(F.lit(1), "v"))
@@ -119,7 +141,8 @@ def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dim
     longest = float(points.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))).first()[0] or 0.0)
     even = lambda a: np.c_[a, np.sqrt(np.maximum(longest - (a * a).sum(1), 0))]
     asking = lambda a: np.c_[a * np.sqrt(longest / (a * a).sum(1, keepdims=True)), np.zeros(len(a))]
-    laid = Curves(even(held), curves, dims, bits)
+    whole = 3 * curves * block >= total
+    laid = Curves(even(held), 1 if whole else curves, dims, bits)
 
     def place(batches):
         for b in batches:
@@ -154,7 +177,14 @@ def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dim
     firsts = numbered.groupBy("curve", "part").agg(F.count("ids").alias("count")).select("curve", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
     at = numbered.join(F.broadcast(firsts), ["curve", "part"])  # a row for each curve and partition
     at = at.withColumn("block", F.floor((F.col("first") + F.col("nth")) / block)).select("curve", "block", "pid", "v", "ids")
-    around = at.where("ids is null").withColumn("block", F.explode(F.sequence(F.col("block") - 1, F.col("block") + 1)))
+    span = 1
+    if not whole:
+        span, found = span_for(_probed(points, asks, at, k, width))
+        whole = (2 * span + 1) * curves * block >= total
+        at = at.where("curve = 0") if whole else at
+        logging.getLogger(__name__).info("%d points, blocks of %d on %d curves, span %d, recall %.3f%s", total, block, curves, span, found, "; every point is met" if whole else "")
+    blocks = F.sequence(F.lit(0).cast("long"), F.lit((total - 1) // block).cast("long")) if whole else F.sequence(F.col("block") - span, F.col("block") + span)
+    around = at.where("ids is null").withColumn("block", F.explode(blocks))
     met = at.where("ids is not null").unionByName(around)
 
     def meet(batches):
@@ -191,3 +221,42 @@ def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dim
     others = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
     out = answers.select("query_id", F.posexplode(others).alias("i", "x"))
     return out.select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
+
+
+def _probed(points: DataFrame, asks: DataFrame, at: DataFrame, k: int, width: int) -> list[tuple[list[int], list[int]]]:
+    """For at most PROBES queries, how many blocks off their k true neighbours are and how many ids each point gives."""
+    asked = asks.orderBy(F.xxhash64("pid"), "pid").limit(PROBES).collect()
+    if not asked:
+        return []
+    qid, q = np.array([r["pid"] for r in asked]), np.array([r["v"] for r in asked], float)
+
+    def meet(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            near = q @ np.array(b.column(1).flatten(), float).reshape(-1, width).T
+            m = min(k + 1, b.num_rows)
+            best = np.argpartition(-near, m - 1, axis=1)[:, :m]
+            a = np.repeat(np.arange(len(q)), m)
+            yield pa.RecordBatch.from_arrays([pa.array(qid[a]), b.column(0).take(pa.array(best.ravel())), pa.array(near[a, best.ravel()]), b.column(2).take(pa.array(best.ravel()))], ["qid", "pid", "score", "n"])
+
+    nearest = Window.partitionBy("qid").orderBy(F.desc("score"), "pid")
+    met = points.select("pid", "v", F.size("ids").alias("n")).mapInArrow(meet, "qid long, pid long, score double, n int")
+    true: dict[int, list] = {}
+    for r in met.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k + 1).orderBy("qid", "r").collect():
+        true.setdefault(r["qid"], []).append((r["pid"], r["n"]))
+    pids = at.sparkSession.createDataFrame([(p,) for p in {p for x in true.values() for p, _ in x} | set(true)], "pid long")
+    point, place = {}, {}
+    for r in at.select("pid", "curve", "block", F.col("ids").isNotNull().alias("point")).join(F.broadcast(pids), "pid").collect():
+        (point if r["point"] else place).setdefault(r["pid"], {})[r["curve"]] = r["block"]
+    out = []
+    for i, near in true.items():
+        away, counts, left = [], [], k
+        for p, n in near:
+            n = min(left, n - (p == i))  # an id is no neighbour of itself
+            if n > 0:
+                away.append(min(abs(point[p][c] - b) for c, b in place[i].items()))
+                counts.append(n)
+                left -= n
+        out.append((away, counts))
+    return out

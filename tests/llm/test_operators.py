@@ -308,6 +308,12 @@ def test_neighbours_of_uneven_lengths(spark):
     assert recall(spark, directions(20000, 3) * lengths, reach=4.0) >= 0.9
 
 
+def test_neighbours_widen_until_found(spark):
+    assert neighbours.span_for([([1, 1, 4, 9], [1, 1, 1, 1])] * 9, 0.75) == (4, 0.75)
+    assert neighbours.span_for([]) == (1, 1.0)
+    assert recall(spark, directions(20000, 3), reach=1.0) >= 0.9
+
+
 def test_hilbert_is_a_walk():
     cells = np.array([(x, y, z) for x in range(8) for y in range(8) for z in range(8)])
     keys = neighbours.hilbert_keys(cells, 3)
