@@ -8,6 +8,8 @@ settled there on full sets.  Only spanning links leave a node or block, never al
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -19,7 +21,16 @@ from .graph import components
 from .tokens import slices
 
 TREES, LEVELS = 12, 8
-_MUL = np.array([xxhash.xxh64_intdigest(b"minwise", i) | 1 for i in range(TREES * LEVELS)], np.uint64)
+#: The chance, at most, with which all trees part a pair at the threshold; counted from the depths that paths reach.
+MISS = 1e-5
+
+
+def _factors(more: int) -> np.ndarray:
+    """Odd factors of a round of trees, one per tree and level."""
+    return np.array([xxhash.xxh64_intdigest(b"minwise", more * TREES * LEVELS + i) | 1 for i in range(TREES * LEVELS)], np.uint64)
+
+
+_MUL = _factors(0)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -39,16 +50,19 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     return np.unique(s)
 
 
-def minwise(x: np.ndarray) -> np.ndarray:
+def minwise(x: np.ndarray, factors: np.ndarray = _MUL) -> np.ndarray:
     """One token per tree and level: the low half of the least product (odd factors permute 64-bit numbers)."""
-    least = np.full(len(_MUL), np.iinfo(np.uint64).max)
+    least = np.full(len(factors), np.iinfo(np.uint64).max)
     for lo in range(0, len(x), 1024):
-        np.minimum(least, (x[lo : lo + 1024, None] * _MUL).min(0), out=least)
+        np.minimum(least, (x[lo : lo + 1024, None] * factors).min(0), out=least)
     return least.astype(np.uint32)
 
 
-def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n (set size), f1 and f2 (fingerprint of the set), tokens (minwise, little-endian) of every row."""
+def sketches(docs: DataFrame, words: int, more: int = 0) -> DataFrame:
+    """doc_id, n (set size), f1 and f2 (fingerprint of the set), tokens (minwise, little-endian) of every row.
+
+    more: the round of trees that the tokens are for."""
+    factors = _factors(more)
     schema = "doc_id long, n long, f1 long, f2 long, tokens binary"
 
     def run(batches):
@@ -59,7 +73,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 for key, t in zip(keys[lo:hi], texts[lo:hi]):
                     x = shingle_set(t, words)
                     f = np.frombuffer(xxhash.xxh3_128_digest(x.tobytes()), "<i8")
-                    rows.append((key, len(x), int(f[0]), int(f[1]), minwise(x).tobytes() if len(x) else None))
+                    rows.append((key, len(x), int(f[0]), int(f[1]), minwise(x, factors).tobytes() if len(x) else None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "n", "f1", "f2", "tokens"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
@@ -183,15 +197,20 @@ def _exact_pairs(sets: list[np.ndarray], percent: int, strip: int = 1 << 15):
     return zip(i[ok].tolist(), j[ok].tolist())
 
 
-def tree_nodes(classes: DataFrame, limit: int) -> DataFrame:
-    """tree, node, id of every class in every tree, in nodes of two classes or more.
+def tree_nodes(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """tree, node, id of every class in every tree, in nodes of two classes or more; and the depths of what branched.
 
     A node is a path of minwise tokens.  A path that holds over `limit` classes branches by its tree's next token; at the
-    last level it stays, and `deep` marks it."""
+    last level it stays, and `deep` marks it.  The depths (id, tree, depth) are of paths of two tokens or more, those that
+    ended alone too; None where no path branched."""
     token = lambda level: F.conv(F.hex(F.substring("tokens", F.col("tree") * (4 * LEVELS) + 4 * level + 1, F.lit(4))), 16, 10).cast("long")
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     now = classes.select("id", "tokens", trees).select("id", "tree", F.xxhash64(token(0)).alias("node"))
-    done = None
+    done = branched = None
+
+    def depths():
+        return None if branched is None else branched.groupBy("id", "tree").agg((F.count(F.lit(1)) + 1).alias("depth"))
+
     for level in range(1, LEVELS + 1):
         size = now.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
         sized = stored(now.join(size, ["tree", "node"]), "nodes")
@@ -200,9 +219,40 @@ def tree_nodes(classes: DataFrame, limit: int) -> DataFrame:
         done = ready if done is None else done.unionByName(ready)
         over = sized.where(F.col("members") > limit)
         if full or over.isEmpty():
-            return done
+            return done, depths()
+        # a row for each token after the first; texts that share an id share their longest path
+        step = over.select("id", "tree", F.lit(level).alias("level")).distinct()
+        branched = step if branched is None else branched.unionByName(step)
         now = over.select("id", "tree", "node").join(classes.select("id", "tokens"), "id").select("id", "tree", F.xxhash64("node", token(level)).alias("node"))
-    return done
+    return done, depths()
+
+
+def all_nodes(docs: DataFrame, classes: DataFrame, words: int, percent: int, limit: int) -> DataFrame:
+    """tree_nodes of the first TREES, and of further rounds of as many for classes that branched too deep for MISS.
+
+    A pair at the threshold t keeps together down a path of depth d with t^d, so a class misses it in all its trees with
+    the product of 1 - t^d.  A class whose product is above MISS is placed in independent trees until it no longer is.
+    A pair with one class at rest was found with its trees; of two others both are placed again."""
+    t = min(percent / 100, 1 - 1e-9)
+    nodes, depths = tree_nodes(classes, limit)
+    all_of, more, owed = nodes, 0, None
+    at_one = math.log(1 - t)
+    while depths is not None or owed is not None:
+        more += 1
+        # ids owed, with the logarithm of their miss so far; a tree without branching is one of depth one
+        if depths is None:
+            gone = owed.select("id", (F.col("miss") + TREES * at_one).alias("miss"))
+        else:
+            gain = depths.groupBy("id").agg((F.sum(F.log(1 - F.pow(F.lit(t), F.col("depth")))) + (TREES - F.count(F.lit(1))) * at_one).alias("gain"))
+            gone = gain.select("id", F.col("gain").alias("miss")) if owed is None else owed.join(gain, "id", "left").select("id", (F.col("miss") + F.coalesce("gain", F.lit(TREES * at_one))).alias("miss"))
+        owed = stored(gone.where(F.col("miss") > math.log(MISS)), "owed")
+        if owed.isEmpty():
+            break
+        again = sketches(docs.join(owed.select(F.col("id").alias("__owed")), F.col("doc_id").cast("long") == F.col("__owed"), "left_semi"), words, more)
+        drawn = stored(again.where("n > 0").groupBy("f1", "f2", F.col("doc_id").alias("id")).agg(F.first("tokens").alias("tokens")), "again")
+        nodes, depths = tree_nodes(drawn, limit)
+        all_of = all_of.unionByName(nodes.withColumn("tree", F.col("tree") + more * TREES))
+    return all_of
 
 
 def near_classes(docs: DataFrame, words: int = 5, percent: int = 80, limit: int = 3000, most_shingles: int = 4_000_000) -> DataFrame:
@@ -217,7 +267,7 @@ def near_classes(docs: DataFrame, words: int = 5, percent: int = 80, limit: int
     sound = drawn.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     byclass = sound.groupBy("f1", "f2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     classes = stored(byclass, "classes")
-    nodes = stored(tree_nodes(classes, limit), "nodes")
+    nodes = stored(all_nodes(docs, classes, words, percent, limit), "nodes")
     few = nodes.where(~F.col("deep")).join(classes.select("id", "n", "tokens"), "id")
     # classes that agree in all tokens of a tree are near by any measure: the node's least id joins them
     least = nodes.where("deep").groupBy("tree", "node").agg(F.min("id").alias("b"))

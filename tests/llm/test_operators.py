@@ -244,6 +244,14 @@ def test_near_duplicates(spark, odd, limit, k, percent):
         assert got == brute(df.select("doc_id", "text").collect(), k, percent)
 
 
+def test_near_pairs_in_a_common_passage(spark):
+    """Pairs at the threshold exactly, in texts of which three quarters are common, so that every path is deep."""
+    common = " ".join(f"c{i}" for i in range(154))
+    rows = [(2 * p + h, " ".join([common, *(f"p{p}.{i}" for i in range(10)), *(f"d{p}.{h}.{i}" for i in range(20))]), "en", "a", 1) for p in range(150) for h in range(2)]
+    got = {r["doc_id"]: r["component_id"] for r in near.near_classes(spark.createDataFrame(rows, DOCS), 5, 80, limit=20).collect()}
+    assert got == {k: k - k % 2 for k, *_ in rows}
+
+
 def test_near_dedup_keeps_one(spark, odd, none):
     assert near.near_dedup(none).count() == 0
     df = spark.createDataFrame(near_rows(), DOCS)
