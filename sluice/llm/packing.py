@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
-from .tokens import encoder, slices
+from .tokens import array_slices, encoder
 
 #: Groups of pieces of one length are numbered in this many parts, so no length is one task's work.
 RANK_PARTS = 256
@@ -89,13 +89,13 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id:
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
     def cut(batches):
-        encode, end = encoder(vocabulary, keeps_blanks, cache_words).encode, np.uint32(end_id).tobytes()
+        encode, end = encoder(vocabulary, keeps_blanks, cache_words).encode_array, np.uint32(end_id).tobytes()
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for lo, hi in slices(texts):
-                rows = []
-                for key, ids in zip(keys[lo:hi], encode(texts[lo:hi])):
-                    ids += end
+            keys, texts = batch.column(0), batch.column(1)
+            for lo, hi in array_slices(texts):
+                rows, (found, at) = [], encode(texts[lo:hi])
+                for key, a, b in zip(keys[lo:hi].to_pylist(), at, at[1:]):
+                    ids = found[a:b].tobytes() + end
                     n = len(ids) // 4
                     rows += [(key, s, min(capacity, n - s), zlib.crc32(ids[4 * s : 4 * (s + capacity)]), n) for s in range(0, n, capacity)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import open_binary, partitions, shared_dir, stored, write_whole
-from .tokens import encoder, slices
+from .tokens import array_slices, encoder
 
 # Fixed values of the public formats
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC, HAS_CHECKSUMS = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -110,7 +110,7 @@ class TokenFile:
         self.file.close()
 
 
-def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, keeps_blanks: bool = True, folder: str | None = None, frame_bytes: int = 1 << 18, cache_words: int = 1_000_000) -> DataFrame:
+def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, keeps_blanks: bool = True, folder: str | None = None, frame_bytes: int = 1 << 18, cache_words: int = 400_000) -> DataFrame:
     """Encode every text, append the end id and write files in ascending doc_id order (null ids last).
 
     Returns the manifest: part, path, docs, tokens, start (ids in all files before it).  File names come from the
@@ -120,16 +120,17 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, keeps_b
     schema = "part int, path string, docs long, tokens long"
 
     def write(batches):
-        encode, end, part, seen = encoder(vocabulary, keeps_blanks, cache_words).encode, np.uint32(end_id).tobytes(), TaskContext.get().partitionId(), [0, 0]
+        encode, end, part, seen = encoder(vocabulary, keeps_blanks, cache_words).encode_array, np.uint32(end_id).tobytes(), TaskContext.get().partitionId(), [0, 0]
 
         def documents():
             for batch in batches:
-                keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-                for lo, hi in slices(texts):
-                    for key, ids in zip(keys[lo:hi], encode(texts[lo:hi])):
+                keys, texts = batch.column(0), batch.column(1)
+                for lo, hi in array_slices(texts):
+                    ids, at = encode(texts[lo:hi])
+                    for key, a, b in zip(keys[lo:hi].to_pylist(), at, at[1:]):
                         seen[0] += 1
-                        seen[1] += len(ids) // 4 + 1
-                        yield key, ids + end
+                        seen[1] += int(b - a) + 1
+                        yield key, ids[a:b].tobytes() + end
 
         path = f"{folder}/part-{part:06d}.tok.zst"
         write_whole(path, file_chunks(documents(), frame_bytes))

@@ -42,6 +42,8 @@ def docs(spark, sf_dir):
 @pytest.mark.parametrize("name,keeps", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_encoder_is_the_library(docs, name, keeps):
     texts = [r["text"] or "" for r in docs.select("text").collect()] + [r[1] or "" for r in ODD] + ["it's we'll Σ İx AΣ. Aİ. bİ, <|endoftext|>", "Aİ. bİ, Σ.", " lead", "trail ", "a\n b"]
+    rng = np.random.default_rng(8)
+    texts += ["".join(rng.choice(list("aabbcéßİΣςσ'.,;!?_-*&%1290 \n\n   \té中\u0308Ωſ<|x"), int(n))) for n in rng.integers(0, 14, 3000)]
     e = WordEncoder(vocabulary(name), keeps, capacity=500)
     assert sum([e.encode(texts[i : i + 20]) for i in range(0, len(texts), 20)], []) == e._whole(texts)
 
