@@ -94,7 +94,7 @@ def train(docs: DataFrame, per_language: int = 400, clusters: int = 4, slack: fl
     operator; its texts are whole.  slack: a text is rejected below this part of its language's least training cosine
     (the least 1 % aside)."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")).select("lang", "text", F.xxhash64(F.lit("train"), "doc_id").alias("key"))
-    totals = {r["lang"]: r["count"] for r in docs.where(F.col("lang").isNotNull()).groupBy("lang").count().collect()}
+    totals = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not totals:
         return Model([], np.zeros((0, BUCKETS), np.float32), np.ones(BUCKETS, np.float32), np.zeros(0))
     # a hash below a language's share of the key range takes about twice the bound, of which the least keys stay
