@@ -1,14 +1,15 @@
 """Approximate nearest neighbours along shifted Hilbert curves.
 
 Vectors are projected to a few dimensions in several ways, each with its own rotation and shift, and every projection
-is laid along a Hilbert curve.  Each curve is range-partitioned and cut into blocks of equal numbers of vectors; a query
-meets the blocks around its own place on every curve.  Candidates of all curves merge and are reranked by exact inner
+is laid along a Hilbert curve.  Each curve is range-partitioned and cut into blocks of one window of vectors; a query meets its
+own block and the two beside it on every curve.  Candidates of all curves merge and are reranked by exact inner
 products in double precision.
 """
 
 from __future__ import annotations
 
 import logging
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -89,34 +90,40 @@ def sound_vectors(table: DataFrame, vec: str = "embedding", vec_id: str = "vec_i
     return table.select(F.col(vec_id).cast("long").alias("vec_id"), v).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0))
 
 
-def span_for(probes: list[tuple[list[int], list[int]]], recall: float = RECALL) -> tuple[int, float]:
-    """The least span, and its measured recall, that meets `recall` with two standard errors to spare.
+def window_for(probes: list[tuple[list[int], list[int]]], least: int = 1, recall: float = RECALL) -> tuple[int, float]:
+    """The least window, and its measured recall, that meets `recall` with two standard errors to spare.
 
-    A probe is the block distances of its true neighbours (the least over the curves) and how many ids each stands for."""
-    spans = sorted({1, *(d for away, _ in probes for d in away if d > 1)})
-    for span in spans:
-        got = np.array([np.dot(np.array(away) <= span, n) / max(sum(n), 1) for away, n in probes if sum(n)])
-        if not len(got) or got.mean() - 2 * got.std() / len(got) ** 0.5 >= recall:
-            break
-    return span, float(got.mean()) if len(got) else 1.0
+    A probe is how far off its true neighbours stand (the least over the curves) and how many ids each stands for."""
+    windows = sorted({least, *(d for away, _ in probes for d in away if d > least)})
 
+    def measure(window):
+        got = np.array([np.dot(np.array(away) <= window, n) / max(sum(n), 1) for away, n in probes if sum(n)])
+        return (got.mean(), got.mean() - 2 * got.std() / len(got) ** 0.5) if len(got) else (1.0, 1.0)
 
-def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dims: int = 9, bits: int = 6, reach: float = 6.0, sample: int = 5000, vec: str = "embedding", vec_id: str = "vec_id") -> DataFrame:
+    lo, hi = 0, len(windows) - 1
+    while lo < hi:
+        mid = (lo + hi) // 2
+        lo, hi = (lo, mid) if measure(windows[mid])[1] >= recall else (mid + 1, hi)
+    return windows[lo], float(measure(windows[lo])[0])
+
+
+def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dims: int = 9, bits: int = 6, window: int = 64, sample: int = 5000, vec: str = "embedding", vec_id: str = "vec_id", report: dict | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: for every row whose vec_id divides by `every`, its k nearest by inner product.
 
     Vectors that are null, zero, or hold null or non-finite components take no part; neither do rows without an id or of
     another length than most of the sample.  Rows of equal vectors are one point with its k + 1 least ids, so ties come
-    out by id exactly, and repeated rows (same id and vector) count once.  Ids should be unique; where they are not,
-    each of an id's vectors is a candidate and its best score counts.  An empty table gives no rows.
-
-    A block holds reach * sqrt(number of distinct vectors) points; on each curve a query meets the blocks up to `span`
-    before and after its own place.  Span begins at 1.  At most PROBES of the queries are also compared with all points,
-    and span grows until RECALL of their true neighbours are met, with two standard errors to spare, so the span depends
-    on the vectors and on the size of the table.  Where that would meet as many points as there are, counted once a
-    curve, a query meets every point once instead and the answer is exact.  For evenly spread vectors the share of the
-    table that RECALL takes hardly falls, so their work tends to the square of the table; the more the vectors lie in
-    groups, the nearer it is to the power 1.5.  The span and the recall measured go to the log.  sample: the most rows
-    on which directions of spread are fitted; every row is indexed."""
+    out by id exactly, among distinct vectors too, and repeated rows (same id and vector) count once.  Ids should be
+    unique; where they are not, each of an id's vectors is a candidate and its best score counts.  An empty table gives
+    no rows.
+
+    A curve is cut into blocks of a window of points, and a query meets its own block and both neighbours on each.  The
+    window is measured in each run: at most PROBES of the queries are compared with all points, and of the windows from
+    `window` on the least is taken that meets RECALL of their true neighbours with two standard errors to spare.  For
+    vectors in groups of a bounded size it does not grow with the table, and the work is linear; for evenly spread
+    vectors of many dimensions no curve is short and it grows in proportion.  Where the windows of all curves would
+    meet as many points as there are, a query meets every point once instead and the answer is exact.
+    report, if given, takes window, recall and share (points met, at most, over all points); they go to the log too.
+    sample: the most rows on which directions of spread are fitted, by a hash; every row is indexed."""
     spark = table.sparkSession
     rows = sound_vectors(table, vec, vec_id)
     rows = rows.withColumn("h", F.xxhash64("v")).withColumn("g", F.xxhash64(F.lit(1), "v"))
@@ -128,20 +135,19 @@ def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dim
     schema = "query_id long, rank int, vec_id long, score double"
     if not total:
         return spark.createDataFrame([], schema)
-    part = points.where(F.col("pid").cast("double") / 2.0**64 + 0.5 <= min(1.0, 1.5 * sample / total)).select("v").limit(sample)
-    known = [r["v"] for r in part.collect()] or [points.first()["v"]]
+    part = points.where(F.col("pid").cast("double") / 2.0**64 + 0.5 <= min(1.0, 1.5 * sample / total)).select("pid", "v").orderBy("pid").limit(sample)
+    known = [r["v"] for r in part.collect()] or [points.orderBy("pid").first()["v"]]
     lengths = [len(v) for v in known]
     width = max(set(lengths), key=lambda n: (lengths.count(n), n))
     points = points.where(F.size("v") == width)
     held = np.array([v for v in known if len(v) == width], float)
-    block = max(1, round(reach * total**0.5))
     kind = points.schema["v"].dataType.simpleString()
     # greatest inner product is nearest in angle once a further component evens out the lengths of the points; in a query
     # that component is 0, so it is looked up elsewhere than at its own point
     longest = float(points.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))).first()[0] or 0.0)
     even = lambda a: np.c_[a, np.sqrt(np.maximum(longest - (a * a).sum(1), 0))]
     asking = lambda a: np.c_[a * np.sqrt(longest / (a * a).sum(1, keepdims=True)), np.zeros(len(a))]
-    whole = 3 * curves * block >= total
+    whole = 3 * curves * window >= total
     laid = Curves(even(held), 1 if whole else curves, dims, bits)
 
     def place(batches):
@@ -176,14 +182,19 @@ def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dim
     before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = numbered.groupBy("curve", "part").agg(F.count("ids").alias("count")).select("curve", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
     at = numbered.join(F.broadcast(firsts), ["curve", "part"])  # a row for each curve and partition
-    at = at.withColumn("block", F.floor((F.col("first") + F.col("nth")) / block)).select("curve", "block", "pid", "v", "ids")
-    span = 1
+    at = at.withColumn("place", F.col("first") + F.col("nth")).select("curve", "place", "pid", "v", "ids")
+    block, found = window, 1.0
     if not whole:
-        span, found = span_for(_probed(points, asks, at, k, width))
-        whole = (2 * span + 1) * curves * block >= total
+        block, found = window_for(_probed(points, asks, at, k, width), window)
+        whole = 3 * curves * block >= total
         at = at.where("curve = 0") if whole else at
-        logging.getLogger(__name__).info("%d points, blocks of %d on %d curves, span %d, recall %.3f%s", total, block, curves, span, found, "; every point is met" if whole else "")
-    blocks = F.sequence(F.lit(0).cast("long"), F.lit((total - 1) // block).cast("long")) if whole else F.sequence(F.col("block") - span, F.col("block") + span)
+    if whole:
+        block, found = max(1024, math.isqrt(total)), 1.0
+    facts = {"window": block, "recall": found, "share": 1.0 if whole else 3 * curves * block / total}
+    (report if report is not None else {}).update(facts)
+    logging.getLogger(__name__).info("%d points on %d curves: %s", total, 1 if whole else curves, facts)
+    at = at.withColumn("block", F.floor(F.col("place") / block)).drop("place")
+    blocks = F.sequence(F.lit(0).cast("long"), F.lit((total - 1) // block).cast("long")) if whole else F.sequence(F.col("block") - 1, F.col("block") + 1)
     around = at.where("ids is null").withColumn("block", F.explode(blocks))
     met = at.where("ids is not null").unionByName(around)
 
@@ -196,16 +207,22 @@ def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dim
             q, p = v[~own], v[own]
             if not len(q) or not len(p):
                 continue
-            m = min(k + 1, len(p))
+            m, first = min(k + 1, len(p)), np.array([x[0] for x in ids])
+            slack = 1e-12 * np.abs(p).max() * width
             for lo in range(0, len(q), 256):
                 some = q[lo : lo + 256]
                 near = some @ p.T
-                best = np.argpartition(-near, m - 1, axis=1)[:, :m]
-                a, b = np.repeat(np.arange(len(some)), m), best.ravel()
+                # all that rounding could put among the m nearest
+                last = np.partition(near, len(p) - m, axis=1)[:, len(p) - m]
+                a, b = np.nonzero(near >= (last - slack * np.abs(some).max(1))[:, None])
                 # the score itself, summed in component order for every pair alike
                 score = np.zeros(len(a))
                 for i in range(width):
                     score += some[a, i] * p[b, i]
+                order = np.lexsort((first[b], -score, a))
+                a, b, score = a[order], b[order], score[order]
+                few = np.arange(len(a)) - np.searchsorted(a, a) < m
+                a, b, score = a[few], b[few], score[few]
                 yield pa.RecordBatch.from_arrays([pa.array(pid[~own][lo : lo + 256][a]), pa.array(pid[own][b]), pa.array(score), pa.array([ids[x] for x in b.tolist()], pa.list_(pa.int64()))], ["qid", "pid", "score", "ids"])
 
     found = met.repartition(n, "curve", "block").sortWithinPartitions("curve", "block").mapInArrow(meet, "qid long, pid long, score double, ids array<long>")
@@ -224,7 +241,7 @@ def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dim
 
 
 def _probed(points: DataFrame, asks: DataFrame, at: DataFrame, k: int, width: int) -> list[tuple[list[int], list[int]]]:
-    """For at most PROBES queries, how many blocks off their k true neighbours are and how many ids each point gives."""
+    """For at most PROBES queries, how many points off their k true neighbours are and how many ids each point gives."""
     asked = asks.orderBy(F.xxhash64("pid"), "pid").limit(PROBES).collect()
     if not asked:
         return []
@@ -247,8 +264,8 @@ def _probed(points: DataFrame, asks: DataFrame, at: DataFrame, k: int, width: in
         true.setdefault(r["qid"], []).append((r["pid"], r["n"]))
     pids = at.sparkSession.createDataFrame([(p,) for p in {p for x in true.values() for p, _ in x} | set(true)], "pid long")
     point, place = {}, {}
-    for r in at.select("pid", "curve", "block", F.col("ids").isNotNull().alias("point")).join(F.broadcast(pids), "pid").collect():
-        (point if r["point"] else place).setdefault(r["pid"], {})[r["curve"]] = r["block"]
+    for r in at.select("pid", "curve", "place", F.col("ids").isNotNull().alias("point")).join(F.broadcast(pids), "pid").collect():
+        (point if r["point"] else place).setdefault(r["pid"], {})[r["curve"]] = r["place"]
     out = []
     for i, near in true.items():
         away, counts, left = [], [], k
