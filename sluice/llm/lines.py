@@ -2,7 +2,7 @@
 
 Hashes of line keys are range-partitioned together with document and position and sorted there, so a line that stands
 in a third of all documents is spread over many ranges.  Per key and range only a count and the largest document leave
-the range.  What comes back to the documents is no text but a bitmap of kept lines, without the words that are all
+the range; the verdict on a key goes back to the ranges that hold it, so no task gathers a key.  What comes back to the documents is no text but a bitmap of kept lines, without the words that are all
 ones.
 """
 
@@ -33,12 +33,16 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Da
     # two independent 64-bit hashes: no two keys of any corpus meet
     hashed = keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key", F.lit("line")).alias("h2"), "doc_id", "position", "text_hash")
     n = partitions(docs.sparkSession)
-    ranged = hashed.repartitionByRange(n, "h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id", "position")
+    # written first, so that the bounds of the ranges are found from numbers and no line is hashed twice
+    ranged = stored(hashed, "hashes").repartitionByRange(n, "h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id", "position")
     # the range holds all rows of a key and document, so this needs no further exchange
     held = ranged.groupBy("h1", "h2", "doc_id").agg(F.collect_list(F.struct("text_hash", "position")).alias("places"))
-    held = stored(held, "lines")  # read for the counts and again for the places
-    frequent = held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs).drop("n")
-    lost = held.join(frequent, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", F.inline("places"))
+    held = stored(held.withColumn("part", F.spark_partition_id()), "lines")  # read for the counts and again for the places
+    counts = stored(held.groupBy("h1", "h2", "part").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper")), "counts")
+    frequent = counts.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper")).where(F.col("n") >= min_docs).drop("n")
+    # a key over many ranges has a row for each
+    verdicts = counts.select("h1", "h2", "part").join(frequent, ["h1", "h2"])
+    lost = held.join(verdicts, ["h1", "h2", "part"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", F.inline("places"))
     word = lost.groupBy("doc_id", "text_hash", F.expr("position div 64").cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("position") % 64)).alias("bits"))
     return word.groupBy("doc_id", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("word", F.bitwise_not("bits")))).alias("keep"))
 
