@@ -53,6 +53,28 @@ def members(file, at: int = 0, most: int | None = None, chunk: int = 1 << 18):
         n += 1
 
 
+def arc_members(file, at: int = 0, most: int | None = None):
+    """(offset, bytes) of the records of an ARC file, of gzip members or, by their declared lengths, of plain text."""
+    file.seek(0)
+    if file.read(2) == b"\x1f\x8b":
+        yield from members(file, at, most)
+        return
+    file.seek(at)
+    n = 0
+    while most is None or n < most:
+        at, line = file.tell(), file.readline()
+        if not line:
+            return
+        if not line.strip():  # between records
+            continue
+        length = int(line.split(b" ")[-1])
+        block = file.read(length)
+        if len(block) < length:
+            raise ValueError(f"declared {length} bytes, found {len(block)}")
+        yield at, line + block
+        n += 1
+
+
 def arc_version_block(name: str, version: int, date: str) -> bytes:
     body = f"{version} 0 sluice\n{FIELDS[version]}\n\n".encode()
     head = f"filedesc://{name} 0.0.0.0 {date} text/plain " + ("200 - - 0 " + name + " " if version == 2 else "") + f"{len(body)}\n"
@@ -102,8 +124,8 @@ def split_http(block: bytes) -> tuple[bytes, bytes]:
     return head + mark, body
 
 
-def warc_record(kind: str, rid: str, date: str, url: str, block: bytes, media: str, payload_digest: str | None = None, refers: tuple | None = None) -> bytes:
-    head = [f"WARC-Type: {kind}", f"WARC-Record-ID: {rid}", f"WARC-Date: {date}", f"WARC-Target-URI: {url}"]
+def warc_record(kind: str, rid: str, date: str, url: str, block: bytes, media: str, payload_digest: str | None = None, refers: tuple | None = None, more: tuple = ()) -> bytes:
+    head = [f"WARC-Type: {kind}", f"WARC-Record-ID: {rid}", f"WARC-Date: {date}", f"WARC-Target-URI: {url}", *more]
     if payload_digest:
         head.append(f"WARC-Payload-Digest: sha256:{payload_digest}")
     if refers:
@@ -124,33 +146,39 @@ def parse_warc(record: bytes) -> tuple[dict, bytes]:
     return fields, block
 
 
-def write_arcs(pages: DataFrame, folder: str, date: str = "20000101000000") -> DataFrame:
-    """ARC files of page_id, url, html rows, versions 1 and 2 in turn by file: name, path, version, records."""
+def write_arcs(pages: DataFrame, folder: str, date: str = "20000101000000", file_bytes: int = 1 << 28, press: bool = True) -> DataFrame:
+    """ARC files of page_id, url, html rows, versions 1 and 2 in turn by partition: name, path, version, records.
+
+    A file closes once it holds file_bytes, so that later steps deal files to tasks evenly.  press: records are gzip
+    members, or else plain text."""
     schema = "name string, path string, version int, records long"
+    packed = member if press else bytes
 
     def write(batches):
-        part = TaskContext.get().partitionId()
-        version, name, n = 1 + part % 2, f"part-{part:06d}.arc.gz", [0]
-
-        def chunks():
-            at = 0
-            for b in batches:
-                for key, url, html in zip(*(b.column(i).to_pylist() for i in range(3))):
-                    payload = (html or "").encode("utf-8", "surrogatepass")
-                    if not n[0]:
-                        data = member(arc_version_block(name, version, date))
-                        at += len(data)
-                        yield data
-                    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Id: {'' if key is None else key}\r\nContent-Length: {len(payload)}\r\n\r\n"
-                    data = member(arc_record(version, name, at, url, date, "text/html", head.encode() + payload))
-                    at += len(data)
-                    n[0] += 1
-                    yield data
-
-        path = f"{folder}/{name}"
-        write_whole(path, chunks())
-        if n[0]:
+        part, records = TaskContext.get().partitionId(), (r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3))))
+        version, nth, n, first = 1 + part % 2, 0, [0], next(records, None)
+
+        def chunks(name):
+            nonlocal first
+            data = packed(arc_version_block(name, version, date))
+            at = len(data)
+            yield data
+            while first is not None and (at < file_bytes or not n[0]):
+                key, url, html = first
+                payload = (html or "").encode("utf-8", "surrogatepass")
+                head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Id: {'' if key is None else key}\r\nContent-Length: {len(payload)}\r\n\r\n"
+                data = packed(arc_record(version, name, at, url, date, "text/html", head.encode() + payload))
+                at += len(data)
+                n[0] += 1
+                first = next(records, None)
+                yield data
+
+        while first is not None:
+            n[0], name = 0, f"part-{part:06d}-{nth:06d}.arc{'.gz' if press else ''}"
+            path = f"{folder}/{name}"
+            write_whole(path, chunks(name))
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([path]), pa.array([version], pa.int32()), pa.array(n)], ["name", "path", "version", "records"])
+            nth += 1
 
     cols = [F.col("page_id").cast("long").alias("page_id"), "url", "html"]
     n = partitions(pages.sparkSession)
@@ -170,7 +198,7 @@ def index_arcs(arcs: DataFrame) -> DataFrame:
             for path, name in zip(*(b.column(i).to_pylist() for i in range(2))):
                 rows, version = [], None
                 with open_binary(path) as f:
-                    for at, raw in members(f):
+                    for at, raw in arc_members(f):
                         fields, block, version = parse_arc(raw, version)
                         if fields["URL"].startswith("filedesc://"):
                             continue
@@ -202,24 +230,24 @@ def convert(index: DataFrame, folder: str, least_bytes: int = 100) -> DataFrame:
         row = next(rows, None)
         while row:
             path, name, n = row[0], row[1], [0]
+            target, info = f"{name.removesuffix('.gz').removesuffix('.arc')}.warc.gz", record_id(f"{name}#warcinfo")
 
             def chunks():
                 nonlocal row
-                info = record_id(f"{name}#warcinfo")
-                yield member(warc_record("warcinfo", info, "2000-01-01T00:00:00Z", f"urn:file:{name}", b"software: sluice\r\nformat: WARC File Format 1.1\r\n", "application/warc-fields"))
+                yield member(warc_record("warcinfo", info, "2000-01-01T00:00:00Z", f"urn:file:{name}", b"software: sluice\r\nformat: WARC File Format 1.1\r\n", "application/warc-fields", more=(f"WARC-Filename: {target}",)))
                 with open_binary(path) as f:
                     while row and row[0] == path:
                         _, _, version, at, rid, digest, first, first_url, first_date = row
-                        fields, block, _ = parse_arc(next(members(f, at, 1))[1], version)
+                        fields, block, _ = parse_arc(next(arc_members(f, at, 1))[1], version)
                         head, _ = split_http(block)
                         again = first is not None and first != rid
                         media = "application/http; msgtype=response" if head else fields["Content-type"]
                         kind = "revisit" if again else "response" if head else "resource"
                         n[0] += 1
-                        yield member(warc_record(kind, rid, warc_date(fields["Archive-date"]), fields["URL"], head if again else block, media, digest, (first, first_url, first_date) if again else None))
+                        yield member(warc_record(kind, rid, warc_date(fields["Archive-date"]), fields["URL"], head if again else block, media, digest, (first, first_url, first_date) if again else None, (f"WARC-IP-Address: {fields['IP-address']}", f"WARC-Warcinfo-ID: {info}")))
                         row = next(rows, None)
 
-            out = f"{folder}/{name.removesuffix('.arc.gz')}.warc.gz"
+            out = f"{folder}/{target}"
             write_whole(out, chunks())
             yield pa.RecordBatch.from_arrays([pa.array([out]), pa.array(n)], ["path", "records"])
 
@@ -270,6 +298,14 @@ def archive_round_trip(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
     empty table gives no rows; other columns are not read.  Folders lie under spark.checkpoint.dir."""
     folder = shared_dir(pages.sparkSession)
     records = stored(read_warcs(convert(index_arcs(write_arcs(pages, f"{folder}/arc")), f"{folder}/warc", least_bytes)), "records")
-    seen = records.where("refers is not null").select(F.col("refers").alias("r")).distinct()
-    responses = records.join(seen, records["rid"] == seen["r"]).select(F.col("rid").alias("refers"), F.col("page_id").alias("refers_to"))
-    return records.join(responses, "refers", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    # responses refer to nothing, so they stay out of the join: their null key would gather in one task
+    again = records.where("refers is not null")
+    seen = again.select("refers").distinct()
+    responses = records.where("refers is null").select("rid", F.col("page_id").alias("refers_to")).join(seen, F.col("rid") == F.col("refers")).select("refers", "refers_to")
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    whole = records.where("refers is null").withColumn("refers_to", F.lit(None).cast("long"))
+    # one response may have a third of all rows as its revisits, so each response meets them in several parts
+    parts = 16
+    spread = responses.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    dealt = again.withColumn("part", F.pmod(F.xxhash64("rid"), F.lit(parts)).cast("int"))
+    return whole.select(*columns).unionByName(dealt.join(spread, ["refers", "part"], "left").select(*columns))
