@@ -1,9 +1,10 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
-Each source's documents lie in a seeded order on a line of words, which is cut into equal blocks.  The exact number of
-blocks each source owes is split over the output shards by a binary tree whose every node draws its left half
-hypergeometrically, so shards are as random as one global shuffle but are planned from counts alone.  Shards then take
-disjoint runs of the permuted blocks and shuffle them locally.
+Each source's documents are permuted by a seeded hash and then laid on a line of words, which is cut into equal blocks:
+the blocks are permuted ones, and only one document of a source is ever taken in part.  The exact number of blocks each
+source owes is split over the output shards by a binary tree whose every node draws its left half hypergeometrically,
+so shards are as random as one global shuffle but are planned from counts alone.  Shards draw disjoint runs of the
+permuted blocks, what a document gives is the sum of its words in them, and each shard shuffles its documents locally.
 """
 
 from __future__ import annotations
@@ -39,22 +40,22 @@ def fill_targets(sizes: list[int], weights: list[float], share: float = 1.5, mos
     return targets
 
 
-def split_once(quotas: np.ndarray, left_total: int, rng: np.random.Generator) -> np.ndarray:
-    """How many of each source's blocks go left, so that left_total do: one multivariate hypergeometric draw.
+#: Blocks are as wide as keeps a mixture below this many, within the exact range of the hypergeometric sampler.
+MOST_BLOCKS = 1 << 29
+
+
+def width_of_blocks(words: float, least: int) -> int:
+    """Words of a block: it grows with the mixture beyond MOST_BLOCKS blocks of `least` words."""
+    return max(least, math.ceil(words / MOST_BLOCKS))
+
 
-    Counts beyond the exact sampler's range take its normal limit, held inside the support."""
+def split_once(quotas: np.ndarray, left_total: int, rng: np.random.Generator) -> np.ndarray:
+    """How many of each source's blocks go left, so that left_total do: one exact multivariate hypergeometric draw."""
     out, rest, need = np.zeros_like(quotas), int(quotas.sum()), left_total
     for i, q in enumerate(map(int, quotas)):
         others = rest - q
         low, high = max(0, need - others), min(q, need)
-        if low == high:
-            got = low
-        elif rest < 1_000_000_000:
-            got = int(rng.hypergeometric(q, others, need))
-        else:
-            p = q / rest
-            sd = math.sqrt(need * p * (1 - p) * (rest - need) / (rest - 1))
-            got = min(high, max(low, round(rng.normal(need * p, sd))))
+        got = low if low == high else int(rng.hypergeometric(q, others, need))
         out[i] = got
         need -= got
         rest = others
@@ -85,8 +86,8 @@ def _literal(spark, rows: list[tuple], schema: str) -> DataFrame:
 def mix_draws(docs: DataFrame, turns: tuple = TURNS, share: float = 1.5, most: float = 2.0, block_words: int = 32, shards: int | None = None, shard_words: int = 16_000_000, seed: int = 17) -> DataFrame:
     """Every row of docs with size, source_size, target, taken and draws (shard, epoch, from_word, words) beside its columns.
 
-    Sources stand in code-point order, null last, and weigh `turns` in turn.  A source owes round(target /
-    block_words) blocks; whole epochs of its line come first, then the line's beginning, so a document is taken once,
+    Sources stand in code-point order, null last, and weigh `turns` in turn.  A source owes round(target / width)
+    blocks, of block_words words or, in a mixture of over MOST_BLOCKS such, as many as keep within that number; whole epochs of its line come first, then the line's beginning, so a document is taken once,
     twice or not at all, but for one document at the end of the line, which is taken in part.  Documents without words
     have size 0 and are never drawn.  The order on the line is by md5 of seed and doc_id, ties by a hash of the text;
     identical rows are interchangeable, and all rows count, repeated or not.  Null doc_ids and sources are values like
@@ -96,24 +97,28 @@ def mix_draws(docs: DataFrame, turns: tuple = TURNS, share: float = 1.5, most: f
     return _planned(docs, turns, share, most, block_words, shards, shard_words, seed)[0]
 
 
-def _planned(docs: DataFrame, turns: tuple = TURNS, share: float = 1.5, most: float = 2.0, block_words: int = 32, shards: int | None = None, shard_words: int = 16_000_000, seed: int = 17) -> tuple[DataFrame, int]:
-    """The rows of mix_draws and the number of shards."""
+def _planned(docs: DataFrame, turns: tuple = TURNS, share: float = 1.5, most: float = 2.0, block_words: int = 32, shards: int | None = None, shard_words: int = 16_000_000, seed: int = 17, sizes: DataFrame | None = None) -> tuple[DataFrame, int]:
+    """The rows of mix_draws and the number of shards.
+
+    sizes: docs with size and a hash of the text (__text) in place of the text, where it is needed no more."""
     spark = docs.sparkSession
-    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "draws")]
+    own = [c for c in (docs if sizes is None else sizes).columns if c not in ("size", "source_size", "target", "taken", "draws", "__text")]
     mark = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     source = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
-    rows = docs.select(*own, word_count().alias("size"), mark.alias("__mark"), source.alias("__source"), F.xxhash64("text").alias("__text"))
+    sized = docs if sizes is None else sizes
+    rows = sized.select(*own, (word_count() if sizes is None else F.col("size")).alias("size"), mark.alias("__mark"), source.alias("__source"), (F.xxhash64("text") if sizes is None else F.col("__text")).alias("__text"))
     rows = rows.withColumn("__bucket", F.substring("__mark", 1, 3))
     sums = stored(rows.groupBy("__source", "__bucket").agg(F.sum("size").alias("words")), "sums")  # 4096 rows a source
     totals = sorted((r["__source"] == "n", r["__source"], r["w"]) for r in sums.groupBy("__source").agg(F.sum("words").alias("w")).collect())
-    sizes = [t[2] for t in totals]
-    targets = fill_targets(sizes, [turns[i % len(turns)] for i in range(len(sizes))], share, most)
+    words = [t[2] for t in totals]
+    targets = fill_targets(words, [turns[i % len(turns)] for i in range(len(words))], share, most)
+    width = width_of_blocks(share * sum(words), block_words)
     shards = shards or max(64, math.ceil(sum(targets) / shard_words))
-    runs: list[list] = [[] for _ in sizes]
-    at = [0] * len(sizes)
-    for shard, counts in enumerate(splitting_tree([round(t / block_words) for t in targets], shards, seed) if sizes else []):
+    runs: list[list] = [[] for _ in words]
+    at = [0] * len(words)
+    for shard, counts in enumerate(splitting_tree([round(t / width) for t in targets], shards, seed) if words else []):
         for i, n in enumerate(counts):
-            lo, hi = at[i] * block_words, min((at[i] + n) * block_words, math.floor(most * sizes[i]))
+            lo, hi = at[i] * width, min((at[i] + n) * width, math.floor(most * words[i]))
             if lo < hi:
                 runs[i].append({"shard": shard, "lo": lo, "hi": hi})
             at[i] += n
@@ -150,8 +155,11 @@ def _draws(runs: Column, lo: Column, size: Column, line: Column, most: float) ->
 
 
 def mix_sizes(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every row: what the mix takes, without the texts."""
-    return mix_draws(docs.select("doc_id", "source", "text"), **options).select("doc_id", "size", "source_size", "target", "taken")
+    """doc_id, size, source_size, target, taken of every row: what the mix takes, without the texts.
+
+    Sizes are counted once and written, four values a row."""
+    sizes = stored(docs.select("doc_id", "source", word_count().alias("size"), F.xxhash64("text").alias("__text")), "sizes")
+    return _planned(docs, sizes=sizes, **options)[0].select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mix(docs: DataFrame, seed: int = 17, **options) -> DataFrame:

@@ -104,7 +104,7 @@ select doc_id, count(*) as n_lines, count(*) filter (where lost) as n_dropped,
 from marked group by r, doc_id
 """
 
-#: As mixing.mix_draws: the line of words by md5, whole epochs and then its beginning, in blocks of 32 words.
+#: As mixing.mix_draws: the line of words by md5, whole epochs and then its beginning, in blocks of 32 words or wider.
 MIX_SQL = rf"""
 with recursive sized as (
   select doc_id, source, {_WORDS} as size, md5('17:' || coalesce(cast(doc_id as varchar), 'null')) as mark from documents),
@@ -122,8 +122,9 @@ fill as (
   from fill where round < 40),
 owed as (
   select source, source_size, case when capped then 2.0 * source_size else share end as target from fill where round = 40),
+width as (select greatest(32, ceil(1.5 * sum(source_size) / 536870912)) as width from sources),
 owed_words as (
-  select *, least(round(target / 32) * 32, 2 * source_size)::bigint as words from owed),
+  select owed.*, least(round(target / width) * width, 2 * source_size)::bigint as words from owed, width),
 placed as (
   select *, coalesce(sum(size) over (partition by source order by mark rows between unbounded preceding and 1 preceding), 0)::bigint as lo from sized)
 select p.doc_id, p.size, o.source_size, o.target,
