@@ -10,6 +10,7 @@ documents asked for.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import zlib
 
@@ -26,8 +27,10 @@ from .tokens import array_slices, encoder
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC, HAS_CHECKSUMS = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1, 0x80
 
 
-def file_chunks(documents, frame_bytes: int = 1 << 18, level: int = 3):
-    """Chunks of one file from (doc_id, ids as bytes) pairs; a frame closes once it holds frame_bytes."""
+def file_chunks(documents, frame_bytes: int = 1 << 18, level: int = 3, most_bytes: int = 1 << 30):
+    """Chunks of one file from (doc_id, ids as bytes) pairs; a frame closes once it holds frame_bytes.
+
+    A document of over most_bytes goes over several frames, whose sizes the seek table holds in 32 bits."""
     import xxhash
     import zstandard
 
@@ -43,11 +46,12 @@ def file_chunks(documents, frame_bytes: int = 1 << 18, level: int = 3):
     for key, data in documents:
         ids.append(key)
         sizes.append(len(data) // 4)
-        held.append(data)
-        size += len(data)
-        if size >= frame_bytes:
-            yield close()
-            held, size = [], 0
+        for at in range(0, len(data), most_bytes):
+            held.append(data[at : at + most_bytes])
+            size += len(held[-1])
+            if size >= frame_bytes:
+                yield close()
+                held, size = [], 0
     if held:
         yield close()
     null = np.array([k is None for k in ids], np.uint8)
@@ -99,28 +103,33 @@ class TokenFile:
         return self.held[1]
 
     def read(self, i: int) -> bytes:
-        """Ids of the i-th document as bytes; only its frame is read and decompressed."""
+        """Ids of the i-th document as bytes; only its frame (for a very long one, frames) is read and decompressed."""
         if not self.sizes[i]:
             return b""
         k = int(np.searchsorted(self.first, self.starts[i], side="right")) - 1
-        at = 4 * int(self.starts[i] - self.first[k])
-        return self._frame(k)[at : at + 4 * int(self.sizes[i])]
+        at, size = 4 * int(self.starts[i] - self.first[k]), 4 * int(self.sizes[i])
+        out = self._frame(k)[at : at + size]
+        while len(out) < size:
+            k += 1
+            out += self._frame(k)[: size - len(out)]
+        return out
 
     def close(self) -> None:
         self.file.close()
 
 
-def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, keeps_blanks: bool = True, folder: str | None = None, frame_bytes: int = 1 << 18, cache_words: int = 400_000) -> DataFrame:
+def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, keeps_blanks: bool = True, folder: str | None = None, frame_bytes: int = 1 << 18, cache_words: int = 400_000, file_tokens: int = 1 << 26) -> DataFrame:
     """Encode every text, append the end id and write files in ascending doc_id order (null ids last).
 
-    Returns the manifest: part, path, docs, tokens, start (ids in all files before it).  File names come from the
-    range partition, and files appear by a rename, so a repeated task replaces a file by the same file."""
+    Returns the manifest: part, nth, path, docs, tokens, start (ids in all files before it).  A file closes once it
+    holds file_tokens ids.  File names come from the range partition and their order there, and files appear by a
+    rename, so a repeated task replaces a file by the same file."""
     spark = docs.sparkSession
     folder = folder or f"{shared_dir(spark)}/tokens"
-    schema = "part int, path string, docs long, tokens long"
+    schema = "part int, nth int, path string, docs long, tokens long"
 
     def write(batches):
-        encode, end, part, seen = encoder(vocabulary, keeps_blanks, cache_words).encode_array, np.uint32(end_id).tobytes(), TaskContext.get().partitionId(), [0, 0]
+        encode, end, part = encoder(vocabulary, keeps_blanks, cache_words).encode_array, np.uint32(end_id).tobytes(), TaskContext.get().partitionId()
 
         def documents():
             for batch in batches:
@@ -128,19 +137,29 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, keeps_b
                 for lo, hi in array_slices(texts):
                     ids, at = encode(texts[lo:hi])
                     for key, a, b in zip(keys[lo:hi].to_pylist(), at, at[1:]):
-                        seen[0] += 1
-                        seen[1] += int(b - a) + 1
                         yield key, ids[a:b].tobytes() + end
 
-        path = f"{folder}/part-{part:06d}.tok.zst"
-        write_whole(path, file_chunks(documents(), frame_bytes))
-        if seen[0]:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([path]), pa.array([seen[0]]), pa.array([seen[1]])], ["part", "path", "docs", "tokens"])
+        rest, done = documents(), [0, 0]
+
+        def one_file(first):
+            done[:] = 0, 0
+            for key, ids in itertools.chain([first], rest):
+                done[0] += 1
+                done[1] += len(ids) // 4
+                yield key, ids
+                if done[1] >= file_tokens:
+                    break
+
+        for nth, first in enumerate(rest):
+            path = f"{folder}/part-{part:06d}-{nth:06d}.tok.zst"
+            write_whole(path, file_chunks(one_file(first), frame_bytes))
+            columns = [pa.array([part], pa.int32()), pa.array([nth], pa.int32()), pa.array([path]), pa.array([done[0]]), pa.array([done[1]])]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "nth", "path", "docs", "tokens"])
 
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc()]
     ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
     parts = stored(ranged.mapInArrow(write, schema), "manifest")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    before = Window.orderBy("part", "nth").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return parts.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
 
 
