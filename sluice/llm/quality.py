@@ -1,4 +1,4 @@
-"""Quality by weak supervision: rules vote or abstain, EM learns how far each can be trusted.
+"""Quality by weak supervision: rules vote bad or good or abstain, EM learns how far each can be trusted.
 
 The text measures are taken document by document.  The votes of all documents are reduced to counts of distinct vote
 patterns (at most 3 to the number of rules, however large the corpus); expectation-maximisation runs on those counts,
@@ -109,35 +109,43 @@ def rules() -> dict:
     }
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, anchor: float = 1.0):
-    """EM over vote patterns: (share of good documents, per rule P(good vote | good), P(good vote | bad), posteriors).
+def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 400, votes: float = 50.0, alarm: float = 0.04, own: float = 0.6):
+    """EM over vote patterns: (share of each class, rates[class, rule, vote + 1], posterior of the first class).
 
-    Votes are independent given the class, and an abstention says nothing.  Accuracies start above chance and are held
-    there by a prior worth `anchor` times the documents, so the classes cannot swap, a rule that never votes stays neutral,
-    and the verdicts are alike at every size of the corpus."""
-    votes = np.asarray(patterns, float)
+    The first class is of good documents; then there is one kind of bad documents for each rule, of those in which
+    the rule mostly fires.  Votes are independent given the class, and an abstention is a third outcome with a rate of its
+    own, so that a rule that looks for one defect alone is learned too.  All rates and shares are estimated from the
+    documents, held by a prior worth `votes` pseudo-documents however many there are.  Two bounds keep the classes what
+    they are called: a rule votes bad on `own` at least of its kind, and on `alarm` at least of the good, for none is so
+    sure that it outvotes all others alone."""
+    votes_ = np.asarray(patterns, int)
     counts = np.asarray(counts, float)
-    up, down = votes == 1, votes == -1
-    hit0, false0, weight = 0.95, 0.4, max(1.0, anchor * counts.sum())
-    share, hit, false = 0.8, np.full(votes.shape[1], hit0), np.full(votes.shape[1], false0)
-
-    def posterior():
-        good = np.log(share) + up @ np.log(hit) + down @ np.log(1 - hit)
-        bad = np.log(1 - share) + up @ np.log(false) + down @ np.log(1 - false)
-        return 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
-
-    if not len(counts):
-        return share, hit, false, np.zeros(0)
-    for _ in range(rounds):
-        p = posterior()
-        good, bad = counts * p, counts * (1 - p)
-        new = (good.sum() + 0.8 * weight) / (counts.sum() + weight)
-        hit = np.clip((good @ up + hit0 * weight) / (good @ (up | down) + weight), 0.6, 0.999)
-        false = np.clip((bad @ up + false0 * weight) / (bad @ (up | down) + weight), 0.001, hit - 0.1)
-        if abs(new - share) < 1e-9:
+    n_rules = votes_.shape[1]
+    hot = np.stack([votes_ == v for v in (-1, 0, 1)], 2).astype(float)
+    both = hot[:, :, 2].any(0)[:, None]  # the rules that vote good at times
+    start = np.tile(np.where(both, (0.05, 0.25, 0.70), (0.03, 0.97, 0.0)), (n_rules + 1, 1, 1))
+    start[np.arange(1, n_rules + 1), np.arange(n_rules)] = np.where(both, (0.8, 0.1, 0.1), (0.8, 0.2, 0.0))
+    start = np.maximum(start, 1e-6)
+    first = np.array([0.8, *[0.2 / n_rules] * n_rules])
+    least = np.zeros((n_rules + 1, n_rules))
+    least[0] = alarm
+    least[np.arange(1, n_rules + 1), np.arange(n_rules)] = own
+    share, rates, p = first, start, np.zeros((len(counts), n_rules + 1))
+    for _ in range(rounds if len(counts) else 0):
+        log = np.log(share) + np.einsum("irv,krv->ik", hot, np.log(rates))
+        p = np.exp(log - log.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        new = np.einsum("i,ik,irv->krv", counts, p, hot) + votes * start
+        new /= new.sum(2, keepdims=True)
+        low = new[:, :, 0] < least
+        others = new[:, :, 1:] * ((1 - least) / np.maximum(1 - new[:, :, 0], 1e-12))[:, :, None]
+        new = np.where(low[:, :, None], np.concatenate([least[:, :, None], others], 2), new)
+        now = (counts @ p + votes * first) / (counts.sum() + votes)
+        moved = max(np.abs(now - share).max(), np.abs(new - rates).max())
+        share, rates = now, new
+        if moved < 1e-9:
             break
-        share = new
-    return share, hit, false, posterior()
+    return share, rates, p[:, 0]
 
 
 def judge(measured: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -147,7 +155,7 @@ def judge(measured: DataFrame, threshold: float = 0.5) -> DataFrame:
     keys = [f"__v_{k}" for k in named]
     table = voted.groupBy(*keys).count().collect()  # at most 3 ** len(rules) patterns
     patterns = np.array([[r[k] for k in keys] for r in table], int).reshape(-1, len(keys))
-    _, _, _, p = fit(patterns, np.array([r["count"] for r in table]))
+    _, _, p = fit(patterns, np.array([r["count"] for r in table]))
     code = sum(((F.col(k) + 1) * 3**i for i, k in enumerate(keys)), F.lit(0)).cast("int")
     spark = measured.sparkSession
     weights = 3 ** np.arange(len(keys))
