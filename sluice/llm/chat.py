@@ -14,7 +14,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import partitions, stored
@@ -100,8 +101,10 @@ def fit(turns: DataFrame, smooth: float = 0.5) -> Hmm:
     for i, m in enumerate(marks[1:], 1):
         if m in at:
             mark[i, 2 * at[m]] += max(1.0, 0.2 * mark[0, 2 * at[m]])
-    prev = known.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("before"))
-    pairs = known.select("conv_id", "turn", "role").join(prev, ["conv_id", "turn"], "left").groupBy("before", "role").count().collect()
+    # by counts of equal turns, so that rows which share a turn make no pairs; each counts once for every role before it
+    held = known.groupBy("conv_id", "turn", "role").agg(F.count(F.lit(1)).alias("n"))
+    prev = held.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("before"))
+    pairs = held.join(prev, ["conv_id", "turn"], "left").groupBy("before", "role").agg(F.sum("n").alias("count")).collect()
     begin, follow = np.full(n, smooth), np.full((n, n), smooth)
     for r in pairs:
         if r["before"] is None:
@@ -167,26 +170,79 @@ def render(hmm: Hmm, text: str | None, path: list[int]) -> tuple[list[str], str]
     return roles, "".join(f"<|{r}|>\n{'\n'.join(p).strip()}\n<|end|>\n" for r, p in zip(roles, parts))
 
 
+def segments(turns: DataFrame, segment: int) -> tuple[DataFrame, DataFrame | None]:
+    """conv_id, turn, text, tie, copies, conv, seg of each conversation's rows, cut every `segment` rows in order of turn
+    and a hash of the text; and the conversations (conv) that are cut, or None.
+
+    Equal rows of a conversation are one row with their number of copies.  Rows are numbered, for conversations of more
+    than `segment` rows alone, in ranges that may part a conversation anywhere."""
+    own = F.when(F.col("conv_id").isNull(), F.xxhash64(F.lit("alone"), "turn", "text")).otherwise(F.xxhash64("conv_id"))
+    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "text")
+    rows = rows.groupBy("conv_id", "turn", "text").agg(F.count(F.lit(1)).alias("copies")).withColumn("conv", own).withColumn("tie", F.xxhash64("text"))
+    rows = stored(rows, "rows")
+    columns = ("conv_id", "turn", "text", "tie", "copies", "conv", "seg")
+    of = lambda first: F.explode(F.expr(f"sequence({first} div {segment}, ({first} + copies - 1) div {segment})")).alias("seg")
+    within = lambda first: (F.least(F.col(first) + F.col("copies"), (F.col("seg") + 1) * segment) - F.greatest(F.col(first), F.col("seg") * segment)).alias("copies")
+
+    def cut(numbered):
+        return numbered.select("*", of("first")).withColumn("copies", within("first")).select(*columns)
+
+    # rows without a conv_id are conversations of one row, however many are equal
+    alone = cut(rows.where("conv_id is null").withColumn("first", F.lit(0).cast("long")))
+    parts = 16  # in which the rows of a long conversation are told from others
+    sums = rows.where("conv_id is not null").groupBy("conv").agg(F.sum("copies").alias("n"))
+    long = stored(sums.where(F.col("n") > segment).select("conv"), "long")
+    if long.isEmpty():
+        return alone.unionByName(rows.where("conv_id is not null").withColumn("seg", F.lit(0).cast("long")).select(*columns)), None
+    spread = long.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    pieced = rows.where("conv_id is not null").withColumn("piece", F.pmod("tie", F.lit(parts)).cast("int"))
+    short = pieced.join(spread, ["conv", "piece"], "left_anti").withColumn("seg", F.lit(0).cast("long")).select(*columns)
+
+    schema = "conv_id long, turn long, text string, tie long, copies long, conv long, part int, nth long"
+
+    def number(batches):
+        part, at, upto = TaskContext.get().partitionId(), None, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            copies, conv = b.column(4).to_numpy(), b.column(5).to_numpy()
+            before = np.cumsum(copies) - copies
+            starts = np.flatnonzero(np.r_[True, conv[1:] != conv[:-1]])
+            ends = np.r_[starts[1:], len(conv)]
+            nth = before - np.repeat(before[starts], ends - starts)
+            if conv[0] == at:
+                nth[: ends[0]] += upto
+            at, upto = conv[-1], nth[-1] + copies[-1]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(conv), part, np.int32)), pa.array(nth)], [x.split()[0] for x in schema.split(", ")])
+
+    mine = pieced.join(spread, ["conv", "piece"], "left_semi").select("conv_id", "turn", "text", "tie", "copies", "conv")
+    ranged = mine.repartitionByRange(partitions(turns.sparkSession), "conv", "turn", "tie").sortWithinPartitions("conv", "turn", "tie", "text")
+    numbered = stored(ranged.mapInArrow(number, schema), "numbered")
+    before = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    firsts = numbered.groupBy("conv", "part").agg(F.sum("copies").alias("n")).select("conv", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("upto"))
+    placed = numbered.join(firsts, ["conv", "part"]).withColumn("first", F.col("upto") + F.col("nth"))
+    return alone.unionByName(short).unionByName(cut(placed)), long
+
+
 def format_chats(turns: DataFrame, hmm: Hmm, segment: int = 1024) -> DataFrame:
     """conv_id, turn, n_lines, role_pred (of the record's first line), n_turns, rendered, for every row of turns.
 
-    A role column is never read.  Records are in order of turn (null first), ties by text.  Null or empty texts are one empty
-    line; a row with a null conv_id is a conversation of its own; repeated rows are records each; an empty table gives
-    no rows; other columns are not read.  Without any labelled turn the role is null and nothing is rendered."""
+    A role column is never read.  Records are in order of turn (null first), ties by a hash of the text.  Null or empty texts are
+    one empty line; a row with a null conv_id is a conversation of its own; repeated rows are records each; an empty
+    table gives no rows; other columns are not read.  Without any labelled turn the role is null and nothing is rendered.
+    A conversation of more than `segment` records is decoded in segments of so many."""
     rows = turns.select("conv_id", "turn", "text")
     schema = "conv_id long, turn long, n_lines long, role_pred string, n_turns long, rendered string"
     if not hmm.roles:
         none = F.lit(None).cast("string")
         n = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")
         return rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), n.alias("n_lines"), none.alias("role_pred"), F.lit(0).cast("long").alias("n_turns"), none.alias("rendered"))
-    own = F.when(F.col("conv_id").isNull(), F.xxhash64(F.lit("alone"), "turn", "text")).otherwise(F.xxhash64("conv_id"))
-    placed = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "text", own.alias("conv"), F.floor(F.coalesce("turn", F.lit(-1)) / segment).cast("long").alias("seg"))
     n = partitions(turns.sparkSession)
     size = 2 * len(hmm.roles)
 
     def reduce(batches):
         for g in runs(batches, ["conv", "seg"]):
-            best = reduce_segment(hmm, g["text"].to_pylist())
+            best = reduce_segment(hmm, np.repeat(np.array(g["text"].to_pylist(), object), g["copies"].to_numpy()).tolist())
             yield pa.RecordBatch.from_arrays([g["conv"][:1].combine_chunks(), g["seg"][:1].combine_chunks(), pa.array([best.ravel().tolist()], pa.list_(pa.float64()))], ["conv", "seg", "best"])
 
     def join(batches):
@@ -208,18 +264,33 @@ def format_chats(turns: DataFrame, hmm: Hmm, segment: int = 1024) -> DataFrame:
     def read(batches):
         names = [c.split()[0] for c in schema.split(", ")]
         for g in runs(batches, ["conv", "seg"]):
+            copies, alone = g["copies"].to_numpy(), g["conv_id"][0].as_py() is None
             texts = g["text"].to_pylist()
-            paths = decode(hmm, texts, *((None if g["enter"][0].as_py() is None else np.array(g["enter"][0].as_py())), g["leave"][0].as_py()))
-            done = [render(hmm, t, p) for t, p in zip(texts, paths)]
+            if alone:
+                done = [render(hmm, t, *decode(hmm, [t], None, None)) for t in texts]
+            else:
+                each = np.repeat(np.arange(len(texts)), copies)
+                enter = g["enter"][0].as_py()
+                paths = decode(hmm, [texts[i] for i in each], None if enter is None else np.array(enter), g["leave"][0].as_py())
+                done = [render(hmm, texts[i], p) for i, p in zip(each, paths)]
+            each = pa.array(np.repeat(np.arange(len(texts)), copies))
+            if alone:
+                done = [done[i] for i in each.to_pylist()]
+            lines = [(texts[i] or "").count("\n") + 1 for i in each.to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [g["conv_id"].combine_chunks(), g["turn"].combine_chunks(), pa.array([len(p) for p in paths], pa.int64()), pa.array([r[0] for r, _ in done]), pa.array([len(r) for r, _ in done], pa.int64()), pa.array([x for _, x in done])], names
+                [g["conv_id"].combine_chunks().take(each), g["turn"].combine_chunks().take(each), pa.array(lines, pa.int64()), pa.array([r[0] for r, _ in done]), pa.array([len(r) for r, _ in done], pa.int64()), pa.array([x for _, x in done])], names
             )
 
-    # most conversations are one segment and need no joining
-    segments = placed.select("conv", "seg").distinct()
-    many = stored(segments.groupBy("conv").count().where("count > 1").select("conv"), "long")
-    parts = placed.join(many, "conv", "left_semi")
-    reduced = parts.repartition(n, "conv", "seg").sortWithinPartitions("conv", "seg", "turn", "text").select("conv", "seg", "text").mapInArrow(reduce, "conv long, seg long, best array<double>")
-    ends = reduced.repartition(n, "conv").sortWithinPartitions("conv", "seg").mapInArrow(join, "conv long, seg long, enter array<double>, leave int")
-    bounded = placed.join(stored(ends, "ends"), ["conv", "seg"], "left")
-    return bounded.repartition(n, "conv", "seg").sortWithinPartitions("conv", "seg", "turn", "text").select("conv", "seg", "conv_id", "turn", "text", "enter", "leave").mapInArrow(read, schema)
+    placed, long = segments(rows, segment)
+    none = F.lit(None)
+    if long is None:
+        bounded = placed.withColumns({"enter": none.cast("array<double>"), "leave": none.cast("int")})
+    else:
+        placed = stored(placed, "placed")
+        many = placed.select("conv", "seg").distinct().join(long, "conv", "left_semi")
+        reduced = placed.where("conv_id is not null").join(many, ["conv", "seg"], "left_semi").select("conv", "seg", "turn", "tie", "text", "copies")
+        reduced = reduced.repartition(n, "conv", "seg").sortWithinPartitions("conv", "seg", "turn", "tie", "text").select("conv", "seg", "text", "copies").mapInArrow(reduce, "conv long, seg long, best array<double>")
+        ends = reduced.repartition(n, "conv").sortWithinPartitions("conv", "seg").mapInArrow(join, "conv long, seg long, enter array<double>, leave int")
+        bounded = placed.join(stored(ends, "ends"), ["conv", "seg"], "left")
+    ordered = bounded.repartition(n, "conv", "seg").sortWithinPartitions("conv", "seg", "turn", "tie", "text")
+    return ordered.select("conv", "seg", "conv_id", "turn", "text", "copies", "enter", "leave").mapInArrow(read, schema)
