@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from .common import stored
 from .tokens import array_slices, encoder
 
-#: Groups of pieces of one length are numbered in this many parts, so no length is one task's work.
-RANK_PARTS = 256
+#: Pieces of one length are numbered in parts of about this many, so no length is one task's work.
+RANK_ROWS = 100_000
 
 
 def pack_histogram(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -103,10 +103,13 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
 
 
-def rank_in_length(pieces: DataFrame) -> DataFrame:
-    """Adds `rank` from 0 within each length, in parts by a hash, so that a length with a third of all rows is split."""
-    part = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(RANK_PARTS)).alias("part")
-    pieces = pieces.select("*", part)
+def rank_in_length(pieces: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """Adds `rank` from 0 within each length, in parts by a hash, so that a length with a third of all rows is split.
+
+    counts: the number of pieces of each length; parts grow with it."""
+    parts = pieces.sparkSession.createDataFrame([(k, -(-n // RANK_ROWS)) for k, n in counts.items()], "length long, parts long")
+    part = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("parts")).alias("part")
+    pieces = pieces.join(F.broadcast(parts), "length").select(*pieces.columns, part)  # a row a length
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = pieces.groupBy("length", "part").count().select("length", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
     within = Window.partitionBy("length", "part").orderBy("doc_id", "start", "ids_crc32")
@@ -118,7 +121,8 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 2
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.  A null or empty text has
     its end id alone; a null doc_id stays null; repeated rows are packed each; an empty table gives no rows; other
-    columns of the input, whatever their names, are not read.  The pieces (five numbers each) are written once, so
+    columns of the input, whatever their names, are not read.  Any sequence shorter than capacity is padded to it by
+    its reader, one whose length is a power of two need not be.  The pieces (five numbers each) are written once, so
     the texts are encoded once and a lost executor costs no more than its own tasks."""
     pieces = stored(token_pieces(docs, vocabulary, capacity, end_id, keeps_blanks, cache_words=cache_words), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
@@ -138,4 +142,4 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 2
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
             )
 
-    return rank_in_length(pieces).mapInArrow(place, schema)
+    return rank_in_length(pieces, histogram).mapInArrow(place, schema)
