@@ -15,11 +15,13 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder under spark.checkpoint.dir; a local one of our own only where that is unset."""
+    """A fresh folder under spark.checkpoint.dir; a local one of our own only where that is unset and Spark runs locally."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that the executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/sluice-{uuid.uuid4().hex}"
@@ -37,17 +39,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def make_dirs(uri: str) -> None:
-    p = urlparse(uri)
-    if p.scheme in ("", "file"):
-        os.makedirs(p.path, exist_ok=True)
-    else:
-        from pyarrow import fs
-
-        store, path = fs.FileSystem.from_uri(uri)
-        store.create_dir(path, recursive=True)
-
-
 def write_whole(uri: str, chunks) -> int:
     """Stream chunks to a temporary name, then rename: a lost or repeated task leaves a whole file or none.
 
