@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import language, lines, mixing, near, packing
-from sluice.llm.common import stored
+from sluice.llm.common import BLANKS, stored
 from sluice.llm.tokens import vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -27,7 +27,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that five documents or more share stay in one of them; a document that loses all its lines goes."""
     done = lines.line_dedup(docs)
-    left = done.where((F.col("n_dropped") == 0) | (F.trim("kept_text") != ""))
+    left = done.where((F.col("n_dropped") == 0) | (F.trim("kept_text", F.lit(BLANKS)) != ""))
     text = F.when(F.col("n_dropped") == 0, F.col("text")).otherwise(F.col("kept_text"))
     return left.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
