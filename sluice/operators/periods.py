@@ -80,6 +80,41 @@ def cell(x: Column, y: Column, size: float) -> Column:
     return (F.floor(x / size) + 1_000_000) * 10_000_000 + F.floor(y / size) + 1_000_000
 
 
+def nearest(points: DataFrame, key: str, size: float, k: int, save) -> DataFrame:
+    """key, rank (from 1), other, d2: the k nearest other points (key, x, y) by squared distance, ties by key.
+
+    A point looks at its cell and the eight around; what is within a cell's width there is settled.  Points that are
+    not look again at cells of twice the size, until one cell holds the whole extent.  save writes each round."""
+    p = save(points.select(F.col(key).alias("id"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")))
+    edge = p.agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("w")).first()["w"] or 0.0
+    asking, out, steps = p, None, [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+    while True:
+        last = size >= edge
+        at = lambda c: F.floor(F.col(c) / size)  # noqa: B023, E731
+        around = asking.select("id", "x", "y", F.explode(F.array(*steps)).alias("s")).select("id", "x", "y", (at("x") + F.col("s.i")).alias("gx"), (at("y") + F.col("s.j")).alias("gy"))
+        own = p.select(F.col("id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"), at("x").alias("gx"), at("y").alias("gy"))
+        d2 = (F.col("x") - F.col("ox")) * (F.col("x") - F.col("ox")) + (F.col("y") - F.col("oy")) * (F.col("y") - F.col("oy"))
+        pairs = around.join(own, ["gx", "gy"]).where("id <> other").select("id", "other", d2.alias("d2"))
+        few = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("d2", "other"))).where(F.col("rank") <= k)
+        held = few.withColumns({"n": F.count("rank").over(Window.partitionBy("id")), "far": F.max("d2").over(Window.partitionBy("id"))})
+        settled = save(held.where(F.lit(last) | ((F.col("n") == k) & (F.col("far") <= size * size))).select("id", "rank", "other", "d2"))
+        out = settled if out is None else out.unionByName(settled)
+        if last:
+            return out.withColumnRenamed("id", key)
+        asking = save(asking.join(settled.select("id").distinct(), "id", "left_anti"))
+        if asking.isEmpty():
+            return out.withColumnRenamed("id", key)
+        size *= 2
+
+
+def inherited(access: DataFrame, parents: DataFrame, parent: str, child: str) -> DataFrame:
+    """Grants on a parent become grants on each of its children (parents: parent, child); grants on a child and grants on
+    all (null in both columns) stay."""
+    own = access.where(F.col(child).isNotNull() | F.col(parent).isNull())
+    down = access.where(F.col(parent).isNotNull() & F.col(child).isNull()).drop(child).join(parents.select(parent, child), parent)
+    return own.unionByName(down.select(*access.columns))
+
+
 def row_filter(df: DataFrame, access: DataFrame, user: str, key: str, as_of) -> DataFrame:
     """Rows that a user's valid grants cover; a grant with a null key covers all."""
     mine = access.where((F.col("user_email") == user) & (F.col("valid_from") <= as_of) & (F.col("valid_to").isNull() | (F.col("valid_to") > as_of)))

@@ -33,17 +33,21 @@ class ReconSpec:
     target_filter: str | None = None
 
 
-def text_of(df: DataFrame, name: str) -> Column:
-    """A column as stable text: arrays sorted and joined, doubles as decimal(18,2), times as yyyy-MM-dd HH:mm:ss."""
+#: What an empty date or time counts as where sentinels are asked for.
+SENTINELS = {"date": "1900-01-01", "timestamp": "1900-01-01 00:00:00", "timestamp_ntz": "1900-01-01 00:00:00"}
+
+
+def text_of(df: DataFrame, name: str, sentinels: bool = False) -> Column:
+    """A column as exact text, trimmed; arrays sorted and joined.  Null, and only null, is NULL_MARK.
+
+    Nothing is rounded: a tolerance or a coarser form is a transform of its column.  sentinels: null dates and times count
+    as their sentinel, so two systems that store one or the other agree."""
     kind = dict(df.dtypes)[name]
     c = F.col(f"`{name}`")
     if kind.startswith("array"):
         c = F.concat_ws(",", F.sort_array(c.cast("array<string>")))
-    elif kind in ("double", "float"):
-        c = c.cast("decimal(18,2)").cast("string")
-    elif kind.startswith("timestamp"):
-        c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-    return F.coalesce(F.trim(c.cast("string")), F.lit(NULL_MARK))
+    mark = SENTINELS.get(kind, NULL_MARK) if sentinels else NULL_MARK
+    return F.coalesce(F.when(F.col(f"`{name}`").isNotNull(), F.trim(c.cast("string"))), F.lit(mark))
 
 
 def prepare(df: DataFrame, spec: ReconSpec, target: bool = False) -> DataFrame:
@@ -56,9 +60,9 @@ def prepare(df: DataFrame, spec: ReconSpec, target: bool = False) -> DataFrame:
     return df.select(*spec.keys, *[c for c in wanted if c not in spec.keys and c not in spec.drop])
 
 
-def row_hash(df: DataFrame, columns: list[str] | None = None, kind: str = "sha2", compat: bool = False) -> Column:
+def row_hash(df: DataFrame, columns: list[str] | None = None, kind: str = "sha2", compat: bool = False, sentinels: bool = False) -> Column:
     """Hash of the sorted columns' texts; a separator keeps ("ab", "c") and ("a", "bc") apart unless compat."""
-    texts = [text_of(df, c) for c in sorted(columns or df.columns)]
+    texts = [text_of(df, c, sentinels) for c in sorted(columns or df.columns)]
     joined = F.concat(*texts) if compat else F.concat_ws(SEPARATOR, *texts)
     return F.sha2(joined, 256) if kind == "sha2" else F.md5(joined)
 
@@ -118,18 +122,38 @@ def threshold(source: Column, target: Column, low: float, high: float, kind: str
 
 
 def aggregate_compare(source: DataFrame, target: DataFrame, groups: list[str], rules: dict[str, Column], strict_nulls: bool = True) -> DataFrame:
-    """groups, rule, source_value, target_value, status for each rule; groups join null-safely, none means one row."""
-    s, t = (x.groupBy(*groups).agg(*[f.cast("double").alias(n) for n, f in rules.items()]).withColumn("there", F.lit(True)) for x in (source, target))
+    """groups, rule, source_value, target_value, status for each rule; groups join null-safely, none means one row.
+
+    Values are compared in the rule's own type and shown as text; status is match, mismatch, missing_in_source or
+    missing_in_target.  Without strict_nulls an aggregate that is null on one side is no mismatch."""
+    s, t = (x.groupBy(*groups).agg(*[f.alias(n) for n, f in rules.items()]).withColumn("there", F.lit(True)) for x in (source, target))
     both = _both(s, t, groups) if groups else s.alias("s").crossJoin(t.alias("t"))  # one row each
-    items = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"s.{n}").alias("source_value"), F.col(f"t.{n}").alias("target_value")) for n in rules])
-    same = F.col("source_value").eqNullSafe(F.col("target_value")) if strict_nulls else F.coalesce(F.col("source_value") == F.col("target_value"), F.lit(True))
-    status = F.when(F.col("in_t").isNull(), "missing_in_target").when(F.col("in_s").isNull(), "missing_in_source").when(same, "match").otherwise("mismatch")
-    flat = both.select(*[F.coalesce(f"s.{g}", f"t.{g}").alias(g) for g in groups], F.col("s.there").alias("in_s"), F.col("t.there").alias("in_t"), F.inline(items))
-    return flat.select(*groups, "rule", "source_value", "target_value", status.alias("status"))
+
+    def item(n):
+        a, b = F.col(f"s.{n}"), F.col(f"t.{n}")
+        same = a.eqNullSafe(b) if strict_nulls else F.coalesce(a == b, F.lit(True))
+        status = F.when(F.col("t.there").isNull(), "missing_in_target").when(F.col("s.there").isNull(), "missing_in_source").when(same, "match").otherwise("mismatch")
+        return F.struct(F.lit(n).alias("rule"), a.cast("string").alias("source_value"), b.cast("string").alias("target_value"), status.alias("status"))
+
+    return both.select(*[F.coalesce(f"s.{g}", f"t.{g}").alias(g) for g in groups], F.inline(F.array(*[item(n) for n in rules])))
+
+
+#: The kinds of aggregate rules.
+AGGREGATES = {
+    "min": F.min, "max": F.max, "count": F.count, "sum": F.sum, "avg": F.avg, "mean": F.avg,
+    "mode": lambda c: F.mode(c, deterministic=True), "stddev": F.stddev, "variance": F.variance, "median": F.median,
+}
+
+
+def aggregate_rules(rules: list[tuple[str, str]]) -> dict[str, Column]:
+    """Named aggregates of (kind, column) rules; a rule given twice is one."""
+    return {f"{kind}_{column}": AGGREGATES[kind](column) for kind, column in dict.fromkeys(rules)}
 
 
-def schema_compare(source: list[tuple[str, str]], target: DataFrame) -> DataFrame:
-    """source_column, source_type, target_type, is_valid of declared source columns against a frame's schema."""
+def schema_compare(source: DataFrame | list[tuple[str, str]], target: DataFrame) -> DataFrame:
+    """source_column, source_type, target_type, is_valid: the columns of a frame, or declared (name, type) pairs, against
+    a frame's schema, by lower-cased name."""
+    declared = source if isinstance(source, list) else source.dtypes
     have = {c.lower(): t for c, t in target.dtypes}
 
     def fits(kind: str, there: str) -> bool:
@@ -140,7 +164,7 @@ def schema_compare(source: list[tuple[str, str]], target: DataFrame) -> DataFram
             want = f"decimal({int(p)},{int(sc or 0)})"
         return want == there
 
-    rows = [(c.lower(), t.lower(), have.get(c.lower(), "Unknown"), fits(t, have.get(c.lower(), "Unknown"))) for c, t in source]
+    rows = [(c.lower(), t.lower(), have.get(c.lower(), "Unknown"), fits(t, have.get(c.lower(), "Unknown"))) for c, t in declared]
     return target.sparkSession.createDataFrame(rows, "source_column string, source_type string, target_type string, is_valid boolean")
 
 

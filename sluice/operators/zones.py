@@ -98,3 +98,11 @@ def assign(points: DataFrame, v: DataFrame, point: str, size: float) -> DataFram
     """Every point with its zone; of several, the lowest id; none: null."""
     found = points_in_zones(points, v, point, size).groupBy(point).agg(F.min("zone_id").alias("zone_id"))
     return points.join(found, point, "left").select(point, "zone_id")
+
+
+def union_cells(v: DataFrame, groups: DataFrame, group: str, size: float) -> DataFrame:
+    """group, n, area: the union of each group's zones as the cells whose centres lie in any of them.
+
+    groups: zone_id and the group's column; a zone may belong to several."""
+    covered = cover(v, size).join(groups, "zone_id").select(group, "gx", "gy").distinct()
+    return covered.groupBy(group).agg(F.count("*").alias("n"), (F.count("*") * F.lit(float(size * size))).alias("area"))

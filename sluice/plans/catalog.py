@@ -57,7 +57,7 @@ def oracle_sql() -> dict[str, str]:
 
 # --- the pair: orders and an edited copy -------------------------------------------------------------------------
 
-ORDERS = recon.ReconSpec(keys=("o_orderkey",), columns=("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"))
+ORDERS = recon.ReconSpec(keys=("o_orderkey",), columns=("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"), transforms={"o_totalprice": "cast(o_totalprice as decimal(18,2))"})
 
 
 def pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -91,10 +91,11 @@ def row_hash_md5(spark, d):
     return s.select("o_orderkey", recon.row_hash(s, kind="md5").alias("h"))
 
 
-@frame("select event_id, sha256(concat_ws(chr(1), coalesce(event_type, '_null_recon_'), coalesce(strftime(ts, '%Y-%m-%d %H:%M:%S'), '_null_recon_'), coalesce(cast(user_id as varchar), '_null_recon_'))) as h from events")
+@frame("""select event_id, sha256(concat_ws(chr(1), case when event_id % 5 = 0 then '1900-01-01' else strftime(ts, '%Y-%m-%d') end,
+  case when event_id % 7 = 0 then '_null_recon_' else array_to_string(list_sort([event_type, user_id::varchar]), ',') end, coalesce(event_type, '_null_recon_'))) as h from events""")
 def hash_normalize_by_type(spark, d):
-    e = table(spark, d, "events").select("event_id", "event_type", "ts", "user_id")
-    return e.select("event_id", recon.row_hash(e, ["event_type", "ts", "user_id"]).alias("h"))
+    e = table(spark, d, "events").selectExpr("event_id", "event_type", "if(event_id % 5 = 0, null, to_date(ts)) as day", "if(event_id % 7 = 0, null, array(string(user_id), event_type)) as tags")
+    return e.select("event_id", recon.row_hash(e, ["event_type", "day", "tags"], sentinels=True).alias("h"))
 
 
 @frame(_CLASSES + "select status, count(*) as n from c group by status")
@@ -200,25 +201,45 @@ def threshold_report(spark, d):
     return j.where(failed).select("s.o_orderkey", F.col("s.o_totalprice").alias("source_value"), F.col("t.o_totalprice").alias("target_value"))
 
 
-_AGG = PAIR + """, a as (select o_orderstatus g, count(*)::double n, min(o_totalprice)::double lo, max(o_custkey)::double hi from s group by 1), b as (select o_orderstatus g, count(*)::double n, min(o_totalprice)::double lo, max(o_custkey)::double hi from t group by 1),
- u as (select coalesce(a.g, b.g) as o_orderstatus, unnest(['n', 'lo', 'hi']) as rule, unnest([a.n, a.lo, a.hi]) as source_value, unnest([b.n, b.lo, b.hi]) as target_value from a full join b on a.g is not distinct from b.g)
- select *, case when source_value is not distinct from target_value then 'match' else 'mismatch' end as status from u"""
+_AGG = PAIR + """, a as (select {g} as g, count(*)::varchar n, min(o_totalprice)::decimal(18,2)::varchar lo, max(o_custkey)::varchar hi from s {where_s} group by 1), b as (select {g} as g, count(*)::varchar n, min(o_totalprice)::decimal(18,2)::varchar lo, max(o_custkey)::varchar hi from t {where_t} group by 1),
+ u as (select coalesce(a.g, b.g) as {name}, unnest(['n', 'lo', 'hi']) as rule, unnest([a.n, a.lo, a.hi]) as source_value, unnest([b.n, b.lo, b.hi]) as target_value, a.n is not null as in_s, b.n is not null as in_t from a full join b on a.g is not distinct from b.g)
+ """
+_AGG_STATUS = "case when not in_t then 'missing_in_target' when not in_s then 'missing_in_source' when source_value is not distinct from target_value then 'match' else 'mismatch' end"
+def _rules():
+    return {"n": F.count(F.lit(1)), "lo": F.min("o_totalprice").cast("decimal(18,2)"), "hi": F.max("o_custkey")}
 
 
-@frame(_AGG)
+@frame(_AGG.format(g="o_orderstatus", name="o_orderstatus", where_s="", where_t="") + f"select o_orderstatus, rule, source_value, target_value, {_AGG_STATUS} as status from u")
 def agg_recon(spark, d):
-    rules = {"n": F.count(F.lit(1)), "lo": F.min("o_totalprice"), "hi": F.max("o_custkey")}
-    return recon.aggregate_compare(*pair(spark, d), ["o_orderstatus"], rules)
+    return recon.aggregate_compare(*pair(spark, d), ["o_orderstatus"], _rules())
 
 
-@frame(PAIR + "select 'n' as rule, (select count(*) from s)::double as source_value, (select count(*) from t)::double as target_value, case when (select count(*) from s) = (select count(*) from t) then 'match' else 'mismatch' end as status")
+@frame(PAIR + "select 'n' as rule, (select count(*) from s)::varchar as source_value, (select count(*) from t)::varchar as target_value, case when (select count(*) from s) = (select count(*) from t) then 'match' else 'mismatch' end as status")
 def agg_join_global(spark, d):
     return recon.aggregate_compare(*pair(spark, d), [], {"n": F.count(F.lit(1))})
 
 
-@frame(PAIR + "select count(*) as mismatch_pairs from s join t on s.o_orderkey = t.o_orderkey where s.o_totalprice <> t.o_totalprice having count(*) >= 0")
+AGG_CLASSES = _AGG.format(g="o_custkey % 40", name="g", where_s="where o_custkey % 40 < 36", where_t="where o_custkey % 40 > 3") + f", v as (select g, rule, source_value, target_value, {_AGG_STATUS} as status from u) "
+
+
+def agg_classes(spark, d):
+    """Aggregates of the pair by customer group, with groups that either side lacks."""
+    s, t = (x.withColumn("g", F.col("o_custkey") % 40) for x in pair(spark, d))
+    return recon.aggregate_compare(s.where("g < 36"), t.where("g > 3"), ["g"], _rules())
+
+
+@frame(AGG_CLASSES + "select rule, status, count(*) as n from v group by 1, 2")
 def agg_classify(spark, d):
-    return recon.metrics(recon.classify(*pair(spark, d), ORDERS)).select(F.col("mismatch").alias("mismatch_pairs"))
+    return agg_classes(spark, d).groupBy("rule", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@frame("select l_returnflag, min(l_linenumber) as min_l_linenumber, max(l_linenumber) as max_l_linenumber, count(l_linenumber) as count_l_linenumber, sum(l_linenumber)::bigint as sum_l_linenumber, round(avg(l_linenumber), 6) as avg_l_linenumber, round(avg(l_quantity), 6) as mean_l_quantity, mode(l_linenumber > 0) as mode_l_any, round(stddev(l_quantity), 6) as stddev_l_quantity, round(variance(l_quantity), 4) as variance_l_quantity, median(l_quantity) as median_l_quantity from lineitem group by 1")
+def agg_types(spark, d):
+    rows = table(spark, d, "lineitem").withColumn("l_any", F.col("l_linenumber") > 0)
+    rules = [(k, "l_linenumber") for k in ("min", "max", "count", "sum", "avg")] + [("mean", "l_quantity"), ("mode", "l_any"), ("stddev", "l_quantity"), ("variance", "l_quantity"), ("median", "l_quantity"), ("max", "l_linenumber")]
+    places = {"avg_l_linenumber": 6, "mean_l_quantity": 6, "stddev_l_quantity": 6, "variance_l_quantity": 4}
+    out = rows.groupBy("l_returnflag").agg(*[f.alias(n) for n, f in recon.aggregate_rules(rules).items()])
+    return out.withColumns({c: F.round(c, n) for c, n in places.items()})
 
 
 @frame(_CLASSES + "select count(*) filter (where status = 'match') as match, count(*) filter (where status = 'mismatch') as mismatch, count(*) filter (where status = 'missing_in_source') as missing_in_source, count(*) filter (where status = 'missing_in_target') as missing_in_target, count(*) filter (where status = 'mismatch') * 100 <= 5.0 * count(*) as passed from c")
@@ -227,20 +248,28 @@ def table_threshold_status(spark, d):
     return recon.table_status(m, F.col("match") + F.col("mismatch") + F.col("missing_in_source") + F.col("missing_in_target"), percent=5.0)
 
 
-@frame()
+@frame("select * from (values ('o_orderkey', 'bigint', 'bigint', true), ('o_custkey', 'number(10,1)', 'bigint', false), ('o_orderstatus', 'varchar(1)', 'string', true), ('o_totalprice', 'float', 'double', true), ('o_comment', 'varchar(79)', 'Unknown', false)) v(source_column, source_type, target_type, is_valid)")
 def schema_compare(spark, d):
     declared = [("o_orderkey", "bigint"), ("o_custkey", "number(10,1)"), ("o_orderstatus", "varchar(1)"), ("o_totalprice", "float"), ("o_comment", "varchar(79)")]
     return recon.schema_compare(declared, table(spark, d, "orders"))
 
 
-@frame()
-def details_record(spark, d):
+_MISMATCHES = _CLASSES + ", d as (select o_orderkey, status, row_number() over (order by o_orderkey) as rn from c where status = 'mismatch' order by o_orderkey limit 50) "
+
+
+def _details(spark, d):
     return recon.details(recon.classify(*pair(spark, d), ORDERS).where("status = 'mismatch'").orderBy("o_orderkey"), "mismatch")
 
 
-@frame()
+@frame(_MISMATCHES + "select 'mismatch' as recon_type, count(*) as n, string_agg(o_orderkey::varchar, ',' order by o_orderkey) as keys from d")
+def details_record(spark, d):
+    keys = F.array_join(F.transform("data", lambda m: m["o_orderkey"]), ",")
+    return _details(spark, d).select("recon_type", F.size("data").cast("long").alias("n"), keys.alias("keys"))
+
+
+@frame(_MISMATCHES + "select 'mismatch' as recon_type, rn::int as rn, unnest(['o_orderkey', 'status']) as key, unnest([o_orderkey::varchar, status]) as value from d")
 def report_details_pivot(spark, d):
-    return recon.explode_details(details_record(spark, d))
+    return recon.explode_details(_details(spark, d))
 
 
 @frame()
@@ -465,4 +494,4 @@ def row_filter_admin(spark, d):
     return periods.row_filter(rows, access, "b@x", "project_id", 10).select("o_orderkey")
 
 
-from . import facts, feeds, statements, store, zones  # noqa: E402,F401  queries of other modules
+from . import checks, facts, feeds, gold, sensors, statements, store, zones  # noqa: E402,F401  queries of other modules

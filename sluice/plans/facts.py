@@ -9,7 +9,6 @@ from .statements import MONEY
 _N = "cast({} as bigint)"
 
 # aggregates
-both("agg_types", "select o_orderstatus, min(o_custkey) as lo, max(o_custkey) as hi, count(*) as n, " + _N.format("sum(o_custkey)") + " as total, " + MONEY.format("o_totalprice") + " as money from {orders} group by o_orderstatus")
 both("agg_join_grouped", "select coalesce(a.g, b.g) as g, a.n as source_n, b.n as target_n, case when a.n <=> b.n then 'match' else 'mismatch' end as status from (select o_custkey % 20 as g, count(*) as n from {orders} where o_custkey % 20 < 15 group by 1) a full join (select c_custkey % 20 as g, count(*) as n from {customer} where c_custkey % 20 > 3 group by 1) b on a.g <=> b.g",
      "select coalesce(a.g, b.g) as g, a.n as source_n, b.n as target_n, case when a.n is not distinct from b.n then 'match' else 'mismatch' end as status from (select o_custkey % 20 as g, count(*) as n from {orders} where o_custkey % 20 < 15 group by 1) a full join (select c_custkey % 20 as g, count(*) as n from {customer} where c_custkey % 20 > 3 group by 1) b on a.g is not distinct from b.g")
 both("agg_array", "select n_regionkey, array_join(transform(array_sort(collect_list(struct(-n_nationkey as k, n_name as v))), x -> x.v), ',') as names from {nation} group by n_regionkey", "select n_regionkey, string_agg(n_name, ',' order by n_nationkey desc) as names from {nation} group by n_regionkey")
@@ -28,10 +27,6 @@ both("scd2_late_arrival", "select user_id, event_type, event_id as start_at, end
 
 # sessions and sensors
 both("session_edges", "select user_id, event_id from (select *, min(case when event_type = 'click' then event_id end) over (partition by user_id) as a, max(case when event_type = 'click' then event_id end) over (partition by user_id) as b from {events}) where event_id between a and b")
-both("nearest_of_three", "select o_orderkey, case when abs(o_custkey - 100) <= abs(o_custkey - 500) and abs(o_custkey - 100) <= abs(o_custkey - 900) then 100 when abs(o_custkey - 500) <= abs(o_custkey - 900) then 500 else 900 end as nearest from {orders}")
-both("time_category", "select event_id, case when hour(ts) < 7 then 'before' when hour(ts) > 16 then 'after' when hour(ts) = 12 then 'break' else 'during' end as category from {events}")
-both("schedule_durations", "select event_id, h + m / 60.0D as hours from (select event_id, cast(split(hms, ':')[0] as int) as h, cast(split(hms, ':')[1] as int) as m from (select event_id, concat(event_id % 24, ':', (event_id % 4) * 15, ':00') as hms from {events}))",
-     "select event_id, h + m / 60.0::double as hours from (select event_id, split_part(hms, ':', 1)::int as h, split_part(hms, ':', 2)::int as m from (select event_id, concat(event_id % 24, ':', (event_id % 4) * 15, ':00') as hms from {events}))")
 
 # cells
 both("euclidean", "select s_suppkey, sqrt(cast((s_suppkey % 7) * (s_suppkey % 7) + s_nationkey * s_nationkey as double)) as d from {supplier}")
@@ -55,7 +50,6 @@ both("fact_weather", "select event_id, cast(user_id as int) as station, value fr
 both("fact_reported_attendance", "select coalesce(a.k, b.k) as k, coalesce(a.n, b.n) as n, case when a.k is null then 'second' else 'first' end as src, coalesce(a.n, b.n) = 1 as deleted from (select o_custkey as k, count(*) as n from {orders} where o_orderstatus = 'F' group by 1) a full join (select o_custkey as k, count(*) as n from {orders} where o_orderstatus = 'O' group by 1) b on a.k = b.k")
 both("merge_old_data", "select o_orderkey + 1000000 as k, c_custkey as new_worker from {orders} join {customer} on c_custkey = o_custkey where not exists (select 1 from {events} where event_id = o_orderkey)")
 both("expand_via_group", "select distinct c.c_custkey as worker, s.s_suppkey as manager from {customer} c join {supplier} s on c.c_nationkey = s.s_nationkey")
-both("final_status", "select g, max(case when kind = 'missing' then n else 0 end) = 0 as row_ok, max(case when kind = 'mismatch' then n else 0 end) = 0 as column_ok from (select o_orderstatus as g, case when o_orderkey % 97 = 0 then 'missing' when o_orderkey % 89 = 0 then 'mismatch' else 'match' end as kind, count(*) as n from {orders} group by 1, 2) group by g")
 both("gold_views", "select c.c_custkey, c.c_name, n.n_name, r.r_name, o.o_orderkey as latest_order from {customer} c left join {nation} n on n.n_nationkey = c.c_nationkey left join {region} r on r.r_regionkey = n.n_regionkey left join (select o_custkey, max(o_orderkey) as o_orderkey from {orders} group by 1) o on o.o_custkey = c.c_custkey")
 
 # approximate aggregates and samples: what they promise, held against the exact value

@@ -122,15 +122,12 @@ both("impacted_area", "select k, min(a) as lo, max(a) as hi from (select o_custk
 both("expected_calendar", "select c_custkey, explode(sequence(c_custkey, c_custkey + c_custkey % 4)) as day from {customer}", "select c_custkey, unnest(range(c_custkey, c_custkey + c_custkey % 4 + 1)) as day from {customer}")
 both("hour_category", "select event_id, case when hour(ts) < 6 then 'night' when hour(ts) < 12 then 'morning' when hour(ts) < 18 then 'afternoon' else 'evening' end as part from {events}")
 both("active_inactive_days", "select event_id, case when event_type = 'click' then round(value / 86400, 9) else 0 end as active from {events}")
-both("missed_readings", "select event_id, least(greatest(next_id - event_id - 1, 0), 400) as missed from (select event_id, lead(event_id) over (partition by user_id order by event_id) as next_id from {events}) t")
-both("shift_metrics", "select user_id, count_if(event_type = 'click') as clicks, count_if(event_type = 'view') as views, count_if(event_type = 'error') as errors, count(*) as n from {events} group by 1")
 
 # gold
 both("customer_order_mart", f"select c_custkey, count(o_orderkey) as orders, {MONEY.format('o_totalprice')} as spent from {{customer}} left join {{orders}} on c_custkey = o_custkey group by 1")
 both("worker_daily_summary", "select user_id, cast(ts as date) as day, count(*) as n, count(distinct event_type) as kinds from {events} group by 1, 2")
 both("calc_manager_changes", "select o_orderkey, lag(o_custkey) over (partition by o_orderpriority order by o_orderkey) as previous, coalesce(lag(o_custkey) over (partition by o_orderpriority order by o_orderkey) <> o_custkey, false) as is_change from {orders}")
 both("bronze_silver_gold", f"with silver as (select distinct o_orderkey, o_orderstatus, o_totalprice from {{orders}} where o_totalprice > 0) select o_orderstatus, count(*) as n, {MONEY.format('o_totalprice')} as total from silver group by 1")
-both("dependency_order", "select n_nationkey as node, case when n_nationkey = n_regionkey then 0 else 1 end as level from {nation}")
 
 # scalar functions
 both("fn_string_basic", "select c_custkey, lower(c_name) as a, upper(c_name) as b, lpad(c_name, 25, '*') as c, rpad(c_name, 25, '-') as d, left(c_name, 3) as e, right(c_name, 4) as f, repeat('x', 3) as g, replace(c_name, '0', 'o') as h, reverse(c_name) as i, translate(c_name, 'Cu', 'Ku') as j, contains(c_name, '1') as k, trim(c_name) as l, concat_ws('-', c_name, c_mktsegment) as m from {customer}")

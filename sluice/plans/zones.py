@@ -99,14 +99,7 @@ def managers_by_level(spark, d):
     return hierarchy_levels(spark, d).where("level <= 2").select("child", "ancestor", "level")
 
 
-@frame("select distinct c_custkey // 4 as root from customer where c_custkey // 4 not in (select c_custkey from customer)")
-def lineage_roots_at_level(spark, d):
-    e = table(spark, d, "customer").selectExpr("c_custkey as child", "c_custkey div 4 as root")
-    return e.select("root").distinct().join(e.select(F.col("child").alias("root")), "root", "left_anti")
-
-
 # sessions, contacts, rules
-both("session_split_24h", "select l_orderkey, cast(max(l_quantity) - min(l_quantity) as int) div 24 as full_days from {lineitem} group by l_orderkey", "select l_orderkey, (max(l_quantity) - min(l_quantity))::int // 24 as full_days from {lineitem} group by l_orderkey")
 _STITCH = """with s as (select o_custkey, o_orderkey as a, o_orderkey + o_orderkey % 7 as b from {orders}),
  m as (select *, case when a - lag(b) over w <= 300 and b - lag(a) over w <= 1200 then 0 else 1 end as fresh from s window w as (partition by o_custkey order by a)),
  g as (select *, sum(fresh) over (partition by o_custkey order by a rows between unbounded preceding and current row) as no from m)
