@@ -80,3 +80,30 @@ def rule_counts(df: DataFrame, rules: dict[str, str]) -> DataFrame:
 def new_rows(df: DataFrame, watermark: Column, last) -> DataFrame:
     """Rows above the last watermark, or all for a first load."""
     return df if last is None else df.where(watermark > F.lit(last))
+
+
+def enrich(df: DataFrame, lookups: list[tuple[DataFrame, str, list[str]]]) -> DataFrame:
+    """Left joins with lookups (frame, key, columns to take), each of one row a key; `stalled` names the keys that a row
+    has and a lookup has not."""
+    out, missing = df, []
+    for i, (dim, key, columns) in enumerate(lookups):
+        one = dim.select(key, *columns).dropDuplicates([key]).withColumn(f"__hit{i}", F.lit(True))
+        out = out.join(one, key, "left")
+        missing.append(F.when(F.col(key).isNotNull() & F.col(f"__hit{i}").isNull(), F.lit(key)))
+    out = out.withColumn("stalled", F.array_compact(F.array(*missing)))
+    return out.drop(*[f"__hit{i}" for i in range(len(lookups))])
+
+
+def two_phase(target: DataFrame, source: DataFrame, keys: list[str], scope: str) -> DataFrame:
+    """New snapshot: within the scopes that the source touches its rows replace all others; other scopes stay as they are.
+
+    Rows of the target with a touched scope and a key that the source lacks go; `action` says what became of a row."""
+    touched = source.select(scope).distinct().withColumn("__touched", F.lit(True))
+    merged = merge(target, source, keys).join(touched, scope, "left")
+    return merged.where("not (action = 'kept' and coalesce(__touched, false))").drop("__touched")
+
+
+def assignments(df: DataFrame, worker: Column, kind: str, value: Column, start: Column, end: Column, as_of) -> DataFrame:
+    """worker, kind, value, valid_from of the assignments in force: valid_from <= as_of < valid_to, a null end is open."""
+    rows = df.select(worker.alias("worker"), F.lit(kind).alias("kind"), value.cast("string").alias("value"), start.alias("valid_from"), end.alias("valid_to"))
+    return rows.where((F.col("valid_from") <= as_of) & (F.col("valid_to").isNull() | (F.col("valid_to") > as_of))).drop("valid_to")

@@ -96,7 +96,6 @@ both("set_except", "select c_custkey as k from {customer} except select o_custke
 both("set_precedence", "select n_nationkey as k from {nation} union (select s_nationkey from {supplier} intersect select c_nationkey from {customer}) except select r_regionkey from {region}")
 
 # mutation by statement, validation
-both("update_from", "select c_custkey, coalesce(n_name, 'none') as label from {customer} left join {nation} on c_nationkey = n_nationkey and n_regionkey = 2")
 both("delete_where", "select o_orderkey from {orders} where not coalesce(o_totalprice < 50000, false)")
 both("delete_using", "select c_custkey from {customer} where not exists (select 1 from {nation} where n_nationkey = c_nationkey and n_regionkey = 0)")
 both("post_delete_repair", "select event_id, user_id, next_id from (select event_id, user_id, event_type, lead(event_id) over (partition by user_id order by event_id) as next_id from {events}) t where event_type <> 'error'")
