@@ -48,12 +48,13 @@ both("expand_via_group", "select distinct c.c_custkey as worker, s.s_suppkey as
 both("gold_views", "select c.c_custkey, c.c_name, n.n_name, r.r_name, o.o_orderkey as latest_order from {customer} c left join {nation} n on n.n_nationkey = c.c_nationkey left join {region} r on r.r_regionkey = n.n_regionkey left join (select o_custkey, max(o_orderkey) as o_orderkey from {orders} group by 1) o on o.o_custkey = c.c_custkey")
 
 # approximate aggregates and samples: what they promise, held against the exact value
-both("agg_approx_count_distinct", "select o_orderstatus, abs(approx_count_distinct(o_custkey, 0.02) - count(distinct o_custkey)) <= 0.1 * count(distinct o_custkey) as within from {orders} group by o_orderstatus", "select o_orderstatus, true as within from {orders} group by o_orderstatus")
-both("agg_approx_percentile", "select o_orderstatus, abs(approx_percentile(o_custkey, 0.5, 10000) - median(o_custkey)) <= 0.02 * (max(o_custkey) - min(o_custkey)) + 1 as within from {orders} group by o_orderstatus", "select o_orderstatus, true as within from {orders} group by o_orderstatus")
-both("agg_approx_top_k", "select size(approx_top_k(event_type, 3)) as n from {events}", "select least(3, count(distinct event_type))::int as n from {events}")
-both("sample_default", "select count(*) as n from (select * from {orders} limit 50)")
-both("tablesample_percent", "select count(*) between 0.05 * max(total) and 0.15 * max(total) as within from (select o_orderkey from {orders} tablesample (10 percent) repeatable (7)) cross join (select count(*) as total from {orders})", "select true as within")
-both("tablesample_join", "select count(*) between 0.3 * max(total) and 0.7 * max(total) as within from (select * from (select o_orderkey from {orders} join {customer} on o_custkey = c_custkey) tablesample (50 percent) repeatable (7)) cross join (select count(*) as total from {orders})", "select true as within")
+both("agg_approx_count_distinct", "select o_orderstatus, count(distinct o_custkey) as exact, 0.1 as tolerance, abs(approx_count_distinct(o_custkey, 0.02) - count(distinct o_custkey)) <= 0.1 * count(distinct o_custkey) as within from {orders} group by o_orderstatus", "select o_orderstatus, count(distinct o_custkey) as exact, 0.1 as tolerance, true as within from {orders} group by o_orderstatus")
+both("agg_approx_percentile", "select o_orderstatus, median(o_custkey) as exact, 0.02 as tolerance, abs(approx_percentile(o_custkey, 0.5, 10000) - median(o_custkey)) <= 0.02 * (max(o_custkey) - min(o_custkey)) + 1 as within from {orders} group by o_orderstatus", "select o_orderstatus, median(o_custkey) as exact, 0.02 as tolerance, true as within from {orders} group by o_orderstatus")
+both("agg_approx_top_k", "select x.item as item, x.count as n from (select explode(approx_top_k(l_linenumber, 2, 1000)) as x from {lineitem}) t", "select l_linenumber as item, count(*) as n from {lineitem} group by 1 order by n desc, item limit 2")
+both("sample_default", "select count(*) as n, count(distinct o_orderkey) as keys, count(o_custkey) as found from (select o.o_orderkey, c.o_custkey from (select o_orderkey from {orders} limit 50) o join {orders} c on c.o_orderkey = o.o_orderkey)")
+both("tablesample_percent", "select max(total) as total, 0.05 as low, 0.15 as high, count(*) between 0.05 * max(total) and 0.15 * max(total) as within from (select o_orderkey from {orders} tablesample (10 percent) repeatable (7)) cross join (select count(*) as total from {orders})", "select count(*) as total, 0.05 as low, 0.15 as high, true as within from {orders}")
+both("tablesample_seeded", "select count(*) as n, sum(case when a.o_orderkey = b.o_orderkey then 1 else 0 end) = count(*) as repeats from (select o_orderkey from {orders} tablesample (100 percent) repeatable (7)) a join (select o_orderkey from {orders} tablesample (100 percent) repeatable (7)) b on a.o_orderkey = b.o_orderkey", "select count(*) as n, true as repeats from {orders}")
+both("tablesample_join", "select max(total) as total, count(*) between 0.3 * max(total) and 0.7 * max(total) as within from (select * from (select o_orderkey from {orders} join {customer} on o_custkey = c_custkey) tablesample (50 percent) repeatable (7)) cross join (select count(*) as total from {orders})", "select count(*) as total, true as within from {orders}")
 
 
 @frame("select s_suppkey, greatest(abs(s_suppkey % 11 - 5), abs(s_nationkey - 12)) as d, case when s_nationkey = 0 then null else s_suppkey::double / s_nationkey end as r from supplier")

@@ -14,9 +14,12 @@ from ..operators import tables
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path under spark.checkpoint.dir, which the cluster shares; a local folder only where that is unset."""
+    """A fresh path under spark.checkpoint.dir, which the cluster shares; a local folder only where that is unset and Spark
+    runs locally."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that the executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/sluice-{uuid.uuid4().hex}/{name}"
@@ -52,6 +55,35 @@ VENDORS = {
 }
 
 
+#: The catalogue queries that list a table's columns and types.
+SCHEMA_QUERIES = {
+    "mssql": "select column_name, data_type, numeric_precision, numeric_scale from {database}.information_schema.columns where lower(table_schema) = '{schema}' and lower(table_name) = '{table}'",
+    "oracle": "select column_name, data_type, data_precision, data_scale from all_tab_columns where lower(owner) = '{schema}' and lower(table_name) = '{table}'",
+    "snowflake": "select column_name, data_type, numeric_precision, numeric_scale from {database}.information_schema.columns where lower(table_schema) = '{schema}' and lower(table_name) = '{table}'",
+    "postgres": "select column_name, data_type, numeric_precision, numeric_scale from information_schema.columns where lower(table_schema) = '{schema}' and lower(table_name) = '{table}'",
+}
+
+
+def vendor_options(kind: str, **login: str) -> dict[str, str]:
+    """JDBC options of a vendor: driver, session settings, and user, password or token as given."""
+    if kind not in VENDORS:
+        raise ValueError(f"unknown database kind {kind}")
+    return {**VENDORS[kind], **{k: v for k, v in login.items() if v}}
+
+
+def read_vendor(spark: SparkSession, kind: str, host: str, database: str, query: str, login: dict[str, str] | None = None, where: dict[str, str] | None = None, **partitioning) -> DataFrame:
+    """A query's rows from a vendor's database: its URL, driver and session settings, and read_jdbc's partitioning.
+
+    where: settings that belong in the URL (warehouse, role, encrypt ...)."""
+    return read_jdbc(spark, jdbc_url(kind, host, database, **(where or {})), query, **partitioning, **vendor_options(kind, **(login or {})))
+
+
+def schema_query(kind: str, database: str, schema: str, table: str) -> str:
+    """The vendor's query for a table's columns: names, types, precision and scale."""
+    safe = {k: v.replace("'", "''") for k, v in (("database", database), ("schema", schema.lower()), ("table", table.lower()))}
+    return SCHEMA_QUERIES[kind].format(**safe)
+
+
 def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str | None = None, lower=None, upper=None, num_partitions: int = 16, fetch_size: int = 10_000, **options: str) -> DataFrame:
     """A query's rows; with a partition column, num_partitions ranges of it are read in parallel."""
     r = spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) src").option("fetchsize", fetch_size).options(**options)

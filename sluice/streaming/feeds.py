@@ -62,23 +62,41 @@ def clean(stream: DataFrame, rules: dict[str, str], keys: list[str], at: str, de
 class ChangeTable:
     """State of keys in snapshots, one per batch id: state(i) is made from state(i - 1) and batch i alone.
 
-    A repeated batch therefore overwrites its snapshot with the same rows.  step(state or None, batch) gives the new
-    state."""
+    A repeated batch therefore overwrites its snapshot with the same rows, and an object made anew on the same folder,
+    after a restart, goes on where the last one ended.  step(state or None, batch) gives the new state.  The last two
+    snapshots are kept, which a repeated batch needs; older ones are deleted."""
 
     def __init__(self, folder: str, step: Callable[[DataFrame | None, DataFrame], DataFrame]):
-        self.folder, self.step, self.top, self.schema = folder, step, -1, None
+        self.folder, self.step = folder, step
+
+    def _snapshots(self, spark: SparkSession):
+        """The file system of the folder, and its finished snapshots by number."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/state")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = [x.getPath() for x in fs.listStatus(path)] if fs.exists(path) else []
+        done = [p for p in found if p.getName().isdigit() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+        return fs, {int(p.getName()): p for p in done}
+
+    def state(self, spark: SparkSession) -> DataFrame | None:
+        """The latest snapshot, or None before the first batch."""
+        _, done = self._snapshots(spark)
+        return spark.read.parquet(f"{self.folder}/state/{max(done)}") if done else None
 
     def run(self, stream: DataFrame) -> DataFrame:
         spark = stream.sparkSession
 
         def work(batch: DataFrame, i: int) -> None:
-            before = batch.sparkSession.read.schema(self.schema).parquet(f"{self.folder}/state/{i - 1}") if self.schema is not None else None
-            new = self.step(before, batch)
-            new.write.mode("overwrite").parquet(f"{self.folder}/state/{i}")
-            self.top, self.schema = i, new.schema
+            fs, done = self._snapshots(spark)
+            if i and i - 1 not in done:
+                raise RuntimeError(f"{self.folder} lacks the snapshot of batch {i - 1}")
+            before = batch.sparkSession.read.parquet(f"{self.folder}/state/{i - 1}") if i else None
+            self.step(before, batch).write.mode("overwrite").parquet(f"{self.folder}/state/{i}")
+            for n, path in done.items():
+                if n < i - 1:
+                    fs.delete(path, True)
 
         each_batch(stream, self.folder, work)
-        return spark.read.schema(self.schema).parquet(f"{self.folder}/state/{self.top}")
+        return self.state(spark)
 
 
 def scd1_step(keys: list[str], sequence: str, columns: list[str], deleted: Column):

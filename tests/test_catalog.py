@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.operators import periods, recon, tables, zones
+from sluice.operators import checks, periods, recon, sensors, tables, zones
 from sluice.plans import catalog
 from sluice.sources import stores
 from sluice.streaming import feeds
@@ -175,3 +175,74 @@ def test_zones_on_odd_rings(spark):
     assert zones.cover(v, 1.0).where("zone_id = 1").count() == 16
     assert zones.assign(p, v.limit(0), "id", 1.5).where("zone_id is null").count() == 4
     assert zones.shift_scale(v.where("zone_id = 1"), 1.0, 0.0, 2.0).agg(F.min("x"), F.max("x")).first() == (-1.0, 7.0)
+
+
+def test_rows_are_compared_exactly(spark):
+    """Neither 0.004 nor 900 ms is rounded away; null is no value."""
+    a = spark.createDataFrame([(1, 10.001, "2024-01-01 00:00:00.1", None), (2, 1e17, "2024-01-01 00:00:00", "x")], "k int, v double, t string, s string").withColumn("t", F.col("t").cast("timestamp"))
+    b = a.withColumn("v", F.when(F.col("k") == 1, F.col("v") + 0.004).otherwise(F.col("v")))
+    c = a.withColumn("t", F.when(F.col("k") == 1, F.col("t") + F.expr("interval 900 milliseconds")).otherwise(F.col("t")))
+    spec = recon.ReconSpec(("k",))
+    for other in (b, c):
+        assert {r["k"]: r["status"] for r in recon.classify(a, other, spec).collect()} == {1: "mismatch", 2: "match"}
+    rough = recon.ReconSpec(("k",), transforms={"v": "cast(v as decimal(18,2))"}, columns=("v",))
+    one = a.where("k = 1")
+    assert {r["status"] for r in recon.classify(one, one.withColumn("v", F.col("v") + 0.003), rough).collect()} == {"match"}
+
+
+def test_aggregates_keep_their_type(spark):
+    a, b = (spark.createDataFrame([(2**53 + i, "b"), (1, "a")], "n long, s string") for i in (0, 1))
+    got = {r["rule"]: r["status"] for r in recon.aggregate_compare(a, b, [], {"n": F.max("n"), "s": F.min("s")}).collect()}
+    assert got == {"n": "mismatch", "s": "match"}
+
+
+def test_change_table_goes_on_after_a_restart(spark, tmp_path):
+    folder, into = f"file://{tmp_path}/t", f"file://{tmp_path}/in"
+    step = feeds.scd1_step(["k"], "n", ["v"], F.col("v") == "gone")
+    spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, n int, v string").write.mode("append").parquet(into)
+    read = lambda: feeds.file_stream(spark, f"{into}/*.parquet", "k int, n int, v string", 1).drop("source_file", "loaded_at")
+    feeds.ChangeTable(folder, step).run(read())
+    for rows in ([(1, 2, "c")], [(2, 3, "gone"), (3, 1, "d")]):
+        spark.createDataFrame(rows, "k int, n int, v string").coalesce(1).write.mode("append").parquet(into)
+        state = feeds.ChangeTable(folder, step).run(read())
+    assert {r["k"]: (r["v"], r["deleted"]) for r in state.collect()} == {1: ("c", False), 2: ("gone", True), 3: ("d", False)}
+    assert feeds.ChangeTable(folder, step).run(read()).count() == 3  # nothing new
+    assert len([p for p in (tmp_path / "t" / "state").iterdir() if p.is_dir()]) == 2
+
+
+def test_vendor_presets():
+    options = stores.vendor_options("oracle", user="u", password="p", token="")
+    assert options["user"] == "u" and "token" not in options and options["oracle.jdbc.mapDateToTimestamp"] == "false"
+    assert "all_tab_columns" in stores.schema_query("oracle", "db", "HR", "O'Neil") and "o''neil" in stores.schema_query("oracle", "db", "HR", "O'Neil")
+    with pytest.raises(ValueError):
+        stores.vendor_options("none")
+
+
+def test_levels_follow_longest_paths(spark):
+    save = stores.materialize
+    edges = spark.createDataFrame([(1, 2), (2, 3), (1, 3), (4, 3), (3, 5), (None, 9)], "a int, b int")
+    assert {r["node"]: r["level"] for r in checks.levels(edges, "a", "b", save).collect()} == {1: 0, 4: 0, 2: 1, 3: 2, 5: 3}
+    assert {(r["root"], r["node"]) for r in checks.at_depth(edges, "a", "b", 2, save).collect()} == {(1, 5), (4, 5)}
+    with pytest.raises(ValueError):
+        checks.levels(edges.union(spark.createDataFrame([(5, 2)], "a int, b int")), "a", "b", save)
+
+
+def test_time_categories(spark):
+    rows = [(m, s, e) for m, s, e in ((480, 480, 960), (960, 480, 960), (479, 480, 960), (961, 480, 960), (700, 480, 960), (60, 1320, 360), (1330, 1320, 360), (700, 1320, 360), (1, None, 5), (10, 1320, 360))]
+    df = spark.createDataFrame(rows, "m int, s int, e int").withColumn("b", F.expr("array(struct(690 as `from`, 720 as `to`), struct(1435 as `from`, 15 as `to`))"))
+    got = [r[0] for r in df.select(sensors.time_category(F.col("m"), F.col("s"), F.col("e"), F.col("b"))).collect()]
+    assert got == ["during", "during", "before", "after", "break", "during", "during", "before", "none", "break"]
+    texts = spark.createDataFrame([("8:30:00",), ("7.5",), ("x",), (None,), ("10:15",)], "t string")
+    assert [r[0] for r in texts.select(sensors.hours(F.col("t"))).collect()] == [8.5, 7.5, None, None, 10.25]
+
+
+def test_nearest_points_widen(spark):
+    rows = [(i, float(i % 5), float(i // 5)) for i in range(20)] + [(99, 5000.0, 5000.0), (100, None, 1.0)]
+    df = spark.createDataFrame(rows, "id int, x double, y double")
+    got = {}
+    for r in periods.nearest(df, "id", 1.0, 3, stores.materialize).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["other"]))
+    for i, x, y in rows[:-1]:
+        want = sorted((((x - a) ** 2 + (y - b) ** 2), o) for o, a, b in rows[:-1] if o != i)[:3]
+        assert sorted(got[i]) == [(n + 1, o) for n, (_, o) in enumerate(want)]
+    assert 100 not in got
