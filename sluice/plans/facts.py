@@ -44,7 +44,7 @@ both("worker_productivity", "select o_custkey, count(distinct o_orderkey) as ord
 both("calendar_views", "select month(o_orderdate) as m, day(o_orderdate) as d, count(*) as n from {orders} where not (month(o_orderdate) = 12 and day(o_orderdate) = 25) group by 1, 2")
 both("fact_reported_attendance", "select coalesce(a.k, b.k) as k, coalesce(a.n, b.n) as n, case when a.k is null then 'second' else 'first' end as src, coalesce(a.n, b.n) = 1 as deleted from (select o_custkey as k, count(*) as n from {orders} where o_orderstatus = 'F' group by 1) a full join (select o_custkey as k, count(*) as n from {orders} where o_orderstatus = 'O' group by 1) b on a.k = b.k")
 both("merge_old_data", "select o_orderkey + 1000000 as k, c_custkey as new_worker from {orders} join {customer} on c_custkey = o_custkey where not exists (select 1 from {events} where event_id = o_orderkey)")
-both("expand_via_group", "select distinct c.c_custkey as worker, s.s_suppkey as manager from {customer} c join {supplier} s on c.c_nationkey = s.s_nationkey")
+both("expand_via_group", "select distinct c.c_custkey as worker, s.s_suppkey as manager from {customer} c join {supplier} s on c.c_custkey div 45 = s.s_suppkey div 3", "select distinct c.c_custkey as worker, s.s_suppkey as manager from {customer} c join {supplier} s on c.c_custkey // 45 = s.s_suppkey // 3")
 both("gold_views", "select c.c_custkey, c.c_name, n.n_name, r.r_name, o.o_orderkey as latest_order from {customer} c left join {nation} n on n.n_nationkey = c.c_nationkey left join {region} r on r.r_regionkey = n.n_regionkey left join (select o_custkey, max(o_orderkey) as o_orderkey from {orders} group by 1) o on o.o_custkey = c.c_custkey")
 
 # approximate aggregates and samples: what they promise, held against the exact value

@@ -219,11 +219,12 @@ def stream_sessions(spark, d):
 def stream_late_data(spark, d):
     """A fifth of the events arrives ninety days behind the others."""
     folder, e = stores.scratch(spark, "late"), table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    e.where("event_id % 5 <> 0").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    e.where("event_id % 5 <> 0").write.mode("append").parquet(f"{folder}/in")
     s = feeds.file_stream(spark, f"{folder}/in", e.schema).withWatermark("ts", "1 day").dropDuplicatesWithinWatermark(["event_id"]).select("event_id")
     feeds.append(s, folder)
-    e.where("event_id % 5 = 0").withColumn("ts", F.expr("ts - interval 90 days")).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    late = feeds.dropped_late(feeds.append(s, folder))
+    e.where("event_id % 5 = 0").withColumn("ts", F.expr("ts - interval 90 days")).write.mode("append").parquet(f"{folder}/in")
+    with feeds.LateRows(spark) as rows:
+        late = rows.of(feeds.append(s, folder))
     return _back(spark, s, folder).agg(F.count(F.lit(1)).alias("n_kept"), F.lit(late).cast("long").alias("n_late"))
 
 

@@ -6,10 +6,13 @@ scheduled and continuous jobs.
 
 from __future__ import annotations
 
+import threading
+from collections import Counter, defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators import tables
 
@@ -139,9 +142,36 @@ def session_windows(stream: DataFrame, at: str, gap: str, delay: str, keys: list
     return out.select(F.col("w.start").alias("first_at"), F.col("w.end").alias("ends_at"), *[c for c in out.columns if c != "w"])
 
 
-def dropped_late(query) -> int:
-    """Rows that came behind the watermark in all batches of a finished query."""
-    return sum(int(s.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for s in p["stateOperators"])
+class LateRows(StreamingQueryListener):
+    """Counts, batch by batch, the rows of a session's queries that came behind the watermark."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.n, self.ended = spark, Counter(), defaultdict(threading.Event)
+
+    def __enter__(self):
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_):
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.n[str(event.progress.runId)] += sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended[str(event.runId)].set()
+
+    def of(self, query, wait: float = 60) -> int:
+        """Late rows of a finished query, all its batches counted."""
+        if not self.ended[str(query.runId)].wait(wait):
+            raise TimeoutError(f"no end of query {query.runId} was reported")
+        return self.n[str(query.runId)]
 
 
 def lookup_split(stream: DataFrame, dimension: DataFrame, key: str, folder: str) -> tuple[DataFrame, DataFrame]:
