@@ -55,14 +55,16 @@ def hierarchy(edges: DataFrame, child: str, parent: str, levels: int, save) -> D
 def temporal_hierarchy(edges: DataFrame, child: str, parent: str, start: str, end: str, levels: int, save) -> DataFrame:
     """child, ancestor, a, b, level up to `levels`, with [a, b) the time in which every step of the way holds.
 
-    Ways that come back to their child, or hold at no time, are cut; save writes each level."""
+    Ways that come back to their child, hold at no time or stand already are cut; save writes each level."""
     step = edges.select(F.col(child).alias("child"), F.col(parent).alias("ancestor"), F.col(start).alias("a"), F.col(end).alias("b"))
     level = save(step.where("child != ancestor").withColumn("level", F.lit(1)))
     out = level
     for n in range(2, levels + 1):
         j = level.alias("l").join(step.alias("e"), F.col("l.ancestor") == F.col("e.child"))
         nxt = j.select("l.child", "e.ancestor", F.greatest("l.a", "e.a").alias("a"), F.least("l.b", "e.b").alias("b"), F.lit(n).alias("level"))
-        level = save(nxt.where("child != ancestor and a < b"))
+        # a way that stands already comes round again through a cycle
+        fresh = nxt.where("child != ancestor and a < b").join(out.select("child", "ancestor", "a", "b"), ["child", "ancestor", "a", "b"], "left_anti")
+        level = save(fresh.select("child", "ancestor", "a", "b", "level").distinct())
         if level.isEmpty():
             break
         out = out.unionByName(level)

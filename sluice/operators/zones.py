@@ -87,11 +87,30 @@ def cover(v: DataFrame, size: float) -> DataFrame:
     return _inside(cells, v, ["gx", "gy"])
 
 
-def points_in_zones(points: DataFrame, v: DataFrame, point: str, size: float) -> DataFrame:
-    """point, zone_id of each containment; points is (point, x, y), repeated ids count as one point each place."""
+def _box_levels(v: DataFrame, size: float, most: int) -> DataFrame:
+    """zone_id, level, gx, gy: at most about `most` cells of size * 2 ^ level that a zone's bounding box touches."""
+    at = lambda f, c: F.floor(f(c) / F.lit(float(size)))
+    box = v.groupBy("zone_id").agg(at(F.min, "x").alias("a"), at(F.max, "x").alias("b"), at(F.min, "y").alias("c"), at(F.max, "y").alias("d")).where("a is not null and c is not null")
+    n = (F.col("b") - F.col("a") + 1).cast("double") * (F.col("d") - F.col("c") + 1)
+    box = box.withColumn("level", F.greatest(F.lit(0), F.ceil(F.log2(n / most) / 2)).cast("int"))
+    up = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), "level"))
+    wide = box.select("zone_id", "level", F.explode(F.sequence(up("a"), up("b"))).alias("gx"), up("c").alias("c"), up("d").alias("d"))
+    return wide.select("zone_id", "level", "gx", F.explode(F.sequence("c", "d")).alias("gy"))
+
+
+def points_in_zones(points: DataFrame, v: DataFrame, point: str, size: float, most: int = 4096) -> DataFrame:
+    """point, zone_id of each containment; points is (point, x, y), repeated ids count as one point each place.
+
+    A zone is looked up by cells of `size`, or of the power of two of it at which its box has about `most`."""
     p = points.select(point, F.col("x").alias("px"), F.col("y").alias("py")).distinct()
-    cells = p.withColumns({"gx": F.floor(F.col("px") / size), "gy": F.floor(F.col("py") / size)}).join(_box_cells(v, size), ["gx", "gy"])
-    return _inside(cells.drop("gx", "gy"), v, [point, "px", "py"]).select(point, "zone_id").distinct()
+    boxes = _box_levels(v, size, most)
+    levels = sorted(r["level"] for r in boxes.select("level").distinct().collect())  # some sixty at most
+    if not levels:
+        return p.select(point, F.lit(None).cast(v.schema["zone_id"].dataType).alias("zone_id")).limit(0)
+    p = p.withColumn("level", F.explode(F.array(*[F.lit(x) for x in levels])))
+    at = lambda c: F.floor(F.floor(F.col(c) / size) / F.pow(F.lit(2.0), "level"))
+    cells = p.withColumns({"gx": at("px"), "gy": at("py")}).join(boxes, ["level", "gx", "gy"])
+    return _inside(cells.drop("gx", "gy", "level"), v, [point, "px", "py"]).select(point, "zone_id").distinct()
 
 
 def assign(points: DataFrame, v: DataFrame, point: str, size: float) -> DataFrame:

@@ -69,8 +69,9 @@ def zone_assign(spark, d):
 
 
 _TREE = """with recursive s as (select c_custkey as child, c_custkey // 4 as ancestor, c_custkey % 50 as a, c_custkey % 50 + 60 as b from customer),
- h as (select *, 1 as level from s where child <> ancestor
-  union all select h.child, s.ancestor, greatest(h.a, s.a), least(h.b, s.b), h.level + 1 from h join s on h.ancestor = s.child where h.level < 10 and h.child <> s.ancestor and greatest(h.a, s.a) < least(h.b, s.b))
+ ways as (select *, 1 as level from s where child <> ancestor
+  union all select h.child, s.ancestor, greatest(h.a, s.a), least(h.b, s.b), h.level + 1 from ways h join s on h.ancestor = s.child where h.level < 10 and h.child <> s.ancestor and greatest(h.a, s.a) < least(h.b, s.b)),
+ h as (select child, ancestor, a, b, min(level) as level from ways group by all)
 """
 
 
