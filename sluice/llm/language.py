@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import slices
+from .tokens import array_slices, release, slices
 
 BUCKETS = 4096
 _K = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
@@ -102,10 +102,10 @@ def train(docs: DataFrame, per_language: int = 400, clusters: int = 4, slack: fl
     near = rows.where((F.col("key").cast("double") / 2.0**64 + 0.5) <= F.element_at(share, F.col("lang")))
 
     def counted(batches):
+        release()
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for lo, hi in slices(texts, 100_000):
-                c = grams(texts[lo:hi])
+            for lo, hi in array_slices(b.column(1), 100_000):
+                c = grams(b.column(1)[lo:hi].to_pylist())
                 yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], b.column(2)[lo:hi], pa.array([x.astype(np.uint32).tobytes() for x in c], pa.binary())], ["lang", "key", "counts"])
 
     def summed(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -143,9 +143,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     own = [c for c in docs.columns if c not in ("lang_pred", "lang_score", "lang_rejected")]
     held = docs.sparkSession.sparkContext.broadcast(model)  # clusters * languages vectors of BUCKETS numbers
 
-    @F.pandas_udf("struct<lang:string,score:double,rejected:boolean>")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(held.value.predict(texts.tolist()), columns=["lang", "score", "rejected"])
+    @F.arrow_udf("struct<lang:string,score:double,rejected:boolean>")
+    def predict(texts: pa.Array) -> pa.Array:
+        release()
+        rows = [r for lo, hi in array_slices(texts) for r in held.value.predict(texts[lo:hi].to_pylist())]
+        columns = zip(*rows) if rows else ([], [], [])
+        return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.bool_()))], ["lang", "score", "rejected"])
 
     p = docs.select(*own, predict("text").alias("__p"))
     return p.select(*own, F.col("__p.lang").alias("lang_pred"), F.col("__p.score").alias("lang_score"), F.col("__p.rejected").alias("lang_rejected"))

@@ -177,12 +177,17 @@ def encoder(path: str, keeps_blanks: bool, capacity: int = 400_000) -> WordEncod
     return _ENCODERS[key]
 
 
+def release() -> None:
+    """Let the encoder of this worker go: other work in it needs the room."""
+    _ENCODERS.clear()
+
+
 def slices(texts: list, most_chars: int = 400_000):
     """(from, to) bounds of runs of texts of about most_chars, at least one text each."""
     return _bounds(map(len, texts), most_chars)
 
 
-def array_slices(texts: pa.Array, most_bytes: int = 4_000_000):
+def array_slices(texts: pa.Array, most_bytes: int = 1_000_000):
     """(from, to) bounds of runs of an Arrow array's texts of about most_bytes, at least one text each."""
     return _bounds(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), most_bytes)
 
