@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import partitions, stored
 from .graph import components
-from .tokens import slices
+from .tokens import array_slices, release
 
 TREES, LEVELS = 12, 8
 #: The chance, at most, with which all trees part a pair at the threshold; counted from the depths that paths reach.
@@ -66,11 +66,11 @@ def sketches(docs: DataFrame, words: int, more: int = 0) -> DataFrame:
     schema = "doc_id long, n long, f1 long, f2 long, tokens binary"
 
     def run(batches):
+        release()
         for b in batches:
-            keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for lo, hi in slices([t or "" for t in texts], 1_000_000):
+            for lo, hi in array_slices(b.column(1)):
                 rows = []
-                for key, t in zip(keys[lo:hi], texts[lo:hi]):
+                for key, t in zip(b.column(0)[lo:hi].to_pylist(), b.column(1)[lo:hi].to_pylist()):
                     x = shingle_set(t, words)
                     f = np.frombuffer(xxhash.xxh3_128_digest(x.tobytes()), "<i8")
                     rows.append((key, len(x), int(f[0]), int(f[1]), minwise(x, factors).tobytes() if len(x) else None))
@@ -80,69 +80,64 @@ def sketches(docs: DataFrame, words: int, more: int = 0) -> DataFrame:
 
 
 def runs(batches, keys: list[str]):
-    """Tables of equal keys from key-sorted batches; only one group is held beside the batch at hand."""
-    rest = None
+    """Tables of equal keys from key-sorted batches, as slices of the batches; a group over several keeps those alone."""
+    held, last = [], None
     for b in batches:
-        t = pa.Table.from_batches([b])
-        rest = t if rest is None else pa.concat_tables([rest, t])
-        rest = rest.combine_chunks()
-        change = np.zeros(max(rest.num_rows - 1, 0), bool)
-        for k in keys:
-            c = rest[k].to_numpy()
+        if not b.num_rows:
+            continue
+        columns = [b.column(b.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(b.num_rows - 1, bool)
+        for c in columns:
             change |= c[1:] != c[:-1]
-        cuts = [0, *(np.flatnonzero(change) + 1)]
+        cuts = [0, *(np.flatnonzero(change) + 1), b.num_rows]
         for lo, hi in zip(cuts, cuts[1:]):
-            yield rest.slice(lo, hi - lo)
-        rest = rest.slice(cuts[-1])
-    if rest is not None and rest.num_rows:
-        yield rest
+            key = tuple(c[lo] for c in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(b.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
 
 
-def _spanning(ids: list, pairs) -> list[tuple]:
-    """(id, least id of its group) for grouped ids that are not the least, from index pairs."""
-    up = list(range(len(ids)))
+class Joined:
+    """Groups of the positions 0 to n - 1, each named by its least position."""
 
-    def find(x):
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
+    def __init__(self, n: int):
+        self.of = np.arange(n)
 
-    for i, j in pairs:
-        i, j = find(i), find(j)
-        if i != j:
-            up[max(i, j)] = min(i, j)
-    return [(ids[i], ids[r]) for i in range(len(ids)) if (r := find(i)) != i]
+    def join(self, i: int, others: np.ndarray) -> None:
+        names = np.unique(self.of[np.append(others, i)])
+        if len(names) > 1:
+            self.of[np.isin(self.of, names[1:])] = names[0]
 
-
-def _edges(rows: list[tuple]):
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], ["a", "b"])
+    def edges(self, ids: np.ndarray) -> pa.RecordBatch:
+        """(id, id of its group's least position) of the positions that are not that one."""
+        i = np.flatnonzero(self.of != np.arange(len(ids)))
+        return pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[self.of[i]])], ["a", "b"])
 
 
 def screened(nodes: DataFrame, percent: int) -> DataFrame:
-    """Spanning edges, in each node, of the pairs whose sketches allow the similarity (4.5 standard errors below it)."""
+    """Spanning edges, in each node, of the pairs whose sketches allow the similarity (4.5 standard errors below it).
+
+    Only pairs that are not joined yet are looked at, so a node of near-equal classes costs a few passes."""
     t = percent / 100
     least = (t - 4.5 * (t * (1 - t) / len(_MUL)) ** 0.5) * len(_MUL)
 
     def run(batches):
-        out: list[tuple] = []
         for node in runs(batches, ["tree", "node"]):
             if node.num_rows < 2:
                 continue
-            ids, n = node["id"].to_pylist(), node["n"].to_numpy()
+            ids, n = node["id"].to_numpy(), node["n"].to_numpy()
             s = np.frombuffer(b"".join(node["tokens"].to_pylist()), np.uint32).reshape(len(ids), -1)
-            pairs = []
+            groups = Joined(len(ids))
             for i in range(len(ids) - 1):
-                near = np.minimum(n[i + 1 :], n[i]) * 100 >= np.maximum(n[i + 1 :], n[i]) * percent
-                j = np.flatnonzero(near) + i + 1
+                apart = (groups.of[i + 1 :] != groups.of[i]) & (np.minimum(n[i + 1 :], n[i]) * 100 >= np.maximum(n[i + 1 :], n[i]) * percent)
+                j = np.flatnonzero(apart) + i + 1
                 if len(j):
-                    pairs += [(i, x) for x in j[(s[j] == s[i]).sum(1) >= least].tolist()]
-            out += _spanning(ids, pairs)
-            if len(out) > 50_000:
-                yield _edges(out)
-                out = []
-        if out:
-            yield _edges(out)
+                    groups.join(i, j[(s[j] == s[i]).sum(1) >= least])
+            yield groups.edges(ids)
 
     n = partitions(nodes.sparkSession)
     return nodes.repartition(n, "tree", "node").sortWithinPartitions("tree", "node", "id").mapInArrow(run, "a long, b long")
@@ -152,49 +147,62 @@ def linked(groups: DataFrame, words: int, percent: int) -> DataFrame:
     """Spanning exact links of each group (columns grp, id, text): 100 * intersection >= percent * union on full sets."""
 
     def run(batches):
-        out: list[tuple] = []
         for g in runs(batches, ["grp"]):
-            ids = g["id"].to_pylist()
-            sets = [shingle_set(t, words) for t in g["text"].to_pylist()]
-            out += _spanning(ids, _exact_pairs(sets, percent))
-            if len(out) > 50_000:
-                yield _edges(out)
-                out = []
-        if out:
-            yield _edges(out)
+            if g.num_rows > 1:
+                yield exact_groups([shingle_set(t.as_py(), words) for t in g["text"]], percent).edges(g["id"].to_numpy())
 
     n = partitions(groups.sparkSession)
     return groups.repartition(n, "grp").sortWithinPartitions("grp", "id").mapInArrow(run, "a long, b long")
 
 
-def _exact_pairs(sets: list[np.ndarray], percent: int, strip: int = 1 << 15):
-    """Index pairs of sets that meet the condition, by bit strips over the tokens that two sets or more share."""
-    sizes = np.array([len(x) for x in sets], np.int64)
-    if len(sets) == 2:
-        common = len(np.intersect1d(*sets, assume_unique=True))
-        return [(0, 1)] if common and 100 * common >= percent * (sizes.sum() - common) else []
+def exact_groups(sets: list[np.ndarray], percent: int, strip: int = 1 << 15, firsts: int = 16) -> Joined:
+    """Groups of the sets that links join, each pair of sets compared unless links join the two already.
+
+    A few sets are compared with all others first, which settles a group of copies.  The rest are compared by bit strips
+    over the tokens that two sets or more share; no list of pairs is made."""
+    sizes, groups = np.array([len(x) for x in sets], np.int64), Joined(len(sets))
     owner = np.repeat(np.arange(len(sets)), sizes)
     _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = count[token] > 1
     owner, token = owner[shared], (np.cumsum(count > 1) - 1)[token[shared]]
-    inter = np.zeros((len(sets), len(sets)), np.int32)
-    for lo in range(0, int((count > 1).sum()), strip):
+    tokens, begin = int((count > 1).sum()), np.searchsorted(owner, np.arange(len(sets) + 1))
+
+    def meet(i, others, common):
+        ok = (common > 0) & (100 * common >= percent * (sizes[i] + sizes[others] - common)) & (others != i)
+        groups.join(i, others[ok])
+
+    met = np.zeros(len(sets), bool)
+    for i in range(min(firsts, len(sets))):
+        if (groups.of == 0).all():
+            return groups
+        has = np.zeros(tokens, bool)
+        has[token[begin[i] : begin[i + 1]]] = True
+        meet(i, np.arange(len(sets)), np.bincount(owner[has[token]], minlength=len(sets)).astype(np.int64))
+        met[i] = True
+    # pairs inside the greatest group need no look, nor do those of a set that has met all
+    names, members = np.unique(groups.of, return_counts=True)
+    main = groups.of == names[members.argmax()]
+    rows, other = np.flatnonzero(~met & ~main), np.flatnonzero(~met & main)
+    if not len(rows):
+        return groups
+    order = np.concatenate([rows, other])
+    place = np.full(len(sets), -1)
+    place[order] = np.arange(len(order))
+    use = place[owner] >= 0
+    owner, token = place[owner[use]], token[use]
+    common = np.zeros((len(rows), len(order)), np.int32)
+    for lo in range(0, tokens, strip):
         here = (token >= lo) & (token < lo + strip)
-        bits = np.zeros((len(sets), strip), bool) if len(sets) <= 256 else None
-        if bits is not None:
-            bits[owner[here], token[here] - lo] = True
-            packed = np.packbits(bits, axis=1).view(np.uint64)
-        else:
-            packed = np.zeros((len(sets), strip // 8), np.uint8)
-            np.bitwise_or.at(packed, (owner[here], (token[here] - lo) >> 3), np.uint8(1) << ((token[here] - lo) & 7).astype(np.uint8))
-            packed = packed.view(np.uint64)
-        packed = packed[:, : max(1, (min(strip, int((count > 1).sum()) - lo) + 63) // 64)]
-        for i in range(len(sets) - 1):
-            inter[i, i + 1 :] += np.bitwise_count(packed[i + 1 :] & packed[i]).sum(1, dtype=np.int32)
-    i, j = np.nonzero(inter)
-    common = inter[i, j].astype(np.int64)
-    ok = 100 * common >= percent * (sizes[i] + sizes[j] - common)
-    return zip(i[ok].tolist(), j[ok].tolist())
+        width = (min(strip, tokens - lo) + 63) // 64 * 8
+        bits = np.zeros(len(order) * width, np.uint8)
+        at = token[here] - lo
+        np.bitwise_or.at(bits, owner[here] * width + (at >> 3), np.uint8(1) << (at & 7).astype(np.uint8))
+        bits = bits.reshape(len(order), width).view(np.uint64)
+        for r in range(len(rows)):
+            common[r, r + 1 :] += np.bitwise_count(bits[r + 1 :] & bits[r]).sum(1, dtype=np.int32)
+    for r, i in enumerate(rows):
+        meet(i, order[r + 1 :], common[r, r + 1 :].astype(np.int64))
+    return groups
 
 
 def tree_nodes(classes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
@@ -262,7 +270,8 @@ def near_classes(docs: DataFrame, words: int = 5, percent: int = 80, limit: int
     blank) are linked with nothing; rows with a null doc_id take no part and have a null component_id; rows that repeat
     a doc_id are one document, linked by all its texts; an empty table gives no rows; other columns are not read.
     limit, most_shingles: the most that one node or block holds in a task; what is larger branches on, and where all
-    tokens are used up it is split into pieces of which each pair is compared, so nothing is left out."""
+    tokens are used up its members are compared with a few of them, and those linked with none of these with all the
+    others in pieces, so nothing is left out."""
     drawn = stored(sketches(docs, words), "sketches")
     sound = drawn.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     byclass = sound.groupBy("f1", "f2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
@@ -278,10 +287,14 @@ def near_classes(docs: DataFrame, words: int = 5, percent: int = 80, limit: int
     large = stored(size.where((F.col("members") > limit) | (F.col("n") > most_shingles)), "large")
     some_large = not large.isEmpty()
     groups = blocks.select(F.xxhash64("component").alias("grp"), "id")
-    if some_large:
-        groups = blocks.join(large, "component", "left_anti").select(F.xxhash64("component").alias("grp"), "id").unionByName(_parts(blocks, large, nodes, classes, limit, most_shingles))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    links = stored(linked(groups.join(texts, "id"), words, percent), "links")
+    stars = None
+    if some_large:
+        members = stored(blocks.join(large.select("component", F.ceil(F.col("members") / limit).alias("parts")), "component"), "members")
+        stars, rest = around(members, texts, words, percent)
+        groups = blocks.join(large, "component", "left_anti").select(F.xxhash64("component").alias("grp"), "id").unionByName(_parts(members, rest, nodes, classes, limit, most_shingles))
+    links = linked(groups.join(texts, "id"), words, percent)
+    links = stored(links if stars is None else links.unionByName(stars), "links")
     found = components(links) if some_large else links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
     named = classes.select("f1", "f2", "id").join(found, "id", "left").select("f1", "f2", F.coalesce("component", "id").alias("component_id"))
     whole = drawn.select("doc_id", F.col("n").alias("n_shingles"), "f1", "f2").join(named, ["f1", "f2"], "left")
@@ -289,16 +302,58 @@ def near_classes(docs: DataFrame, words: int = 5, percent: int = 80, limit: int
     return whole.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _parts(blocks: DataFrame, large: DataFrame, nodes: DataFrame, classes: DataFrame, limit: int, most_shingles: int) -> DataFrame:
-    """grp, id of the blocks that are too large for a task: their tree nodes; what is still too large, in pieces by pairs."""
-    inside = blocks.join(large.select("component"), "component").join(nodes.select("id", "tree", "node"), "id").join(classes.groupBy("id").agg(F.sum("n").alias("n")), "id")
-    size = inside.groupBy("component", "tree", "node").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+def around(members: DataFrame, texts: DataFrame, words: int, percent: int, centres: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Exact links (a, b) of large blocks' members with a few members chosen as centres; and the members of each block
+    outside the largest group that these links join.
+
+    members: component, id, parts.  Every member meets the centres of its block, in `parts` tasks a block.  Members of
+    the largest group are linked already and need not be compared with each other; the others may need all members."""
+
+    def compare(batches):
+        at, held, found = None, [], []
+        for b in batches:
+            for grp, key, first, text in zip(*(c.to_pylist() for c in b.columns[:3]), b.column(3)):
+                if grp != at:
+                    at, held = grp, []
+                x = shingle_set(text.as_py(), words)
+                for other, y in held:
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    if common and 100 * common >= percent * (len(x) + len(y) - common):
+                        found.append((key, other))
+                if first:
+                    held.append((key, x))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+                found = []
+
+    n = partitions(members.sparkSession)
+    # a bounded heap of hashes a block, then each centre in every part of its block
+    few = members.groupBy("component", "parts").agg(F.slice(F.sort_array(F.collect_set(F.when(F.pmod(F.xxhash64("id"), "parts") == 0, F.struct(F.xxhash64(F.lit(2), "id"), "id")))), 1, centres).alias("few"))
+    shown = few.select("component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.explode("few.id").alias("id"), F.lit(True).alias("first"))
+    asked = members.select("component", F.pmod(F.xxhash64(F.lit(3), "id"), "parts").alias("part"), "id", F.lit(False).alias("first"))
+    met = asked.unionByName(shown).join(texts, "id").select(F.xxhash64("component", "part").alias("grp"), "id", "first", "text")
+    stars = stored(met.repartition(n, "grp").sortWithinPartitions("grp", F.desc("first"), "id").mapInArrow(compare, "a long, b long").where("a != b"), "stars")
+    joined = stored(members.join(components(stars).withColumnRenamed("component", "star"), "id", "left"), "joined")
+    main = joined.where("star is not null").groupBy("component", "star").count().groupBy("component").agg(F.max_by("star", F.struct("count", "star")).alias("main"))
+    return stars, joined.join(main, "component", "left").where("main is null or star is null or star != main").select("component", "id")
+
+
+def _parts(members: DataFrame, rest: DataFrame, nodes: DataFrame, classes: DataFrame, limit: int, most_shingles: int) -> DataFrame:
+    """grp, id of the comparisons that blocks too large for a task still need: their tree nodes that hold some of rest.
+
+    What is too large for a task after all is cut into pieces, each piece of rest with each of all."""
+    sized = nodes.select("id", "tree", "node").join(members.select("component", "id"), "id").join(classes.groupBy("id").agg(F.sum("n").alias("n")), "id")
+    inside = sized.join(rest.select("id", F.lit(True).alias("left")), "id", "left").withColumn("left", F.coalesce("left", F.lit(False)))
+    size = inside.groupBy("component", "tree", "node").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"), F.sum(F.col("left").cast("long")).alias("owed"))
     share = F.greatest(F.col("members") / limit, F.col("shingles") / most_shingles)
-    sized = inside.join(size.where("members > 1").select("component", "tree", "node", F.when(share <= 1, 1).otherwise(F.ceil(2 * share)).alias("pieces")), ["component", "tree", "node"])
-    piece = F.pmod(F.xxhash64("id"), F.col("pieces"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces").cast("long") - 1)).alias("other")
-    paired = sized.select("*", piece.alias("piece")).select("*", other)
-    return paired.select(F.xxhash64("component", "tree", "node", F.least("piece", "other"), F.greatest("piece", "other")).alias("grp"), "id").distinct()
+    pieces = F.when(share <= 1, 1).otherwise(F.ceil(2 * share)).cast("long")
+    # the pieces of rest are as large as those of all, so they are as many only where all is left
+    some = F.least(pieces, F.greatest(F.lit(1), F.ceil(pieces * F.col("owed") / F.col("members")))).cast("long")
+    held = inside.join(size.where("members > 1 and owed > 0").select("component", "tree", "node", pieces.alias("pieces"), some.alias("some")), ["component", "tree", "node"])
+    count = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+    of_all = held.select("component", "tree", "node", "id", F.pmod(F.xxhash64("id"), "pieces").alias("all"), F.explode(count("some")).alias("own"))
+    of_rest = held.where("left").select("component", "tree", "node", "id", F.explode(count("pieces")).alias("all"), F.pmod(F.xxhash64(F.lit(1), "id"), "some").alias("own"))
+    return of_all.unionByName(of_rest).select(F.xxhash64("component", "tree", "node", "all", "own").alias("grp"), "id").distinct()
 
 
 def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, **options) -> DataFrame:
