@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import slices
+from .tokens import array_slices
 
 SYMBOLS = b"#*$%&|<>"
 _BLANK = b" \t\n\x0b\x0c\r"
@@ -75,10 +75,9 @@ def measures(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            keys, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
-            for lo, hi in slices(texts, 2_000_000):
-                columns = zip(*map(measure, texts[lo:hi]))
-                yield pa.RecordBatch.from_arrays([pa.array(keys[lo:hi], pa.int64()), *(pa.array(c, pa.int64()) for c in columns)], ["doc_id", *MEASURES])
+            for lo, hi in array_slices(b.column(1), 2_000_000):
+                columns = zip(*(measure(t or "") for t in b.column(1)[lo:hi].to_pylist()))
+                yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], *(pa.array(c, pa.int64()) for c in columns)], ["doc_id", *MEASURES])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
