@@ -461,15 +461,86 @@ def test_chat(spark, sf_dir):
     assert chat.format_chats(odd, chat.fit(turns.limit(0))).where("role_pred is not null").count() == 0
 
 
-def test_pipeline_stages(spark, sf_dir, docs):
+def pipeline_rows():
+    """Prose of four languages, junk, shared lines, near copies, nulls and repeats, over two sources and none."""
+    words = {
+        "en": "the of and to in that is was he for it with as his on be at by had not are but from or have an they which one you were her all she there would their we him been has when who will no more if out so said".split(),
+        "de": "der die und in den von zu das mit sich des auf ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei einer um am sind noch wie einem einen so zum war haben nur oder aber vor".split(),
+        "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont avec mais comme ou si leur y dont aussi elle fait cette bien peut tous nous sans ces deux entre autre meme".split(),
+    }
+    rng, rows = np.random.default_rng(12), []
+    for i in range(240):
+        lang = ("en", "de", "fr")[i % 3]
+        text = " ".join(f"{w}{'' if rng.random() < 0.9 else 'x' + str(rng.integers(99))}" for w in rng.choice(words[lang], int(rng.integers(60, 140))))
+        text = "\n".join([text, *(["The one line that very many of these documents have in common."] if i % 4 == 0 else []), f"end {i}"])
+        rows.append((i, text, lang if i % 5 else None, ("a", "b", None)[i % 7 % 3], len(text)))
+    rows += [(300 + i, rows[i][1].replace("the", "THE", 1) + " tail", "en", "b", 1) for i in range(0, 60, 3)]  # near copies
+    rows += [(400, None, "en", "a", 0), (401, "", None, "b", 0), (402, "12 !! 34", "en", "a", 1), (403, "\u4e2d\u6587\u4e2d " * 40, None, "a", 1), (None, rows[3][1], "en", "a", 1), rows[5], rows[5]]
+    return rows
+
+
+def test_pipeline_stages(spark, tmp_path):
+    """Each stage on what the one before kept, and run() itself, against plain Python versions."""
     import corpus_pipeline as p
 
-    here = docs
+    spark.createDataFrame(pipeline_rows(), DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    here, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
     for name, stage in p.STAGES[:-1]:
-        out = stage(spark, here, sf_dir)
-        out = out.persist()
+        out = stage(spark, here, str(tmp_path))
         assert out.columns == list(p.COLUMNS)
-        assert out.count() > 0
-        here = out
-    pieces = p.STAGES[-1][1](spark, here, sf_dir)
-    assert pieces.agg(F.sum("length")).first()[0] > 0
+        kept[name] = (here.collect(), out.collect())
+        here = spark.createDataFrame(kept[name][1], out.schema)
+    assert stage(spark, here.limit(0), str(tmp_path)).count() == 0
+    key = lambda r: repr(tuple(r))
+
+    before, after = kept["language_id"]
+    model = language.train(spark.createDataFrame(before, DOCS).select("doc_id", "text", "lang"))
+    want = [(*r[:2], lang, *r[3:]) for r, (lang, _, rejected) in zip(before, model.predict([r["text"] for r in before])) if not rejected]
+    assert sorted(map(key, after)) == sorted(map(repr, want))
+    gone = {r["doc_id"] for r in before} - {r["doc_id"] for r in after}
+    assert {400, 401, 402} <= gone <= {400, 401, 402, 403}
+
+    before, after = kept["line_dedup"]
+    line_of = lambda x: x.strip(" \t\n\x0b\x0c\r").lower()
+    holders = defaultdict(set)
+    for r in before:
+        for x in r["text"].split("\n"):
+            if len(line_of(x)) >= 40:
+                holders[line_of(x)].add(r["doc_id"])
+    want = []
+    for r in before:
+        lost = [len(holders[line_of(x)]) >= 5 and max(holders[line_of(x)], key=lambda k: -1 if k is None else k) != r["doc_id"] for x in r["text"].split("\n")]
+        text = "\n".join(x for x, gone in zip(r["text"].split("\n"), lost) if not gone)
+        if not any(lost) or text.strip():
+            want.append((r["doc_id"], text, r["lang"], r["source"], len(text)))
+    strip = lambda rows: sorted(repr(tuple(r)[:4]) for r in rows)
+    assert strip(after) == strip(want) and any(len(r["text"]) < len(b["text"]) for r in after for b in before if r["doc_id"] == b["doc_id"])
+
+    before, after = kept["near_dedup"]
+    groups = brute([(r["doc_id"], r["text"]) for r in before], 5, 80)
+    assert sorted(r["doc_id"] for r in after if r["doc_id"] is not None) == sorted(set(groups.values())) and len(set(groups.values())) < len(groups)
+    assert sum(r["doc_id"] is None for r in after) == sum(r["doc_id"] is None for r in before)
+
+    before, after = kept["mix_sources"]
+    sizes, took, whole = Counter(), Counter(), Counter(r["text"] for r in before)
+    for r in before:
+        sizes[r["source"]] += len(r["text"].split())
+    for r in after:
+        took[r["source"]] += len(r["text"].split())
+    order = sorted(sizes, key=lambda x: (x is None, x))
+    targets = mixing.fill_targets([sizes[x] for x in order], [3, 1, 2][: len(order)])
+    assert all(abs(took[x] - t) <= 32 for x, t in zip(order, targets))
+    parts = [r for r in after if r["text"] not in whole]
+    assert len(parts) <= len(order) and all(any(x.startswith(r["text"]) for x in whole) for r in parts)
+    assert max(Counter(r["text"] for r in after if r["text"] in whole).values()) <= 2 * max(whole.values())
+
+    pieces = p.STAGES[-1][1](spark, here, str(tmp_path)).collect()
+    want = Counter((r["doc_id"], len(x)) for r, x in zip(after, ids_of("word_bpe_49k.json", [r["text"] for r in after], 2)))
+    found, used = Counter(), defaultdict(list)
+    for r in pieces:
+        found[r["doc_id"], r["doc_tokens"]] += r["length"]
+        used[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert found == Counter({k: k[1] * n for k, n in want.items()})
+    assert all(sum(n for _, n in x) <= 4096 and sorted(x)[0][0] == 0 for x in used.values())
+    digest = lambda rows: Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in rows)
+    assert digest(p.run(spark, str(tmp_path)).collect()) == digest(pieces)
