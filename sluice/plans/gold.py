@@ -85,12 +85,14 @@ def history_enhanced(spark, d):
 _CONTACTS = "with e as (select event_id, user_id, event_id // 50 as place, event_id % 50 as at, value from events)"
 
 
-@frame(_CONTACTS + " select a.user_id as worker, b.user_id as other, min(least(a.at, b.at)) as first_at, count(*) as contacts, max(greatest(a.at, b.at)) - min(least(a.at, b.at)) as duration, round(avg(abs(a.value - b.value)), 3) as mean_distance from e a join e b on a.place = b.place and abs(a.at - b.at) <= 5 and a.user_id < b.user_id where abs(a.value - b.value) <= 100 group by 1, 2")
+@frame(_CONTACTS + " select a.user_id as worker, b.user_id as other, min(least(a.at, b.at)) as first_at, count(*) as contacts, max(greatest(a.at, b.at)) - min(least(a.at, b.at)) as duration, sum(round(abs(a.value - b.value) * 100)::bigint)::double / count(*) / 100 as mean_distance from e a join e b on a.place = b.place and abs(a.at - b.at) <= 5 and a.user_id < b.user_id where abs(a.value - b.value) <= 100 group by 1, 2")
 def fact_workers_contacts(spark, d):
     e = table(spark, d, "events").selectExpr("user_id", "event_id div 50 as place", "event_id % 50 as at", "value")
     pairs = periods.band_join(e, e, ["place"], "at", "at", 5).where("a.user_id < b.user_id and abs(a.value - b.value) <= 100")
     first, last = F.min(F.least("a.at", "b.at")), F.max(F.greatest("a.at", "b.at"))
-    return pairs.groupBy(F.col("a.user_id").alias("worker"), F.col("b.user_id").alias("other")).agg(first.alias("first_at"), F.count(F.lit(1)).alias("contacts"), (last - first).alias("duration"), F.round(F.avg(F.abs(F.col("a.value") - F.col("b.value"))), 3).alias("mean_distance"))
+    # hundredths are summed as whole numbers, so that the mean does not hang on the order of rows
+    mean = F.sum(F.round(F.abs(F.col("a.value") - F.col("b.value")) * 100).cast("long")).cast("double") / F.count(F.lit(1)) / 100
+    return pairs.groupBy(F.col("a.user_id").alias("worker"), F.col("b.user_id").alias("other")).agg(first.alias("first_at"), F.count(F.lit(1)).alias("contacts"), (last - first).alias("duration"), mean.alias("mean_distance"))
 
 
 @frame("""select 'organization' as dim, r_regionkey::bigint as id, r_name as name, null::bigint as parent from region union all select 'project', n_nationkey, n_name, n_regionkey from nation
