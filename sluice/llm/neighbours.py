@@ -118,10 +118,11 @@ def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dim
 
     A curve is cut into blocks of a window of points, and a query meets its own block and both neighbours on each.  The
     window is measured in each run: at most PROBES of the queries are compared with all points, and of the windows from
-    `window` on the least is taken that meets RECALL of their true neighbours with two standard errors to spare.  For
-    vectors in groups of a bounded size it does not grow with the table, and the work is linear; for evenly spread
-    vectors of many dimensions no curve is short and it grows in proportion.  Where the windows of all curves would
-    meet as many points as there are, a query meets every point once instead and the answer is exact.
+    `window` on the least is taken that meets RECALL of their true neighbours with two standard errors to spare.  It
+    grows with the table where groups of vectors overlap in the projections: for groups of 25 in 64 dimensions a query
+    met 0.041 of 100,000 and 0.041 of 200,000 points.  For evenly spread vectors of many dimensions no curve is short.
+    Where the windows of all curves would meet as many points as there are, a query meets every point once instead and
+    the answer is exact.
     report, if given, takes window, recall and share (points met, at most, over all points); they go to the log too.
     sample: the most rows on which directions of spread are fitted, by a hash; every row is indexed."""
     spark = table.sparkSession
