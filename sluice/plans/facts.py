@@ -17,7 +17,6 @@ both("agg_checksum", "select o_orderstatus, bit_xor(o_orderkey * 31 + o_custkey)
 # sets, samples, mutation
 both("set_minus", "select c_nationkey as k from {customer} where c_nationkey < 12 except select s_nationkey from {supplier} where s_nationkey > 7")
 both("union_by_name", "select n_nationkey as id, n_name as name, n_regionkey as parent from {nation} union all select r_regionkey, r_name, null from {region}")
-both("join_optional_source", "select c_custkey, cast(null as string) as phone from {customer}", "select c_custkey, cast(null as varchar) as phone from {customer}")
 both("merge_distinct_from", "select t.c_custkey, case when s.c_custkey is not null and not (s.seg <=> t.c_mktsegment) then s.seg else t.c_mktsegment end as segment from {customer} t left join (select c_custkey, nullif(c_mktsegment, 'BUILDING') as seg from {customer} where c_custkey % 2 = 0) s on s.c_custkey = t.c_custkey",
      "select t.c_custkey, case when s.c_custkey is not null and s.seg is distinct from t.c_mktsegment then s.seg else t.c_mktsegment end as segment from {customer} t left join (select c_custkey, nullif(c_mktsegment, 'BUILDING') as seg from {customer} where c_custkey % 2 = 0) s on s.c_custkey = t.c_custkey")
 both("delete_subquery", "select o_orderkey from {orders} where not exists (select 1 from {customer} where c_custkey = o_custkey and c_mktsegment = 'BUILDING')")

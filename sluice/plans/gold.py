@@ -212,3 +212,11 @@ def scd2_late_arrival(spark, d):
     first = stores.materialize(step(None, e.where("event_id % 3 <> 0")))
     both = step(first, e.where("event_id % 3 = 0"))
     return feeds.versions(both, ["user_id"], "event_id", ["event_type"])
+
+
+@frame("select c_custkey, s_name as helper, null::varchar as phone from customer left join supplier on s_suppkey = c_custkey")
+def join_optional_source(spark, d):
+    """Customers with what two further sources say of them: one that is there but lacks a column, and one that is not."""
+    helpers = stores.optional(spark, f"{d}/supplier.parquet", "s_suppkey long, s_name string, s_fax string").selectExpr("s_suppkey as c_custkey", "s_name as helper")
+    phones = stores.optional(spark, f"{d}/no_such_table.parquet", "c_custkey long, phone string")
+    return table(spark, d, "customer").select("c_custkey").join(helpers, "c_custkey", "left").join(phones, "c_custkey", "left")

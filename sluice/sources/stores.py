@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,6 +162,18 @@ def load_all(spark: SparkSession, registry: dict[str, Callable[[], DataFrame]],
     return spark.createDataFrame(rows, "table_name string, status string, n_rows long, error string")
 
 
+def optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The columns of `schema` of the table at a path, with nulls for those it lacks; no rows where there is no table."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    want = spark.createDataFrame([], schema).schema
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in want])
+
+
 def write_overwrite(df: DataFrame, path: str, partition_by: tuple = ()) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
