@@ -246,3 +246,10 @@ def test_nearest_points_widen(spark):
         want = sorted((((x - a) ** 2 + (y - b) ** 2), o) for o, a, b in rows[:-1] if o != i)[:3]
         assert sorted(got[i]) == [(n + 1, o) for n, (_, o) in enumerate(want)]
     assert 100 not in got
+
+
+def test_optional_source(spark, sf_dir, tmp_path):
+    there = stores.optional(spark, f"{sf_dir}/nation.parquet", "n_nationkey long, none string")
+    assert there.count() == 25 and there.where("none is not null").count() == 0
+    gone = stores.optional(spark, f"{tmp_path}/none.parquet", "a long")
+    assert gone.columns == ["a"] and gone.count() == 0
