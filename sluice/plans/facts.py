@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from ..functions import sql
 from .catalog import both, frame, table
-from .statements import MONEY
 
 _N = "cast({} as bigint)"
 

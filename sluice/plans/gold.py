@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import periods, sensors, tables, zones
 from ..sources import stores
-from .catalog import _SECONDS, event_seconds, frame, table
+from .catalog import event_seconds, frame, table
 from .sensors import _MISSED
 from .zones import _TREE, _V, _points, _vertices, hierarchy_temporal
 
@@ -48,9 +48,6 @@ def fact_device_location_zone(spark, d):
     return table(spark, d, "events").select("event_id", "user_id", F.to_date("ts").alias("day")).join(zoned, "event_id")
 
 
-_SHIFT_OF = "case when user_id % 11 = 0 then null else user_id % 12 end"
-
-
 @frame(_ZONED + f""", c as (select c_custkey, c_nationkey as crew from customer where c_custkey % 13 <> 0)
  select e.event_id, cast(ts as date) as day, hour(ts)::int as hour, {_PART} as part, case when user_id % 11 = 0 then 'none' when hour(ts) < user_id % 12 then 'before' when hour(ts) > user_id % 12 + 9 then 'after' when hour(ts) between user_id % 12 + 4 and user_id % 12 + 5 then 'break' else 'during' end as category,
  crew, n_name as crew_name, zone_id, case when c_custkey is null then 'user_id' else '' end as stalled from events e join zoned on zoned.event_id = e.event_id left join c on c_custkey = e.user_id left join nation on n_nationkey = crew""")
