@@ -56,7 +56,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 4096 ids, as pieces of documents; equal rows are packed each, a null text is its end id.
 
     The workers of the earlier stages still stand, so the word cache is smaller than for packing alone."""
-    return packing.pack(docs, vocabulary("word_bpe_49k.json"), 4096, end_id=2, cache_words=120_000)
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), 4096, end_id=2, cache_words=60_000)
 
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mix_sources", mix_sources), ("pack", pack)]
