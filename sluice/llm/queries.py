@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, chat, language, lines, mixing, near, neighbours, packing, quality, token_files
+from . import archives, chat, language, lines, mixing, near, neighbours, packing, quality, token_files, whitening
 from .tokens import vocabulary
 
 
@@ -71,6 +71,12 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("conv_id", "turn", fold.alias("held_out"), "role_pred", "n_lines", "n_turns", F.sha2(F.col("rendered").cast("binary"), 256).alias("rendered_sha256"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 4)
+    # a deviation beyond a long is null here; the operator's own has 38 digits
+    return done.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,7 +84,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_language_id, op2_packing, op3_neighbours, op4_line_dedup, op5_archives, op6_mixing, op7_token_files, op8_quality, op9_near_dedup, op10_chat)
+    ops = (op1_language_id, op2_packing, op3_neighbours, op4_line_dedup, op5_archives, op6_mixing, op7_token_files, op8_quality, op9_near_dedup, op10_chat, op13_whitening)
     return {f.__name__: f for f in ops} | {"pipeline": pipeline}
 
 
