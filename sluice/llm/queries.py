@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, chat, language, lines, mixing, near, neighbours, packing, quality, token_files, whitening
+from . import archives, chat, language, lexical, lines, mixing, near, neighbours, packing, quality, token_files, whitening
 from .tokens import vocabulary
 
 
@@ -71,6 +71,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("conv_id", "turn", fold.alias("held_out"), "role_pred", "n_lines", "n_turns", F.sha2(F.col("rendered").cast("binary"), 256).alias("rendered_sha256"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 10)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = whitening.whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 4)
     # a deviation beyond a long is null here; the operator's own has 38 digits
@@ -84,7 +88,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_language_id, op2_packing, op3_neighbours, op4_line_dedup, op5_archives, op6_mixing, op7_token_files, op8_quality, op9_near_dedup, op10_chat, op13_whitening)
+    ops = (op1_language_id, op2_packing, op3_neighbours, op4_line_dedup, op5_archives, op6_mixing, op7_token_files, op8_quality, op9_near_dedup, op10_chat, op11_lexical, op13_whitening)
     return {f.__name__: f for f in ops} | {"pipeline": pipeline}
 
 
@@ -139,6 +143,34 @@ select p.doc_id, p.size, o.source_size, o.target,
 from placed p join owed_words o on p.source is not distinct from o.source
 """
 
+#: The whole ranking: every document that holds a term of an item is scored.
+LEXICAL_SQL = r"""
+with term as (
+  select r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from (select row_number() over () as r, doc_id, text from documents)),
+document as (select r, doc_id, count(*) as n from term group by r, doc_id),
+whole as (select count(*) as documents, sum(n)::bigint as length from document),
+item as (
+  select item_id, term, count(*) as times
+  from (select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark)
+  group by item_id, term),
+posting as (select r, term, count(*) as tf from term where term in (select term from item) group by r, term),
+weight as (
+  select term, floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1)))::bigint as w
+  from posting, whole group by term),
+scored as (
+  select item_id, r, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * documents) // length))))::bigint as score
+  from item join posting using (term) join weight using (term) join document using (r), whole
+  group by item_id, r, doc_id),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last)::int as rank, doc_id, score
+  from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": LINE_SQL, "op6_mixing": MIX_SQL}
+    return {"op4_line_dedup": LINE_SQL, "op6_mixing": MIX_SQL, "op11_lexical": LEXICAL_SQL}
