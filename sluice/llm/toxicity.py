@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
 from .tokens import array_slices, release
 
 WINDOW, STRIDE = 32, 16
@@ -81,7 +82,7 @@ def windows(index: np.ndarray, bounds: np.ndarray, pad: int) -> tuple[np.ndarray
     at = bounds[text] + STRIDE * (np.arange(len(text)) - first[text])
     places = at[:, None] + np.arange(WINDOW)
     inside = places < bounds[text + 1][:, None]
-    return np.where(inside, np.append(index, pad)[np.where(inside, places, len(index))], pad), first
+    return np.append(index, pad).astype(np.int32)[np.where(inside, places, len(index))], first
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -197,7 +198,7 @@ class Network:
         np.add.at(g["char"], bucket, (dx[:, WORD:] * share[:, None])[owner])
         return g
 
-    def worst(self, texts: pa.Array, most: int = 4096) -> np.ndarray:
+    def worst(self, texts: pa.Array, most: int = 2048) -> np.ndarray:
         """Score before the sigmoid of the worst window of each text; all windows of all texts are scored."""
         words, index, bounds = cut_words(pc.fill_null(texts, ""))
         table = self.table(self.inputs(words)[0])
@@ -266,7 +267,7 @@ def train(texts: list[str], labels: list[int], toxic_share: float, epochs: int =
                 slow = 0.3 if k in ("word", "char") else 1.0
                 net.p[k] -= (slow * rate * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
         table = net.table(net.inputs(words)[0])
-        guess = np.concatenate([net.forward(table, ids[lo : lo + 4096]) for lo in range(0, len(ids), 4096)])
+        guess = np.concatenate([net.forward(table, ids[lo : lo + 2048]) for lo in range(0, len(ids), 2048)])
         score = np.maximum.reduceat(guess, first)
         checked = ~learns if (~learns & (label == 1)).any() and (~learns & (label == 0)).any() else learns
         bar, loss = _bar(score[checked], label[checked], share[checked])
@@ -299,11 +300,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, fit_chars: in
     among those of at most fit_chars code points, whole; equal texts count once.  Null labels, null and empty texts teach
     nothing; of several labels of a doc_id the largest holds.  Without texts of both labels the network scores all 0."""
     marked = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    short = docs.where((F.char_length("text") > 0) & (F.char_length("text") <= fit_chars)).select("doc_id", "text")
-    rows = short.join(marked, "doc_id").withColumn("key", F.xxhash64(F.lit("toxic"), "doc_id"))
+    short = docs.where((F.char_length("text") > 0) & (F.char_length("text") <= fit_chars)).withColumn("mark", F.xxhash64("text"))
+    # ids and hashes are joined and chosen; texts are fetched for the chosen alone
+    rows = stored(short.select("doc_id", "mark").join(marked, "doc_id").withColumn("key", F.xxhash64(F.lit("toxic"), "doc_id")), "labelled")
     counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}  # two labels
-    some = [r for x in (0, 1) for r in rows.where(F.col("toxic") == x).orderBy("key", "doc_id").limit(per_class).collect()]
-    once = {r["text"]: r["toxic"] for r in some}
+    picked = [rows.where(F.col("toxic") == x).orderBy("key", "doc_id", "mark").limit(per_class) for x in (0, 1)]
+    chosen = stored(picked[0].unionByName(picked[1]).distinct(), "chosen")
+    some = short.join(F.broadcast(chosen), ["doc_id", "mark"]).groupBy("key", "doc_id", "mark").agg(F.first("toxic").alias("toxic"), F.first("text").alias("text")).orderBy("key", "doc_id", "mark").select("text", "toxic")
+    once = dict(map(tuple, some.collect()))
     return train(list(once), list(once.values()), counts.get(1, 0) / max(1, counts.get(0, 0) + counts.get(1, 0)))
 
 
