@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import periods, sensors, zones
 from ..sources import stores
 from .catalog import _SECONDS, event_seconds, frame, table
-from .zones import _V, _vertices
+from .zones import _C, _vertices
 
 _CLOCK = """with e as (select event_id, event_id * 37 % 1440 as m, case when user_id % 11 = 0 then null else user_id * 53 % 1440 end as st from events),
  f as (select *, (st + 480 + event_id % 3 * 60) % 1440 as en, (st + 200) % 1440 as bf, (st + 230) % 1440 as bt from e),
@@ -140,7 +140,7 @@ def knn_3(spark, d):
     return periods.nearest(p, "c_custkey", 16.0, 3, stores.materialize)
 
 
-@frame(_V + ", c as (select gx, gy, gx + 0.5 as x, gy + 0.5 as y from range(0, 120) a(gx), range(0, 260) b(gy)), o as (select zone_id, gx, gy from c join e on (y1 > c.y) <> (y2 > c.y) and c.x < (x2 - x1) * (c.y - y1) / (y2 - y1) + x1 group by 1, 2, 3 having count(*) % 2 = 1), u as (select distinct zone_id % 3 as g, gx, gy from o) select g, count(*) as n, count(*)::double as area from u group by g")
+@frame(_C + ", u as (select distinct zone_id % 3 as g, gx, gy from o) select g, count(*) as n, count(*)::double as area from u group by g")
 def polygon_union_agg(spark, d):
     groups = table(spark, d, "supplier").selectExpr("s_suppkey as zone_id", "s_suppkey % 3 as g")
     return zones.union_cells(_vertices(spark, d), groups, "g", 1.0)

@@ -177,6 +177,56 @@ def test_zones_on_odd_rings(spark):
     assert zones.shift_scale(v.where("zone_id = 1"), 1.0, 0.0, 2.0).agg(F.min("x"), F.max("x")).first() == (-1.0, 7.0)
 
 
+def test_zones_with_holes_and_parts(spark):
+    texts = [
+        (1, "POLYGON ((0 0, 1e1 0, 1E+1 10.0, 0 10, 0 0), (3 3, 7 3, 7 7, 3 7, 3 3))"),
+        (2, "multipolygon( ((20 0,24 0,24 4,20 4,20 0)) , ((30 0, 34 0, 34 4, 30 4, 30 0),(31 1,33 1,33 3,31 3,31 1)) )"),
+        (3, "SRID=4326;POLYGON Z((40 -0.5e1 7, 44 -5 7, 44 -1 7, 40 -1 7, 40 -5 7))"),
+        (4, None),
+        (5, "POLYGON EMPTY"),
+    ]
+    v = zones.vertices(spark.createDataFrame(texts, "id long, wkt string"), "id", "wkt")
+    got = [tuple(r) for r in v.where("zone_id = 2 and part = 1 and ring = 1").orderBy("seq").collect()]
+    assert got == [(2, 1, 1, i, x, y) for i, (x, y) in enumerate([(31.0, 1.0), (33.0, 1.0), (33.0, 3.0), (31.0, 3.0), (31.0, 1.0)])]
+    m = {r["zone_id"]: (r["area"], r["perimeter"], r["cx"], r["cy"]) for r in zones.measures(v).collect()}
+    assert m == {1: (84.0, 56.0, 5.0, 5.0), 2: (28.0, 40.0, (16 * 22 + 12 * 32) / 28, 2.0), 3: (16.0, 16.0, 42.0, -3.0)}
+    turned = {(r["zone_id"], r["part"], r["ring"]): r["signed_area"] for r in zones.ring_measures(zones.fix_orientation(v)).collect()}
+    assert turned == {(1, 0, 0): 100.0, (1, 0, 1): -16.0, (2, 0, 0): 16.0, (2, 1, 0): 16.0, (2, 1, 1): -4.0, (3, 0, 0): 16.0}
+    assert zones.measures(zones.fix_orientation(v)).where("zone_id = 1").first()["signed_area"] == 84.0
+    assert {r["zone_id"]: r["n"] for r in zones.cover(v, 1.0).groupBy("zone_id").agg(F.count("*").alias("n")).collect()} == {1: 84, 2: 28, 3: 16}
+    assert zones.validity(v).where("closed and not few and bad = 0 and repeated = 0").count() == 6
+    p = spark.createDataFrame([(1, 5.0, 5.0), (2, 2.0, 5.0), (3, 22.0, 2.0), (4, 32.0, 2.0), (5, 30.5, 2.0), (6, 27.0, 2.0), (7, 42.0, -3.0)], "id long, x double, y double")
+    for size in (0.7, 3.0, 100.0):
+        assert sorted(map(tuple, zones.points_in_zones(p, v, "id", size).collect())) == [(2, 1), (3, 2), (5, 2), (7, 3)]
+
+
+@pytest.mark.parametrize("text", ["", "POINT(1 2)", "POLYGON((0 0, 1 x, 1 1))", "POLYGON(0 0, 1 1, 2 2)", "POLYGON((0 0, 1, 2 2))", "MULTIPOLYGON((0 0, 1 1, 2 0))", "POLYGON((0 0, 1 1, 2 0)) trailing"])
+def test_texts_that_are_no_polygon_fail(spark, text):
+    with pytest.raises(Exception, match="no polygon"):
+        zones.vertices(spark.createDataFrame([(1, text)], "id long, wkt string"), "id", "wkt").collect()
+
+
+def test_points_within_an_error_distance(spark):
+    v = zones.vertices(spark.createDataFrame([(1, "POLYGON((0 0, 10 0, 10 10, 0 10, 0 0), (4 4, 6 4, 6 6, 4 6, 4 4))")], "id long, wkt string"), "id", "wkt")
+    at = {"inside": (2, 2), "edge": (10, 5), "vertex": (10, 10), "out 0.5": (10.5, 5), "corner": (10.1875, 10.25), "hole": (5, 5), "hole edge": (6, 5), "far": (500, 5)}
+    want = {
+        None: {"inside"},
+        -1.0: {"inside"},
+        0.0: {"inside", "edge", "vertex", "hole edge"},
+        0.49: {"inside", "edge", "vertex", "hole edge", "corner"},
+        0.5: {"inside", "edge", "vertex", "hole edge", "out 0.5", "corner"},
+        1.0: {"inside", "edge", "vertex", "hole edge", "out 0.5", "corner", "hole"},
+        490.0: set(at),
+    }
+    rows = [(f"{name}|{b}", float(x), float(y), b) for b in want for name, (x, y) in at.items()]
+    p = spark.createDataFrame([*rows, ("null", None, 1.0, 5.0)], "id string, x double, y double, err double")
+    for size in (0.25, 4.0):
+        got = {r["id"] for r in zones.points_in_zones(p, v, "id", size, most=16, buffer="err").collect()}
+        # half open without a distance: the right and upper edges are outside, the hole's are inside
+        assert got == {f"{name}|{b}" for b, names in want.items() for name in names | ({"hole edge"} if b in (None, -1.0) else set())}
+    assert zones.points_in_zones(p.limit(0), v, "id", 1.0, buffer="err").count() == 0
+
+
 def test_rows_are_compared_exactly(spark):
     """Neither 0.004 nor 900 ms is rounded away; null is no value."""
     a = spark.createDataFrame([(1, 10.001, "2024-01-01 00:00:00.1", None), (2, 1e17, "2024-01-01 00:00:00", "x")], "k int, v double, t string, s string").withColumn("t", F.col("t").cast("timestamp"))
