@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from . import tables
@@ -34,6 +35,17 @@ def from_schema(fields: list[Field]) -> tuple[dict[str, str], dict[str, str]]:
     return drop, warn
 
 
+def expect_warn(df: DataFrame, rules: dict[str, str], save: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(what save wrote and read back, rule and failures): every row is kept, and rules are counted as the rows go by.
+
+    A rule that is null fails.  Spark takes each task's counts once, so no second pass is made; an empty frame has 0 of each."""
+    seen = Observation()
+    tests = [F.count_if(~F.coalesce(F.expr(x), F.lit(False))).alias(n) for n, x in rules.items()]
+    kept = save(df.observe(seen, *tests))
+    counts = seen.get
+    return kept, df.sparkSession.createDataFrame([(n, counts[n]) for n in rules], "rule string, failures long")
+
+
 def apply_schema(df: DataFrame, fields: list[Field]) -> DataFrame:
     """Rows that break no dropping rule, with `warnings` (names of warning rules broken, unique ones among them)."""
     drop, warn = from_schema(fields)
@@ -41,8 +53,9 @@ def apply_schema(df: DataFrame, fields: list[Field]) -> DataFrame:
     out = tables.expect(kept, warn).withColumnRenamed("failed", "warnings")
     for f in fields:
         if f.unique:
-            again = F.count(f.name).over(Window.partitionBy(f.name)) > 1
-            out = out.withColumn("warnings", F.when(again, F.array_append("warnings", F.lit(f"{f.name}_unique"))).otherwise(F.col("warnings")))
+            # values are counted before they are joined, so a common value is one row of the other side
+            again = kept.where(F.col(f.name).isNotNull()).groupBy(F.col(f.name).alias("__v")).count().where("count > 1").select("__v", F.lit(True).alias("__again"))
+            out = out.join(again, F.col(f.name) == F.col("__v"), "left").withColumn("warnings", F.when(F.col("__again"), F.array_append("warnings", F.lit(f"{f.name}_unique"))).otherwise(F.col("warnings"))).drop("__v", "__again")
     return out
 
 

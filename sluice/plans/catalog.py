@@ -470,16 +470,6 @@ def point_to_cell(spark, d):
     return table(spark, d, "events").select("event_id", periods.cell((k % 100) * 0.37, (k % 77) * 0.21, 0.5).alias("cell"))
 
 
-@frame("with p as (select event_id, user_id, event_id * 0.25 as x, (event_id % 7) * 1.0 as y from events) select a.user_id, count(*) as contacts, min(b.event_id) as first_other from p a join p b on floor(a.x / 2) - floor(b.x / 2) between -1 and 1 and floor(a.y / 2) - floor(b.y / 2) between -1 and 1 and a.user_id < b.user_id and (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 4 group by 1")
-def contacts_pairs(spark, d):
-    k = F.col("event_id")
-    p = table(spark, d, "events").select("event_id", "user_id", (k * 0.25).cast("double").alias("x"), ((k % 7) * 1.0).cast("double").alias("y"))
-    near = p.select("*", F.explode(F.array(*[F.struct((F.floor(F.col("x") / 2) + i).alias("cx"), (F.floor(F.col("y") / 2) + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("c")).select("event_id", "user_id", "x", "y", "c.cx", "c.cy").alias("a")
-    own = p.select("event_id", "user_id", "x", "y", F.floor(F.col("x") / 2).alias("cx"), F.floor(F.col("y") / 2).alias("cy")).alias("b")
-    j = near.join(own, (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))).where("a.user_id < b.user_id and (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 4")
-    return j.groupBy("a.user_id").agg(F.count(F.lit(1)).alias("contacts"), F.min("b.event_id").alias("first_other"))
-
-
 @frame("select o_orderkey from orders where o_custkey % 3 = 1")
 def row_filter_project(spark, d):
     access = spark.sql("select * from values ('a@x', 1L, 0, cast(null as int)), ('a@x', 2L, 0, 5), ('b@x', null, 0, null) as t(user_email, project_id, valid_from, valid_to)")
@@ -494,4 +484,4 @@ def row_filter_admin(spark, d):
     return periods.row_filter(rows, access, "b@x", "project_id", 10).select("o_orderkey")
 
 
-from . import checks, facts, feeds, gold, sensors, statements, store, zones  # noqa: E402,F401  queries of other modules
+from . import checks, facts, feeds, gold, sensors, statements, store, works, zones  # noqa: E402,F401  queries of other modules

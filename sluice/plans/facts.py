@@ -34,12 +34,10 @@ both("parse_point_wkt", "select s_suppkey, cast(regexp_extract(w, 'POINT\\\\(([-
      "select s_suppkey, regexp_extract(w, 'POINT\\(([-0-9.]+) ([-0-9.]+)\\)', 1)::double as lon, regexp_extract(w, 'POINT\\(([-0-9.]+) ([-0-9.]+)\\)', 2)::double as lat from (select s_suppkey, concat('POINT(', s_nationkey, '.5 -', s_suppkey % 11, ')') as w from {supplier})")
 
 # facts and summaries
-both("calc_attendance", "select l_suppkey, count(case when l_quantity <= 8 then 1 end) as regular, count(case when l_quantity > 8 then 1 end) as overtime, min(l_orderkey) as first_start, max(l_orderkey) as last_end from {lineitem} group by l_suppkey")
 both("calc_progress", "select o_custkey, cast(sum(done) as bigint) as done, count(*) as planned, cast(sum(done) as double) * 100 / count(*) as percent from (select o_custkey, case when o_orderstatus = 'F' then 1 else 0 end as done from {orders}) group by o_custkey")
 both("calc_project_active", "select c_custkey, greatest(a.last, b.last) as last_activity, coalesce(greatest(a.last, b.last) >= 400, false) as active from {customer} left join (select o_custkey as k, max(o_orderkey) as last from {orders} group by 1) a on a.k = c_custkey left join (select user_id as k, max(event_id) as last from {events} group by 1) b on b.k = c_custkey")
 both("project_daily_summary", "select coalesce(a.k, b.k) as project, coalesce(a.y, b.y) as y, coalesce(a.n, 0) as orders, coalesce(b.n, 0) as shipments from (select o_custkey % 9 as k, year(o_orderdate) as y, count(*) as n from {orders} group by 1, 2) a full join (select l_suppkey % 9 as k, year(l_shipdate) as y, count(*) as n from {lineitem} group by 1, 2) b on a.k = b.k and a.y = b.y")
 both("worker_productivity", "select o_custkey, count(distinct o_orderkey) as orders, count(*) as items, cast(count(*) as double) / count(distinct o_orderkey) as items_per_order from {orders} join {lineitem} on l_orderkey = o_orderkey group by o_custkey")
-both("calendar_views", "select month(o_orderdate) as m, day(o_orderdate) as d, count(*) as n from {orders} where not (month(o_orderdate) = 12 and day(o_orderdate) = 25) group by 1, 2")
 both("fact_reported_attendance", "select coalesce(a.k, b.k) as k, coalesce(a.n, b.n) as n, case when a.k is null then 'second' else 'first' end as src, coalesce(a.n, b.n) = 1 as deleted from (select o_custkey as k, count(*) as n from {orders} where o_orderstatus = 'F' group by 1) a full join (select o_custkey as k, count(*) as n from {orders} where o_orderstatus = 'O' group by 1) b on a.k = b.k")
 both("merge_old_data", "select o_orderkey + 1000000 as k, c_custkey as new_worker from {orders} join {customer} on c_custkey = o_custkey where not exists (select 1 from {events} where event_id = o_orderkey)")
 both("expand_via_group", "select distinct c.c_custkey as worker, s.s_suppkey as manager from {customer} c join {supplier} s on c.c_custkey div 45 = s.s_suppkey div 3", "select distinct c.c_custkey as worker, s.s_suppkey as manager from {customer} c join {supplier} s on c.c_custkey // 45 = s.s_suppkey // 3")

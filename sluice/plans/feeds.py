@@ -61,7 +61,7 @@ def write_overwrite(spark, d):
 def write_append(spark, d):
     c, path = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_nationkey"), stores.scratch(spark, "t")
     stores.write_append(c.where("c_nationkey < 12").drop("c_nationkey"), path)
-    stores.write_append(c.where("not c_nationkey < 12").drop("c_nationkey"), path)
+    stores.write_append(c.where("not coalesce(c_nationkey < 12, false)").drop("c_nationkey"), path)
     return spark.read.parquet(path)
 
 
@@ -76,7 +76,7 @@ def write_merge(spark, d):
 @frame("select year(o_orderdate)::int as y, count(*) as n from orders where year(o_orderdate) >= 1997 group by 1")
 def write_partitioned(spark, d):
     path = stores.scratch(spark, "t")
-    stores.write_overwrite(table(spark, d, "orders").withColumn("y", F.year("o_orderdate")).repartition("y"), path, ("y",))
+    stores.write_overwrite(table(spark, d, "orders").withColumn("y", F.year("o_orderdate")).hint("rebalance", "y"), path, ("y",))
     return spark.read.parquet(path).where("y >= 1997").groupBy("y").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -12,8 +12,6 @@ both("read_table", "select n_nationkey, n_name, n_regionkey from {nation}")
 both("incremental_query", "select event_id, user_id from {events} where event_id > 400")
 both("bounded_watermark_window", "select event_id, user_id from {events} where event_id > 400 and event_id <= 700")
 both("greatest_watermark", "select max(greatest(coalesce(o_orderkey, 0), coalesce(o_custkey, 0))) as watermark from {orders}")
-both("table_stats", "select 'orders' as table_name, 'o_orderkey' as column_name, count(*) as n, count(distinct o_orderkey) as distinct_values, count(*) = count(distinct o_orderkey) as is_key, cast(min(o_orderkey) as string) as lo, cast(max(o_orderkey) as string) as hi from {orders} union all select 'orders', 'o_custkey', count(*), count(distinct o_custkey), count(*) = count(distinct o_custkey), cast(min(o_custkey) as string), cast(max(o_custkey) as string) from {orders} union all select 'customer', 'c_custkey', count(*), count(distinct c_custkey), count(*) = count(distinct c_custkey), cast(min(c_custkey) as string), cast(max(c_custkey) as string) from {customer} union all select 'events', 'ts', count(*), count(distinct ts), count(*) = count(distinct ts), date_format(min(ts), 'yyyy-MM-dd HH:mm:ss'), date_format(max(ts), 'yyyy-MM-dd HH:mm:ss') from {events}",
-     "select 'orders' as table_name, 'o_orderkey' as column_name, count(*) as n, count(distinct o_orderkey) as distinct_values, count(*) = count(distinct o_orderkey) as is_key, min(o_orderkey)::varchar as lo, max(o_orderkey)::varchar as hi from {orders} union all select 'orders', 'o_custkey', count(*), count(distinct o_custkey), count(*) = count(distinct o_custkey), min(o_custkey)::varchar, max(o_custkey)::varchar from {orders} union all select 'customer', 'c_custkey', count(*), count(distinct c_custkey), count(*) = count(distinct c_custkey), min(c_custkey)::varchar, max(c_custkey)::varchar from {customer} union all select 'events', 'ts', count(*), count(distinct ts), count(*) = count(distinct ts), strftime(min(ts), '%Y-%m-%d %H:%M:%S'), strftime(max(ts), '%Y-%m-%d %H:%M:%S') from {events}")
 both("select_drop_columns", "select o_orderkey, o_custkey from {orders}")
 both("apply_user_transformations", "select s_suppkey, upper(trim(s_name)) as s_name from {supplier}")
 
@@ -34,7 +32,6 @@ both("join_anti", "select c_custkey from {customer} where not exists (select 1 f
 both("join_semi_exists", "select c_custkey from {customer} where exists (select 1 from {orders} where o_custkey = c_custkey and o_totalprice > 100000)")
 both("join_not_exists", "select n_nationkey from {nation} n where not exists (select 1 from {supplier} s where coalesce(s.s_nationkey, -1) = coalesce(n.n_nationkey, -1))")
 both("join_or_key", "select distinct s_suppkey, n_nationkey from (select s_suppkey, n_nationkey from {supplier} join {nation} on s_nationkey = n_nationkey union select s_suppkey, n_nationkey from {supplier} join {nation} on s_suppkey % 25 = n_nationkey) t")
-both("join_cross_broadcast", "select r_name, n_name, r_regionkey * 100 + n_nationkey as cell from {region} cross join {nation}")
 both("join_point_in_interval", "select o.o_orderkey, p.k from {orders} o join (select c_custkey as k, c_custkey * 3 as lo, case when c_custkey % 3 = 0 then null else c_custkey * 3 + 900 end as hi from {customer}) p on o.o_custkey = p.k and p.lo <= o.o_orderkey and (o.o_orderkey < p.hi or p.hi is null)")
 both("join_interval_overlap", "select a.o_custkey, greatest(a.lo, b.lo) as lo, least(a.hi, b.hi) as hi, count(*) as n from (select o_custkey, o_orderkey % 100 as lo, o_orderkey % 100 + 10 as hi from {orders}) a join (select c_custkey, c_custkey % 100 as lo, c_custkey % 100 + 20 as hi from {customer}) b on a.o_custkey = b.c_custkey and a.lo < b.hi and b.lo < a.hi group by 1, 2, 3")
 both("join_asof_latest", "select event_id, o_orderkey from (select e.event_id, o.o_orderkey, row_number() over (partition by e.event_id order by o.o_orderkey desc) as rn from {events} e join {orders} o on o.o_custkey = e.user_id and o.o_orderkey <= e.event_id) t where rn = 1")
@@ -91,7 +88,6 @@ both("win_min_level_filter", "select o_orderkey from (select o_orderkey, o_order
 both("dedupe_latest", "select o_custkey, o_orderkey from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn from {orders}) t where rn = 1")
 both("dedupe_priority", "select o_custkey, o_orderkey from (select *, row_number() over (partition by o_custkey order by case o_orderstatus when 'F' then 0 when 'O' then 1 else 2 end, o_orderkey) as rn from {orders}) t where rn = 1")
 both("segment_number", "select event_id, row_number() over (partition by user_id, event_type order by event_id) as segment from {events}")
-both("surrogate_keys", "select v, dense_rank() over (order by v) as id from (select distinct o_orderpriority as v from {orders}) t")
 
 # sorts and sets
 both("order_by", "select o_orderkey, o_orderpriority, o_totalprice from {orders} order by o_orderpriority desc nulls last, o_totalprice, o_orderkey")

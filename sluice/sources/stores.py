@@ -178,6 +178,20 @@ def write_overwrite(df: DataFrame, path: str, partition_by: tuple = ()) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple) -> None:
+    """Only the partitions that df has rows of are replaced; an empty df changes nothing."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def create_as(df: DataFrame, path: str) -> DataFrame:
+    """A table made of a query, its files at a path of its own; the catalogue's entry goes again, as sessions share it."""
+    name = f"made_{uuid.uuid4().hex}"
+    df.write.option("path", path).saveAsTable(name)
+    kept = df.sparkSession.table(name).schema
+    df.sparkSession.sql(f"drop table {name}")
+    return df.sparkSession.read.schema(kept).parquet(path)
+
+
 def write_append(df: DataFrame, path: str, partition_by: tuple = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 

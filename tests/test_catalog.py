@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.operators import checks, periods, recon, sensors, tables, zones
+from sluice.operators import calendars, checks, contacts, discovery, numbering, periods, recon, sensors, tables, zones
 from sluice.plans import catalog
 from sluice.sources import stores
 from sluice.streaming import feeds
@@ -303,3 +303,128 @@ def test_optional_source(spark, sf_dir, tmp_path):
     assert there.count() == 25 and there.where("none is not null").count() == 0
     gone = stores.optional(spark, f"{tmp_path}/none.parquet", "a long")
     assert gone.columns == ["a"] and gone.count() == 0
+
+
+def test_contacts_match_all_pairs_of_readings(spark):
+    import random
+    from datetime import datetime, timedelta, timezone
+
+    g = random.Random(5)
+    base = datetime(2024, 5, 1, tzinfo=timezone.utc)
+    for sphere in (False, True):
+        rows = []
+        for i in range(160):
+            x, y = (g.uniform(-6, 6), g.uniform(-6, 6)) if not sphere else (g.choice([179.99995, -179.99995, 10.0]) + g.uniform(-4e-5, 4e-5), g.choice([60.0, -33.0]) + g.uniform(-4e-5, 4e-5))
+            rows.append((g.randrange(12), g.randrange(2), base + timedelta(seconds=g.randrange(600)), x, y, g.randrange(4), g.randrange(60)))
+        rows += rows[:5] + [(None, 0, base, 0.0, 0.0, 0, 0), (1, None, base, 0.0, 0.0, 0, 0), (1, 0, None, 0.0, 0.0, 0, 0), (1, 0, base, None, 0.0, 0, 0)]
+        df = spark.createDataFrame(rows, "w int, floor int, at timestamp, x double, y double, zone int, active int")
+        met = contacts.pairs(df, "w", "at", ["floor"], 90, 3.0, "zone", "active", sphere=sphere)
+
+        def apart(a, b):
+            if not sphere:
+                return math.dist(a[3:5], b[3:5])
+            (l1, p1), (l2, p2) = (tuple(map(math.radians, r[3:5])) for r in (a, b))
+            h = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin((l2 - l1) / 2) ** 2
+            return 2 * 6371000 * math.asin(math.sqrt(h))
+
+        sound = [r for r in set(rows) if None not in r]
+        want = [(a[1], a[0], b[0], b[2], a[5], b[6], round(apart(a, b), 6)) for a in sound for b in sound if a[0] != b[0] and a[1] == b[1] and abs((a[2] - b[2]).total_seconds()) <= 90 and apart(a, b) <= 3.0]
+        got = [(r["floor"], r["worker"], r["other"], r["at"].astimezone(timezone.utc), r["zone"], r["active"], round(r["distance"], 6)) for r in met.collect()]
+        assert len(want) > 50 and sorted(got) == sorted(want)
+        total = {(r["floor"], r["worker"], r["other"]): (r["contacts"], r["duration"], r["mean_distance"]) for r in contacts.aggregate(met, ["floor"]).collect()}
+        best = {}
+        for f, a, b, at, _, active, dist in want:
+            n, d = best.get((f, a, b, at), (0, 1e9))
+            best[f, a, b, at] = (max(n, active), min(d, dist))
+        for key in total:
+            mine = [v for k, v in best.items() if k[:3] == key]
+            assert total[key][:2] == (len(mine), sum(n for n, _ in mine)) and abs(total[key][2] - sum(d for _, d in mine) / len(mine)) < 1e-5
+    with pytest.raises(ValueError, match="latitude"):
+        contacts.pairs(spark.createDataFrame([(1, 0, base, 0.0, 89.5, 0, 0)], df.schema), "w", "at", ["floor"], 90, 3.0, sphere=True)
+
+
+@pytest.mark.parametrize("small", [100_000, 0])
+def test_wildcard_rules_match_by_their_columns(spark, small):
+    facts = [(i, i % 3 if i % 5 else None, "ab"[i % 2] if i % 7 else None) for i in range(30)]
+    rules = [(k, u, t) for k, (u, t) in enumerate([(0, "a"), (1, None), (None, "b"), (None, None), (2, "b"), (None, None), (9, None), (0, "a")])]
+    f, r = spark.createDataFrame(facts, "id int, u int, t string"), spark.createDataFrame(rules, "rule int, u int, t string")
+    got = sorted(map(tuple, contacts.wildcard_join(f, r, ["u", "t"], small).select("id", "rule").collect()))
+    assert got == sorted((i, k) for i, u, t in facts for k, ru, rt in rules if ru in (None, u) and rt in (None, t))
+    assert contacts.wildcard_join(f, r.limit(0), ["u", "t"], small).columns == ["id", "u", "t", "rule"]
+    assert contacts.wildcard_join(f, r.limit(0), ["u", "t"], small).count() == 0
+
+
+def test_numbers_are_dense_and_ordered_without_a_global_window(spark, capsys):
+    df = spark.createDataFrame([(i * 37 % 101, "x" if i % 2 else None) for i in range(500)] + [(None, None)], "a int, b string")
+    out = numbering.surrogate_keys(df, ["a", "b"], "id", stores.materialize)
+    rows = out.orderBy("id").collect()
+    values = [(r["a"], r["b"]) for r in rows]
+    assert [r["id"] for r in rows] == list(range(1, 204)) and len(set(values)) == 203
+    assert values == sorted(values, key=lambda v: (v[0] is not None, v[0] or 0, v[1] is not None, v[1] or ""))
+    out.explain()
+    assert "Window" not in capsys.readouterr().out
+    repeated = numbering.numbered(spark.createDataFrame([(1,)] * 7, "a int"), ["a"], "n", stores.materialize, 3)
+    assert sorted(r["n"] for r in repeated.collect()) == [1, 2, 3, 4, 5, 6, 7]
+    assert numbering.surrogate_keys(df.limit(0), ["a"], "id", stores.materialize).count() == 0
+
+
+def test_keys_and_watermarks_are_found(spark):
+    rows = [(i // 4, i % 4, i % 8, float(i), None if i == 3 else i, datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "a int, b int, c int, measure double, holed int, at timestamp").drop("at")
+    assert discovery.keys(df) == [("a", "b"), ("a", "c")]
+    assert discovery.keys(df.select("b", "c")) == [] and discovery.keys(df.limit(0)) == []
+    assert discovery.keys(df.union(df.limit(1))) == []  # one repeated row
+    full = spark.createDataFrame(rows, "a int, b int, c int, measure double, holed int, at timestamp")
+    stats = {r["column_name"]: r for r in discovery.column_stats(full).collect()}
+    assert (stats["holed"]["nulls"], stats["c"]["lo"], stats["c"]["hi"], stats["c"]["about"]) == (1, "0", "7", 8)
+    assert discovery.watermarks(full, list(stats.values())) == ["at", "a", "c", "b"]
+    assert discovery.watermarks(full, list(stats.values()), ("b",))[0] == "b"
+    none = discovery.discover({"t": full.limit(0)}).collect()
+    assert not any(r["in_key"] or r["is_watermark"] for r in none) and len(none) == 6
+
+
+def test_days_of_a_calendar(spark):
+    d = datetime.date
+    details = [  # 2024-01-01 is a Monday
+        (1, 2, None, 480, 960, 30, d(2024, 1, 1), d(2024, 1, 15), False),  # Mondays, two of them
+        (1, 2, None, 600, 700, None, d(2024, 1, 22), None, False),  # and again after a gap
+        (1, 4, None, 1320, 360, 60, None, None, False),  # Wednesdays over midnight, always
+        (1, 6, None, 0, 10, None, None, None, True),  # deleted
+        (1, None, d(2024, 1, 3), None, None, None, None, None, False),  # a Wednesday off
+        (1, None, d(2024, 1, 4), 600, 660, None, None, None, False),  # a Thursday of its own
+        (2, 1, None, 0, 60, 90, d(2024, 3, 1), None, False),  # begins after the span
+    ]
+    df = spark.createDataFrame(details, "shift_id int, weekday int, date date, start int, end int, rest int, valid_from date, valid_to date, deleted boolean")
+    shifts = spark.createDataFrame([(1, "early")], "shift_id int, shift string")
+    got = {(r["shift_id"], r["day"].day): (r["hours"], r["special"]) for r in calendars.days(df, shifts, "2024-01-01", "2024-01-25").collect()}
+    assert got == {(1, 1): (7.5, False), (1, 8): (7.5, False), (1, 22): (100 / 60, False), (1, 3): (0.0, True), (1, 4): (1.0, True), (1, 10): (7.0, False), (1, 17): (7.0, False), (1, 24): (7.0, False)}
+    assert calendars.by_weekday(df, shifts).count() == 4 and calendars.by_date(df, shifts).where("shift = 'early'").count() == 2
+    assert calendars.by_weekday(df, shifts).where("shift_id = 2").first()["hours"] == 0.0
+
+
+def test_hours_are_split_at_limits(spark):
+    t = lambda day, hour: datetime.datetime(2024, 1, day, hour)  # noqa: E731  the first is a Monday
+    rows = [(1, 1, t(1, 6), t(1, 12)), (1, 2, t(1, 13), t(1, 18)), (1, 3, t(2, 0), t(2, 23)), (1, 4, t(3, 0), t(3, 8)), (1, 5, t(4, 0), t(4, 8)), (1, 6, t(5, 0), t(5, 9)), (1, 7, t(6, 0), t(6, 4)), (1, 8, t(8, 0), t(8, 4)), (2, 9, t(1, 5), None), (2, 10, t(1, 9), t(1, 7))]
+    df = spark.createDataFrame(rows, "w int, id int, a timestamp, b timestamp")
+    got = {r["id"]: (r["regular"], r["overtime"]) for r in calendars.split_hours(df, "w", "a", "b", ["id"]).collect()}
+    assert got == {1: (6, 0), 2: (2, 3), 3: (8, 15), 4: (8, 0), 5: (8, 0), 6: (8, 1), 7: (0, 4), 8: (4, 0), 9: (0, 0), 10: (0, 0)}
+    free = {r["id"]: (r["regular"], r["overtime"]) for r in calendars.split_hours(df, "w", "a", "b", ["id"], None, 40.0).collect()}
+    assert free[2] == (5, 0) and free[4] == (6, 2) and free[5] == (0, 8)
+    one = calendars.attendance(df, "w", "a", "b", ["id"]).where("w = 1 and day = '2024-01-01'").first()
+    assert (one["first_start"], one["last_end"], one["entries"], one["regular"], one["overtime"]) == (t(1, 6), t(1, 18), 2, 8.0, 3.0)
+
+
+def test_expectations_are_counted_as_rows_are_written(spark):
+    df = spark.range(100).withColumn("v", F.when(F.col("id") % 10 > 0, F.col("id")))
+    rows, counts = checks.expect_warn(df, {"v": "v >= 50", "id": "id < 1000"}, stores.materialize)
+    assert rows.count() == 100 and dict(map(tuple, counts.collect())) == {"v": 55, "id": 0}
+    rows, counts = checks.expect_warn(df.limit(0), {"v": "v >= 50"}, stores.materialize)
+    assert rows.count() == 0 and dict(map(tuple, counts.collect())) == {"v": 0}
+
+
+def test_only_the_partitions_of_a_batch_are_overwritten(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    stores.write_overwrite(spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "k int, p string"), path, ("p",))
+    stores.overwrite_partitions(spark.createDataFrame([(9, "a"), (8, "c")], "k int, p string"), path, ("p",))
+    stores.overwrite_partitions(spark.createDataFrame([], "k int, p string"), path, ("p",))
+    assert sorted(map(str, (tuple(r) for r in spark.read.parquet(path).collect()))) == sorted(map(str, [(9, "a"), (3, "b"), (4, None), (8, "c")]))
