@@ -37,15 +37,18 @@ class ReconSpec:
 SENTINELS = {"date": "1900-01-01", "timestamp": "1900-01-01 00:00:00", "timestamp_ntz": "1900-01-01 00:00:00"}
 
 
-def text_of(df: DataFrame, name: str, sentinels: bool = False) -> Column:
-    """A column as exact text, trimmed; arrays sorted and joined.  Null, and only null, is NULL_MARK.
+def text_of(df: DataFrame, name: str, sentinels: bool = False, compat: bool = False) -> Column:
+    """A column as exact text, trimmed; arrays sorted, as JSON.  Null, and only null, is NULL_MARK.
+
+    compat: arrays are joined by commas, so nulls in them vanish and a comma in a value looks like two values.
 
     Nothing is rounded: a tolerance or a coarser form is a transform of its column.  sentinels: null dates and times count
     as their sentinel, so two systems that store one or the other agree."""
     kind = dict(df.dtypes)[name]
     c = F.col(f"`{name}`")
     if kind.startswith("array"):
-        c = F.concat_ws(",", F.sort_array(c.cast("array<string>")))
+        c = F.sort_array(c.cast("array<string>"))
+        c = F.concat_ws(",", c) if compat else F.to_json(c)
     mark = SENTINELS.get(kind, NULL_MARK) if sentinels else NULL_MARK
     return F.coalesce(F.when(F.col(f"`{name}`").isNotNull(), F.trim(c.cast("string"))), F.lit(mark))
 
@@ -61,8 +64,8 @@ def prepare(df: DataFrame, spec: ReconSpec, target: bool = False) -> DataFrame:
 
 
 def row_hash(df: DataFrame, columns: list[str] | None = None, kind: str = "sha2", compat: bool = False, sentinels: bool = False) -> Column:
-    """Hash of the sorted columns' texts; a separator keeps ("ab", "c") and ("a", "bc") apart unless compat."""
-    texts = [text_of(df, c, sentinels) for c in sorted(columns or df.columns)]
+    """Hash of the sorted columns' texts; a separator keeps ("ab", "c") and ("a", "bc") apart, and arrays are exact, unless compat."""
+    texts = [text_of(df, c, sentinels, compat) for c in sorted(columns or df.columns)]
     joined = F.concat(*texts) if compat else F.concat_ws(SEPARATOR, *texts)
     return F.sha2(joined, 256) if kind == "sha2" else F.md5(joined)
 

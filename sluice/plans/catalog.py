@@ -92,7 +92,7 @@ def row_hash_md5(spark, d):
 
 
 @frame("""select event_id, sha256(concat_ws(chr(1), case when event_id % 5 = 0 then '1900-01-01' else strftime(ts, '%Y-%m-%d') end,
-  coalesce(event_type, '_null_recon_'), case when event_id % 7 = 0 then '_null_recon_' else array_to_string(list_sort([event_type, user_id::varchar]), ',') end)) as h from events""")
+  coalesce(event_type, '_null_recon_'), case when event_id % 7 = 0 then '_null_recon_' else to_json(list_sort([event_type, user_id::varchar]))::varchar end)) as h from events""")
 def hash_normalize_by_type(spark, d):
     e = table(spark, d, "events").selectExpr("event_id", "event_type", "if(event_id % 5 = 0, null, to_date(ts)) as day", "if(event_id % 7 = 0, null, array(string(user_id), event_type)) as tags")
     return e.select("event_id", recon.row_hash(e, ["event_type", "day", "tags"], sentinels=True).alias("h"))

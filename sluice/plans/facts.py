@@ -49,7 +49,9 @@ both("agg_approx_percentile", "select o_orderstatus, median(o_custkey) as exact,
 both("agg_approx_top_k", "select x.item as item, x.count as n from (select explode(approx_top_k(l_linenumber, 2, 1000)) as x from {lineitem}) t", "select l_linenumber as item, count(*) as n from {lineitem} group by 1 order by n desc, item limit 2")
 both("sample_default", "select count(*) as n, count(distinct o_orderkey) as keys, count(o_custkey) as found from (select o.o_orderkey, c.o_custkey from (select o_orderkey from {orders} limit 50) o join {orders} c on c.o_orderkey = o.o_orderkey)")
 both("tablesample_percent", "select max(total) as total, 0.05 as low, 0.15 as high, count(*) between 0.05 * max(total) and 0.15 * max(total) as within from (select o_orderkey from {orders} tablesample (10 percent) repeatable (7)) cross join (select count(*) as total from {orders})", "select count(*) as total, 0.05 as low, 0.15 as high, true as within from {orders}")
-both("tablesample_seeded", "select count(*) as n, sum(case when a.o_orderkey = b.o_orderkey then 1 else 0 end) = count(*) as repeats from (select o_orderkey from {orders} tablesample (100 percent) repeatable (7)) a join (select o_orderkey from {orders} tablesample (100 percent) repeatable (7)) b on a.o_orderkey = b.o_orderkey", "select count(*) as n, true as repeats from {orders}")
+both("tablesample_seeded", """with a as (select o_orderkey as k from {orders} tablesample (10 percent) repeatable (7)), b as (select o_orderkey as k from {orders} tablesample (10 percent) repeatable (7)), c as (select o_orderkey as k from {orders} tablesample (10 percent) repeatable (8))
+ select (select count(*) from {orders}) as total, (select count(*) from a full join b on a.k = b.k where a.k is null or b.k is null) = 0 as repeats, (select count(*) from a left anti join c on a.k = c.k) > 0 as differs, (select count(*) from a) between 0.05 * (select count(*) from {orders}) and 0.15 * (select count(*) from {orders}) as share""",
+     "select count(*) as total, true as repeats, true as differs, true as share from {orders}")
 both("tablesample_join", "select max(total) as total, count(*) between 0.3 * max(total) and 0.7 * max(total) as within from (select * from (select o_orderkey from {orders} join {customer} on o_custkey = c_custkey) tablesample (50 percent) repeatable (7)) cross join (select count(*) as total from {orders})", "select count(*) as total, true as within from {orders}")
 
 

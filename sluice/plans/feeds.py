@@ -169,18 +169,21 @@ def stream_filter_split(spark, d):
     return _back(spark, s, folder).select("route", "event_id")
 
 
-def _parts(spark, d, n=3):
-    """The events as files that come one a batch, out of order: some users' later events first."""
+def _parts(spark, d, n=3, files=4):
+    """The events as n batches of files in turn; an event comes at most 200 numbers behind those before it."""
     folder = stores.scratch(spark, "feed")
     e = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
-    e.repartition(n, F.col("event_id") % 11).write.parquet(f"{folder}/in")
-    return feeds.file_stream(spark, f"{folder}/in", e.schema, 1).drop("source_file", "loaded_at"), folder
+    last = (e.agg(F.max("event_id")).first()[0] or 0) + 201
+    turn = F.floor((F.col("event_id") + F.col("event_id") * 7919 % 200) * n / last)
+    for i in range(n):  # a batch follows when the one before is written
+        e.where(turn == i).repartition(files).write.mode("append").parquet(f"{folder}/in")
+    return feeds.file_stream(spark, f"{folder}/in", e.schema, files).drop("source_file", "loaded_at"), folder
 
 
 @frame(f"with e as ({_EVENTS}), r as (select *, row_number() over (partition by user_id order by event_id desc) rn from e) select user_id, event_id, event_type, value from r where rn = 1 and event_type <> 'error'")
 def stream_cdc_scd1(spark, d):
     s, folder = _parts(spark, d)
-    state = feeds.ChangeTable(folder, feeds.scd1_step(["user_id"], "event_id", ["event_type", "value"], F.col("event_type") == "error")).run(s)
+    state = feeds.ChangeTable(folder, feeds.scd1_step(["user_id"], "event_id", ["event_type", "value"], F.col("event_type") == "error"), ["user_id"], "event_id").run(s)
     return state.where("not deleted").drop("deleted")
 
 
@@ -188,8 +191,10 @@ def stream_cdc_scd1(spark, d):
  c as (select * from m where rn = 1 or event_type is distinct from p), v as (select *, lead(event_id) over (partition by user_id order by event_id) as end_at from c) select user_id, event_type, event_id as start_at, end_at from v where not del""")
 def stream_cdc_scd2(spark, d):
     s, folder = _parts(spark, d)
-    changes = feeds.ChangeTable(folder, feeds.scd2_step(["user_id"], "event_id", ["event_type"], F.col("event_type") == "error")).run(s)
-    return feeds.versions(changes, ["user_id"], "event_id", ["event_type"])
+    made = feeds.ChangeTable(folder, feeds.scd2_step(["user_id"], "event_id", ["event_type"], F.col("event_type") == "error"), ["user_id"], "event_id", late=500)
+    open_ones = feeds.versions(made.run(s), ["user_id"], "event_id", ["event_type"])
+    ended = made.finished(spark)
+    return open_ones if ended is None else open_ones.unionByName(ended)
 
 
 @frame("select epoch(time_bucket(interval '5 minutes', ts))::bigint as window_start, event_type, count(*) as n from events group by all")

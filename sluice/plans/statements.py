@@ -113,7 +113,7 @@ both("validate_row_count", "select s, t, case when t * 1000 >= s * 999 then 'PAS
 both("validate_pk_complete", "select count(*) as n from {lineitem} where l_orderkey is null or l_linenumber is null")
 both("validate_sums", f"select a, b, round(b / a * 100, 6) as pct from (select {MONEY.format('o_totalprice')} as a, {MONEY.format('case when o_orderkey % 97 <> 0 then o_totalprice else 0 end')} as b from {{orders}}) t")
 both("validation_summary", "select status, count(*) as n from (select case when o_totalprice > 150000 then 'FAIL' when o_totalprice > 100000 then 'WARN' else 'PASS' end as status from {orders}) t group by 1")
-both("activity_classify", "select doc_id, case when w in ('select', 'with', 'show', 'describe', 'explain') then 'QUERY' when w in ('insert', 'update', 'delete', 'merge', 'copy') then 'DML' when w in ('create', 'alter', 'drop', 'truncate') then 'DDL' when w in ('call', 'exec', 'execute') then 'ROUTINE' when w in ('begin', 'commit', 'rollback') then 'TRANSACTION' else 'OTHER' end as command from (select doc_id, lower(regexp_extract(c, '^[ (]*([A-Za-z]+)', 1)) as w from (select doc_id, concat(case doc_id % 7 when 0 then ' SELECT ' when 1 then '(with x' when 2 then 'Merge ' when 3 then 'drop ' when 4 then 'EXEC ' when 5 then 'commit' else '' end, ' ', coalesce(left(text, 40), '')) as c from {documents}) t) u")
+both("activity_classify", "select doc_id, case when w in ('select', 'with', 'show', 'describe', 'explain') then 'QUERY' when w in ('insert', 'update', 'delete', 'merge', 'copy') then 'DML' when w in ('create', 'alter', 'drop', 'truncate') then 'DDL' when w in ('call', 'exec', 'execute') then 'ROUTINE' when w in ('begin', 'commit', 'rollback') then 'TRANSACTION' else 'OTHER' end as command from (select doc_id, lower(regexp_extract(c, '^[ (]*([A-Za-z]+)', 1)) as w from (select doc_id, concat(case doc_id % 7 when 0 then ' SELECT ' when 1 then '(with x' when 2 then 'Merge ' when 3 then 'drop ' when 4 then 'EXEC ' when 5 then 'commit' else '' end, ' ', coalesce(text, '')) as c from {documents}) t) u")
 both("activity_stats", "select event_type, count(*) as n, max(event_id) as latest from {events} group by 1 order by n desc")
 
 # periods and sessions by statement

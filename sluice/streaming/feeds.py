@@ -10,7 +10,7 @@ import threading
 from collections import Counter, defaultdict
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -63,64 +63,130 @@ def clean(stream: DataFrame, rules: dict[str, str], keys: list[str], at: str, de
 
 
 class ChangeTable:
-    """State of keys in snapshots, one per batch id: state(i) is made from state(i - 1) and batch i alone.
+    """State of keys in buckets by their hash; a batch rewrites the buckets that it touches and leaves the others' files alone.
 
-    A repeated batch therefore overwrites its snapshot with the same rows, and an object made anew on the same folder,
-    after a restart, goes on where the last one ended.  step(state or None, batch) gives the new state.  The last two
-    snapshots are kept, which a repeated batch needs; older ones are deleted."""
+    state/<i> holds the buckets that batch i wrote, and a manifest, written last, says for every bucket which batch wrote it
+    last, and the greatest sequence seen.  A repeated batch starts from the manifest before it and overwrites its own
+    folder with the same rows; an object made anew on the same folder goes on where the last one ended.  Files that neither
+    of the last two manifests names are deleted.
 
-    def __init__(self, folder: str, step: Callable[[DataFrame | None, DataFrame], DataFrame]):
-        self.folder, self.step = folder, step
+    step(state or None, batch, horizon) gives (new state, rows that are final or None) for whole keys; it must bear being
+    applied to the batch alone first, which takes repeated keys together before they are dealt out.  late: changes
+    further than this behind the greatest sequence of earlier batches are not taken, and what ended before then is final:
+    it leaves the state for done/<i>.  None keeps everything."""
 
-    def _snapshots(self, spark: SparkSession):
-        """The file system of the folder, and its finished snapshots by number."""
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/state")
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        found = [x.getPath() for x in fs.listStatus(path)] if fs.exists(path) else []
-        done = [p for p in found if p.getName().isdigit() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return fs, {int(p.getName()): p for p in done}
+    def __init__(self, folder: str, step: Callable, keys: list[str], sequence: str, buckets: int = 16, late: int | None = None):
+        self.folder, self.step, self.keys, self.sequence, self.buckets, self.late = folder, step, keys, sequence, buckets, late
 
-    def state(self, spark: SparkSession) -> DataFrame | None:
-        """The latest snapshot, or None before the first batch."""
-        _, done = self._snapshots(spark)
-        return spark.read.parquet(f"{self.folder}/state/{max(done)}") if done else None
+    def _fs(self, spark: SparkSession, path: str):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
-    def run(self, stream: DataFrame) -> DataFrame:
-        spark = stream.sparkSession
+    def _manifests(self, spark: SparkSession) -> list[int]:
+        fs, p = self._fs(spark, f"{self.folder}/manifest")
+        return sorted(int(x.getPath().getName()) for x in fs.listStatus(p) if x.getPath().getName().isdigit() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(x.getPath(), "_SUCCESS"))) if fs.exists(p) else []
+
+    def _manifest(self, spark: SparkSession, i: int) -> tuple[dict[int, int], int | None]:
+        """(batch that wrote each bucket, greatest sequence); a row a bucket."""
+        rows = spark.read.schema("bucket int, batch int, top long").parquet(f"{self.folder}/manifest/{i}").collect()
+        return {r["bucket"]: r["batch"] for r in rows if r["bucket"] >= 0}, next((r["top"] for r in rows if r["bucket"] < 0), None)
+
+    def _read(self, spark: SparkSession, held: dict[int, int], some=None) -> DataFrame | None:
+        paths = [f"{self.folder}/state/{n}/bucket={b}" for b, n in sorted(held.items()) if some is None or b in some]
+        return spark.read.parquet(*paths) if paths else None
 
-        def work(batch: DataFrame, i: int) -> None:
-            fs, done = self._snapshots(spark)
-            if i and i - 1 not in done:
-                raise RuntimeError(f"{self.folder} lacks the snapshot of batch {i - 1}")
-            before = batch.sparkSession.read.parquet(f"{self.folder}/state/{i - 1}") if i else None
-            self.step(before, batch).write.mode("overwrite").parquet(f"{self.folder}/state/{i}")
-            for n, path in done.items():
-                if n < i - 1:
-                    fs.delete(path, True)
+    def state(self, spark: SparkSession) -> DataFrame | None:
+        """All buckets as the latest batch left them, or None before the first."""
+        done = self._manifests(spark)
+        return self._read(spark, self._manifest(spark, done[-1])[0]) if done else None
+
+    def finished(self, spark: SparkSession) -> DataFrame | None:
+        """Rows that became final, of all batches so far, or None."""
+        fs, _ = self._fs(spark, self.folder)
+        paths = [f"{self.folder}/done/{n}" for n in range((self._manifests(spark) or [-1])[-1] + 1)]
+        paths = [p for p in paths if fs.exists(self._fs(spark, p)[1])]
+        return spark.read.parquet(*paths) if paths else None
+
+    def _work(self, batch: DataFrame, i: int) -> None:
+        spark = batch.sparkSession
+        done = self._manifests(spark)
+        if i and i - 1 not in done:
+            raise RuntimeError(f"{self.folder} lacks the manifest of batch {i - 1}")
+        held, top = self._manifest(spark, i - 1) if i else ({}, None)
+        horizon = None if self.late is None or top is None else top - self.late
+        taken = batch if horizon is None else batch.where(F.col(self.sequence) > horizon)
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        new = self.step(None, taken, None)[0].withColumn("bucket", bucket).persist()
+        try:
+            touched = {r["bucket"]: r["top"] for r in new.groupBy("bucket").agg(F.max(self.sequence).cast("long").alias("top")).collect()}
+            before = self._read(spark, held, set(touched))
+            rows = self.step(before, new.drop("bucket"), horizon)
+            state, final = (x if x is None else x.withColumn("bucket", bucket) for x in rows)
+            state.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/state/{i}")
+            if final is not None:
+                final.drop("bucket").write.mode("overwrite").parquet(f"{self.folder}/done/{i}")
+        finally:
+            new.unpersist()
+        fs, path = self._fs(spark, f"{self.folder}/state/{i}")
+        there = {int(x.getPath().getName()[7:]) for x in fs.listStatus(path) if x.getPath().getName().startswith("bucket=")}
+        held = {b: n for b, n in held.items() if b not in touched} | dict.fromkeys(there, i)
+        tops = [t for t in (top, *touched.values()) if t is not None]
+        rows = [*((b, n, None) for b, n in held.items()), (-1, i, max(tops, default=None))]
+        spark.createDataFrame(rows, "bucket int, batch int, top long").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/manifest/{i}")
+        if i:
+            self._forget(spark, i, held, self._manifest(spark, i - 1)[0])
+
+    def _forget(self, spark: SparkSession, i: int, *held: dict[int, int]) -> None:
+        needed = {(n, b) for h in held for b, n in h.items()}
+        fs, path = self._fs(spark, f"{self.folder}/state")
+        for x in fs.listStatus(path):
+            n = int(x.getPath().getName())
+            for y in fs.listStatus(x.getPath()):
+                name = y.getPath().getName()
+                if n < i and name.startswith("bucket=") and (n, int(name[7:])) not in needed:
+                    fs.delete(y.getPath(), True)
+        for n in self._manifests(spark):
+            if n < i - 1:
+                fs.delete(self._fs(spark, f"{self.folder}/manifest/{n}")[1], True)
 
-        each_batch(stream, self.folder, work)
-        return self.state(spark)
+    def run(self, stream: DataFrame) -> DataFrame:
+        each_batch(stream, self.folder, self._work)
+        return self.state(stream.sparkSession)
 
 
 def scd1_step(keys: list[str], sequence: str, columns: list[str], deleted: Column):
     """Latest change of each key with its sequence; deletes stay as marked rows, so a late older change stays out."""
 
-    def step(state: DataFrame | None, batch: DataFrame) -> DataFrame:
-        new = batch.select(*keys, sequence, *columns, deleted.alias("deleted"))
+    def step(state: DataFrame | None, batch: DataFrame, horizon) -> tuple[DataFrame, None]:
+        new = batch.select(*keys, sequence, *columns, (deleted if "deleted" not in batch.columns else F.col("deleted")).alias("deleted"))
         rows = new if state is None else state.unionByName(new)
         top = rows.groupBy(*keys).agg(F.max_by(F.struct(sequence, *columns, "deleted"), sequence).alias("r"))
-        return top.select(*keys, "r.*")
+        return top.select(*keys, "r.*"), None
 
     return step
 
 
 def scd2_step(keys: list[str], sequence: str, track: list[str], deleted: Column):
-    """Every change of a key once, late ones included: versions are ordered from these when read."""
-
-    def step(state: DataFrame | None, batch: DataFrame) -> DataFrame:
-        new = batch.select(*keys, sequence, *track, deleted.alias("deleted"))
-        rows = new if state is None else state.unionByName(new)
-        return rows.dropDuplicates([*keys, sequence])
+    """Every change of a key that a later one may still lie before, each once; versions are ordered from these when read.
+
+    With a horizon, versions that ended by then are final: they leave as rows (keys, track, start_at, end_at), and their changes
+    are forgotten but for the one in force at the horizon."""
+
+    def step(state: DataFrame | None, batch: DataFrame, horizon) -> tuple[DataFrame, DataFrame | None]:
+        new = batch.select(*keys, sequence, *track, (deleted if "deleted" not in batch.columns else F.col("deleted")).alias("deleted"))
+        rows = (new if state is None else state.unionByName(new)).dropDuplicates([*keys, sequence])
+        if horizon is None:
+            return rows, None
+        w = Window.partitionBy(*keys).orderBy(sequence)
+        differs = F.row_number().over(w) == 1
+        for c in [*track, "deleted"]:
+            differs = differs | ~F.col(c).eqNullSafe(F.lag(c).over(w))
+        old = F.col(sequence) <= horizon
+        # of changes up to the horizon only those that change something count; the last of them stays
+        marked = rows.withColumn("__new", differs).where(~old | F.col("__new"))
+        ended = marked.withColumn("__end", F.lead(sequence).over(w)).withColumn("__done", old & F.coalesce(F.col("__end") <= horizon, F.lit(False)))
+        final = ended.where("__done and not deleted").select(*keys, *track, F.col(sequence).alias("start_at"), F.col("__end").alias("end_at"))
+        return ended.where("not __done").select(*rows.columns), final
 
     return step
 

@@ -152,10 +152,10 @@ def test_change_table_takes_late_changes(spark, tmp_path):
         spark.createDataFrame(rows, "k long, seq long, v string").coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
         if i == 0:
             stream = lambda: feeds.file_stream(spark, f"{tmp_path}/in/*/*.parque[t]", "k long, seq long, v string", 1)
-    changes = feeds.ChangeTable(f"{tmp_path}/s2", feeds.scd2_step(["k"], "seq", ["v"], F.lit(False))).run(stream())
+    changes = feeds.ChangeTable(f"{tmp_path}/s2", feeds.scd2_step(["k"], "seq", ["v"], F.lit(False)), ["k"], "seq").run(stream())
     got = sorted(map(tuple, feeds.versions(changes, ["k"], "seq", ["v"]).collect()))
     assert got == [(1, "a", 2, 3), (1, "b", 3, 5), (1, "c", 5, None), (2, "x", 1, None)]
-    top = feeds.ChangeTable(f"{tmp_path}/s1", feeds.scd1_step(["k"], "seq", ["v"], F.col("v") == "x")).run(stream())
+    top = feeds.ChangeTable(f"{tmp_path}/s1", feeds.scd1_step(["k"], "seq", ["v"], F.col("v") == "x"), ["k"], "seq").run(stream())
     assert sorted(map(tuple, top.collect())) == [(1, 5, "c", False), (2, 1, "x", True)]
 
 
@@ -249,15 +249,47 @@ def test_aggregates_keep_their_type(spark):
 def test_change_table_goes_on_after_a_restart(spark, tmp_path):
     folder, into = f"file://{tmp_path}/t", f"file://{tmp_path}/in"
     step = feeds.scd1_step(["k"], "n", ["v"], F.col("v") == "gone")
-    spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, n int, v string").write.mode("append").parquet(into)
+    spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, n int, v string").coalesce(1).write.mode("append").parquet(into)
     read = lambda: feeds.file_stream(spark, f"{into}/*.parquet", "k int, n int, v string", 1).drop("source_file", "loaded_at")
-    feeds.ChangeTable(folder, step).run(read())
+    made = lambda: feeds.ChangeTable(folder, step, ["k"], "n", 1000)
+    made().run(read())
     for rows in ([(1, 2, "c")], [(2, 3, "gone"), (3, 1, "d")]):
         spark.createDataFrame(rows, "k int, n int, v string").coalesce(1).write.mode("append").parquet(into)
-        state = feeds.ChangeTable(folder, step).run(read())
+        state = made().run(read())
     assert {r["k"]: (r["v"], r["deleted"]) for r in state.collect()} == {1: ("c", False), 2: ("gone", True), 3: ("d", False)}
-    assert feeds.ChangeTable(folder, step).run(read()).count() == 3  # nothing new
-    assert len([p for p in (tmp_path / "t" / "state").iterdir() if p.is_dir()]) == 2
+    assert made().run(read()).count() == 3  # nothing new
+    # the last batch wrote the two buckets of its keys; that of key 1 stands where the batch before wrote it
+    held = {n: sorted(p.name for p in (tmp_path / "t" / "state" / n).glob("bucket=*")) for n in "012"}
+    assert len(held["2"]) == 2 and len(held["1"]) == 1 and held["1"][0] not in held["2"]
+    # the batch comes again after its manifest was lost: the same rows, nothing twice
+    again = made()
+    before = sorted(map(tuple, state.collect()))
+    again._work(spark.createDataFrame([(2, 3, "gone"), (3, 1, "d")], "k int, n int, v string"), 2)
+    assert sorted(map(tuple, again.state(spark).collect())) == before
+    with pytest.raises(RuntimeError, match="manifest"):
+        again._work(state, 9)
+
+
+def test_versions_that_ended_leave_the_state(spark, tmp_path):
+    step = feeds.scd2_step(["k"], "seq", ["v"], F.col("v") == "x")
+    late, keeps = (feeds.ChangeTable(f"file://{tmp_path}/{n}", step, ["k"], "seq", 8, n) for n in (10, None))
+    batches = [
+        [(1, 1, "a"), (1, 2, "a"), (1, 5, "b"), (2, 3, "a"), (3, 4, "a")],
+        [(1, 30, "c"), (1, 4, "c"), (2, 31, "x"), (3, 33, "a")],  # 4 lies between changes known before
+        [(1, 50, "c"), (2, 52, "d"), (1, 25, "z")],
+        [(1, 60, "d"), (1, 43, "e"), (2, 55, "d"), (3, 70, "b")],
+    ]
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, "k int, seq long, v string")
+        for t in (late, keeps):
+            t._work(df, i)
+            t._work(df, i)  # every batch comes twice
+    want = sorted(map(tuple, feeds.versions(keeps.state(spark), ["k"], "seq", ["v"]).collect()), key=str)
+    got = feeds.versions(late.state(spark), ["k"], "seq", ["v"]).unionByName(late.finished(spark))
+    assert sorted(map(tuple, got.collect()), key=str) == want and late.finished(spark).count() > 3
+    assert late.state(spark).count() < keeps.state(spark).count() and keeps.finished(spark) is None
+    late._work(spark.createDataFrame([(3, 55, "far too late"), (3, 71, "c")], "k int, seq long, v string"), 4)
+    assert late.state(spark).where("v = 'far too late'").count() == 0
 
 
 def test_vendor_presets():
