@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import array_slices, release, slices
+from .tokens import array_slices, give_back, release, slices
 
 BUCKETS = 4096
 _K = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
@@ -148,6 +148,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         release()
         rows = [r for lo, hi in array_slices(texts) for r in held.value.predict(texts[lo:hi].to_pylist())]
         columns = zip(*rows) if rows else ([], [], [])
+        give_back()
         return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.bool_()))], ["lang", "score", "rejected"])
 
     p = docs.select(*own, predict("text").alias("__p"))

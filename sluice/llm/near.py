@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import partitions, stored
 from .graph import components
-from .tokens import array_slices, release
+from .tokens import array_slices, give_back, release
 
 TREES, LEVELS = 12, 8
 #: The chance, at most, with which all trees part a pair at the threshold; counted from the depths that paths reach.
@@ -75,6 +75,8 @@ def sketches(docs: DataFrame, words: int, more: int = 0) -> DataFrame:
                     f = np.frombuffer(xxhash.xxh3_128_digest(x.tobytes()), "<i8")
                     rows.append((key, len(x), int(f[0]), int(f[1]), minwise(x, factors).tobytes() if len(x) else None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "n", "f1", "f2", "tokens"])
+            b = None
+            give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 

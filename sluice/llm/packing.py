@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
-from .tokens import array_slices, encoder
+from .tokens import array_slices, encoder, give_back
 
 #: Pieces of one length are numbered in parts of about this many, so no length is one task's work.
 RANK_ROWS = 100_000
@@ -99,6 +99,8 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id:
                     n = len(ids) // 4
                     rows += [(key, s, min(capacity, n - s), zlib.crc32(ids[4 * s : 4 * (s + capacity)]), n) for s in range(0, n, capacity)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            keys = texts = batch = None
+            give_back()
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
 

@@ -10,6 +10,7 @@ marker.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from array import array
@@ -177,9 +178,21 @@ def encoder(path: str, keeps_blanks: bool, capacity: int = 400_000) -> WordEncod
     return _ENCODERS[key]
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; other C libraries have none
+
+
+def give_back() -> None:
+    """Hand memory that Arrow and the C library hold in reserve back to the system: workers outlive their batches and wait for
+    the next ones beside each other."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def release() -> None:
-    """Let the encoder of this worker go: other work in it needs the room."""
+    """Let the encoder of this worker go, and its reserves: other work in it needs the room."""
     _ENCODERS.clear()
+    give_back()
 
 
 def slices(texts: list, most_chars: int = 400_000):
