@@ -208,8 +208,8 @@ def scd2_late_arrival(spark, d):
 
     step = feeds.scd2_step(["user_id"], "event_id", ["event_type"], F.col("event_type") == "error")
     e = table(spark, d, "events")
-    first = stores.materialize(step(None, e.where("event_id % 3 <> 0")))
-    both = step(first, e.where("event_id % 3 = 0"))
+    first = stores.materialize(step(None, e.where("event_id % 3 <> 0"), None)[0])
+    both, _ = step(first, e.where("event_id % 3 = 0"), None)
     return feeds.versions(both, ["user_id"], "event_id", ["event_type"])
 
 
