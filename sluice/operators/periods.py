@@ -82,6 +82,16 @@ def cell(x: Column, y: Column, size: float) -> Column:
     return (F.floor(x / size) + 1_000_000) * 10_000_000 + F.floor(y / size) + 1_000_000
 
 
+def ring(x: Column, y: Column, size: float, error: Column) -> Column:
+    """Array of the grid cells (gx, gy) within an error distance of a point's cell: as many cells each way as hold it.
+
+    A null or negative error is none, which leaves the point's own cell; a point without a place has a null array."""
+    k = F.ceil(F.greatest(F.coalesce(error, F.lit(0.0)), F.lit(0.0)) / size)
+    gx, gy = F.floor(x / size), F.floor(y / size)
+    each = F.flatten(F.transform(F.sequence(-k, k), lambda i: F.transform(F.sequence(-k, k), lambda j: F.struct((gx + i).alias("gx"), (gy + j).alias("gy")))))
+    return F.when(gx.isNotNull() & gy.isNotNull(), each)
+
+
 def nearest(points: DataFrame, key: str, size: float, k: int, save) -> DataFrame:
     """key, rank (from 1), other, d2: the k nearest other points (key, x, y) by squared distance, ties by key.
 

@@ -484,4 +484,4 @@ def row_filter_admin(spark, d):
     return periods.row_filter(rows, access, "b@x", "project_id", 10).select("o_orderkey")
 
 
-from . import checks, facts, feeds, gold, sensors, statements, store, works, zones  # noqa: E402,F401  queries of other modules
+from . import casts, checks, facts, feeds, gold, sensors, statements, store, views, works, zones  # noqa: E402,F401  queries of other modules

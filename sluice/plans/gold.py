@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import periods, sensors, tables, zones
+from ..operators import histories, periods, sensors, tables, zones
 from ..sources import stores
 from .catalog import event_seconds, frame, table
 from .sensors import _MISSED
@@ -65,17 +65,42 @@ def fact_workers_history(spark, d):
     return out.join(zoned, "event_id").select("event_id", "day", "hour", "part", "category", "crew", "crew_name", "zone_id", F.concat_ws(",", "stalled").alias("stalled"))
 
 
-@frame(_ZONED + f", ev as (select * from events where event_id > 400 union all select * from events where event_id between 300 and 400) select e.event_id, user_id, zone_id, {_PART} as part, case when e.event_id > 400 then 'inserted' else case when e.event_id % 2 = 0 then 'unchanged' else 'updated' end end as action from ev e join zoned on zoned.event_id = e.event_id union all select event_id, user_id, -1, 'old', 'kept' from events where event_id < 300")
+# devices change hands on the day of the month that their number says; every ninth lies idle until then
+_MONTH = 1704067200
+_HANDS = f"""select c_custkey * 10 + 1 as device, c_custkey as worker, {_MONTH} as since, {_MONTH} + 86400 * (1 + c_custkey % 20) as until from customer where c_custkey % 9 <> 0
+ union all select c_custkey * 10 + 1, c_custkey + 1, {_MONTH} + 86400 * (1 + c_custkey % 20), null from customer"""
+
+
+@frame(_SHIFTS + f""", hands as ({_HANDS}), x as (select event_id, user_id * 10 + 1 as device, ts, event_type, value from events), y as (select event_id, (epoch_us(ts) // 1000000)::bigint as "at" from events),
+ r as (select x.event_id, x.device, x.ts, x.event_type, x.value, y."at", hands.worker from x join y using (event_id) left join hands on hands.device = x.device and y."at" >= since and (until is null or y."at" < until)),
+ g as (select r.*, u.session as shift, u.first_at as shift_at from r left join u on u.user_id = r.worker and r."at" between u.first_at and u.last_at),
+ zoned as (select r.event_id, min(h.zone_id) as zone_id from r left join ({_V} select * from h) h on h.event_id = r.event_id group by 1),
+ n as (select g.event_id, device, worker, c_nationkey as crew, shift, make_timestamp(coalesce(shift_at, "at") * 1000000)::date as shift_day, zone_id,
+  case when event_type <> 'error' then value / 86400 else 0 end as active_days, case when event_type = 'error' then value / 86400 else 0 end as idle_days from g join zoned on zoned.event_id = g.event_id left join customer on c_custkey = worker)
+ select n.*, case when event_id % 4 <> 0 then 'inserted' when event_id % 8 = 0 then 'unchanged' else 'updated' end as action from n where event_id % 5 <> 0
+ union all select event_id, user_id * 10 + 1, null, null, null, ts::date, null, null, null, 'kept' from events where event_id % 5 = 0""")
 def history_enhanced(spark, d):
-    """Enriched readings from a watermark on, merged into what was enriched before."""
-    e = table(spark, d, "events")
-    zoned = zones.assign(_points(spark, d), _vertices(spark, d), "event_id", 10.0)
-    rich = e.join(zoned, "event_id").select("event_id", "user_id", "zone_id", sensors.hour_category(F.hour("ts")).alias("part"))
-    fresh = tables.new_rows(rich, F.col("event_id"), 299)
-    before = e.where("event_id < 300").selectExpr("event_id", "user_id", "cast(-1 as bigint) as zone_id", "'old' as part").unionByName(
-        rich.where("event_id between 300 and 400").withColumn("part", F.when(F.col("event_id") % 2 == 0, F.col("part")).otherwise("old"))
-    )
-    return tables.merge(before, fresh, ["event_id"])
+    """Readings with the worker who holds the device, crew, zone and shift, merged into what was enriched before."""
+    e = event_seconds(spark, d).withColumn("device", F.col("user_id") * 10 + 1)
+    c = table(spark, d, "customer")
+    change = F.lit(_MONTH) + (F.col("c_custkey") % 20 + 1) * 86400
+    device, none = (F.col("c_custkey") * 10 + 1).alias("device"), F.lit(None).cast("bigint")
+    hands = c.where("c_custkey % 9 <> 0").select(device, F.col("c_custkey").alias("worker"), F.lit(_MONTH).cast("bigint").alias("since"), change.alias("until"))
+    hands = hands.unionByName(c.select(device, (F.col("c_custkey") + 1).alias("worker"), change.alias("since"), none.alias("until")))
+    held = histories.covering(e, hands, ["event_id"], ["device"], "at", "since", "until", 86400, ["worker"])
+    # a shift holds its last reading too
+    shifts = _shifts(spark, d).selectExpr("user_id as worker", "first_at as shift_at", "last_at + 1 as upto", "session as shift")
+    held = histories.covering(held, shifts.withColumn("shift_from", F.col("shift_at")), ["event_id"], ["worker"], "at", "shift_at", "upto", 86400, ["shift", "shift_from"])
+    crews = histories.Lookup(c.selectExpr("c_custkey", "c_nationkey as crew"), "worker", "c_custkey", ("crew",))
+    rich = histories.named(held, [crews]).join(zones.assign(_points(spark, d), _vertices(spark, d), "event_id", 10.0), "event_id")
+    busy = F.col("event_type") != "error"
+    days = F.col("value") / 86400
+    rich = rich.select("event_id", "device", "worker", "crew", "shift", F.to_date(F.timestamp_seconds(F.coalesce("shift_from", "at"))).alias("shift_day"), "zone_id", F.when(busy, days).otherwise(0.0).alias("active_days"), F.when(~busy, days).otherwise(0.0).alias("idle_days"))
+    rich = stores.materialize(rich)
+    null = {x: F.lit(None).cast(rich.schema[x].dataType) for x in ("worker", "crew", "shift", "zone_id", "active_days", "idle_days")}
+    poor = e.where("event_id % 5 = 0 or event_id % 8 = 4").select("event_id", "device", F.to_date(F.timestamp_seconds("at")).alias("shift_day")).withColumns(null)
+    before = poor.unionByName(rich.where("event_id % 8 = 0 and event_id % 5 <> 0"))
+    return tables.merge(before.select(*rich.columns), rich.where("event_id % 5 <> 0"), ["event_id"])
 
 
 # pairs only within a bounded place: fifty readings that follow each other
@@ -119,15 +144,51 @@ def fact_observations_sync(spark, d):
     return tables.merge(before, now, ["event_id"])
 
 
-@frame(_TREE + """, x as (select distinct child, unnest([a, b]) as t from h), n as (select child, t as a, lead(t) over (partition by child order by t) as b from x), sl as (select * from n where b is not null)
- select s.child, s.a, s.b, max(case when h.level = 1 then h.ancestor end) as level_1, max(case when h.level = 2 then h.ancestor end) as level_2, max(case when h.level = 3 then h.ancestor end) as level_3 from sl s join h on h.child = s.child and h.a <= s.a and h.b >= s.b group by 1, 2, 3""")
+_UP = range(1, 13)
+_SLICED = _TREE + f""", x as (select distinct child, unnest([a, b]) as t from h), n as (select child, t as a, lead(t) over (partition by child order by t) as b from x), sl as (select * from n where b is not null),
+ wide as (select s.child, s.a, s.b, coalesce(max(h.level), 0) as levels, s.child as level_0, {", ".join(f"max(case when h.level = {n} then h.ancestor end) as level_{n}" for n in _UP)} from sl s left join h on h.child = s.child and h.a <= s.a and h.b >= s.b group by 1, 2, 3) """
+
+
+@frame(_SLICED + "select * from wide")
+def hierarchy_levels_by_slice(spark, d):
+    """Managers of levels 0 to 12 in every slice of time in which none of them changes."""
+    return histories.levels_by_slice(stores.materialize(hierarchy_temporal(spark, d)), "child", "ancestor", "a", "b", "level")
+
+
+# the snapshot before: two slices a worker, of which one may begin where a new one does
+_OLD = "select c_custkey as child, {at} as a, {at} + 60 as b, 1 as levels, c_custkey as level_0, c_custkey {div} 4 as level_1, " + ", ".join(f"cast(null as bigint) as level_{n}" for n in _UP[1:])
+_OLD_SQL = " union all ".join(f"{_OLD.format(at=at, div='//')} from customer" for at in ("c_custkey % 50", "-1 - c_custkey % 2"))
+
+
+@frame(_SLICED + f""", old as ({_OLD_SQL}), made as (select * from wide where child % 3 <> 0)
+ select made.*, case when old.child is null then 'inserted' when {" or ".join(f"made.{c} is distinct from old.{c}" for c in ("b", "levels", *(f"level_{n}" for n in _UP)))} then 'updated' else 'unchanged' end as action from made left join old on old.child = made.child and old.a = made.a
+ union all select *, 'kept' from old where child % 3 = 0""")
 def manager_snapshots(spark, d):
-    """Managers of each level in every slice of time in which none of them changes."""
-    h = stores.materialize(hierarchy_temporal(spark, d))
-    s = periods.slices(h, ["child"], "a", "b").alias("s")
-    on = (F.col("s.child") == F.col("h.child")) & (F.col("h.a") <= F.col("s.a")) & (F.col("h.b") >= F.col("s.b"))
-    j = s.join(h.alias("h"), on).select("s.child", "s.a", "s.b", "h.level", "h.ancestor")
-    return j.groupBy("child", "a", "b").agg(*[F.max(F.when(F.col("level") == n, F.col("ancestor"))).alias(f"level_{n}") for n in (1, 2, 3)])
+    """Managers of each level by slice of time, merged into the snapshot before in the workers that a run touches."""
+    c = table(spark, d, "customer")
+    old = None
+    for at in ("c_custkey % 50", "-1 - c_custkey % 2"):
+        one = c.selectExpr(*[x.replace(" //", " div") for x in _OLD.format(at=at, div="div").removeprefix("select ").split(", ")])
+        old = one if old is None else old.unionByName(one)
+    touched = c.where("c_custkey % 3 <> 0").selectExpr("c_custkey as child")
+    return histories.merge_snapshots(old, hierarchy_levels_by_slice(spark, d), ["child", "a"], touched, ["child"])
+
+
+_CUSTOMERS = "select c_custkey, c_nationkey from customer where c_custkey % 13 <> 0"
+_RUN = f"""with rows as (select event_id, user_id, case when event_id % 4 <> 0 then event_id % 30 end as place, value, false as waited from events where event_id % 3 <> 0
+  union all select event_id, user_id, case when event_id % 4 <> 0 then event_id % 30 end, value, true from events where event_id % 3 = 0),
+ j as (select r.*, c.c_nationkey as crew, c.c_custkey is null as lost_user, n.n_name as crew_name, n.n_name is null and r.place is not null as lost_place from rows r left join ({_CUSTOMERS}) c on c.c_custkey = r.user_id left join nation n on n.n_nationkey = r.place) """
+
+
+@frame(_RUN + "select event_id, user_id, place, value, crew, crew_name as place_name, waited, case when waited and not coalesce(value < 100, false) then 'retry' else concat_ws(',', case when lost_user then 'user_id' end, case when lost_place then 'place' end) end as missed from j")
+def fact_workers_history_recovery(spark, d):
+    """A run of the history: fresh readings, and a third that waited, of which those below a bound are tried again."""
+    e = table(spark, d, "events").selectExpr("event_id", "user_id", "if(event_id % 4 <> 0, event_id % 30, null) as place", "value")
+    fresh, waiting = e.where("event_id % 3 <> 0"), e.where("event_id % 3 = 0 or event_id % 6 = 1")  # a sixth comes again
+    workers = table(spark, d, "customer").where("c_custkey % 13 <> 0").selectExpr("c_custkey", "c_nationkey as crew")
+    places = table(spark, d, "nation").selectExpr("cast(n_nationkey as bigint) as n_nationkey", "n_name as place_name")
+    out = histories.load(fresh, waiting, ["event_id"], [histories.Lookup(workers, "user_id", "c_custkey", ("crew",)), histories.Lookup(places, "place", "n_nationkey", ("place_name",), False)], F.col("value") < 100)
+    return out.withColumn("missed", F.concat_ws(",", "missed"))
 
 
 _PLACES = """with own as (select c_custkey as worker, s_suppkey as place, (c_custkey % 50)::int as a, (c_custkey % 50 + 40)::int as b from customer join supplier on s_suppkey = c_custkey % 7 where c_custkey % 3 = 0),

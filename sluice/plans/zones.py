@@ -106,10 +106,10 @@ def hierarchy_temporal(spark, d):
 _LEVELS = f"with h as ({oracle_sql()['hierarchy_levels']}) "
 
 
-@frame(_LEVELS + "select child, max(case when level = 1 then ancestor end) as level_1, max(case when level = 2 then ancestor end) as level_2, max(case when level = 3 then ancestor end) as level_3 from h group by child")
+@frame(_LEVELS + "select child, child as level_0, " + ", ".join(f"max(case when level = {n} then ancestor end) as level_{n}" for n in range(1, 13)) + " from h group by child")
 def hierarchy_pivot(spark, d):
-    wide = hierarchy_levels(spark, d).groupBy("child").pivot("level", [1, 2, 3]).agg(F.max("ancestor"))
-    return wide.toDF("child", "level_1", "level_2", "level_3")
+    wide = hierarchy_levels(spark, d).groupBy("child").pivot("level", list(range(1, 13))).agg(F.max("ancestor"))
+    return wide.toDF("child", *[f"level_{n}" for n in range(1, 13)]).withColumn("level_0", F.col("child"))
 
 
 @frame(_LEVELS + "select distinct child from h where ancestor = 3")
@@ -131,5 +131,3 @@ both("session_stitch", _STITCH)
 both("contact_network", "select a.l_orderkey % 100 as k, p.s_name as one, q.s_name as other, count(*) as n from {lineitem} a join {lineitem} b on a.l_orderkey = b.l_orderkey and a.l_suppkey <> b.l_suppkey join {supplier} p on p.s_suppkey = a.l_suppkey join {supplier} q on q.s_suppkey = b.l_suppkey group by 1, 2, 3")
 both("fn_to_array", "select c_custkey, case when c_mktsegment is null then null else array(c_mktsegment) end[0] as one from {customer}", "select c_custkey, [c_mktsegment][1] as one from {customer}")
 both("fn_map_keys_match", "select event_id, exists(map_keys(map(event_type, value)), k -> k like 'c%') as hit from {events}", "select event_id, event_type like 'c%' as hit from {events}")
-both("fn_to_number", "select s_suppkey, cast(to_number(concat('$', s_nationkey, '.50'), '$99.99') as double) as n from {supplier}", "select s_suppkey, s_nationkey + 0.5::double as n from {supplier}")
-both("fn_parse_url", "select page_id, parse_url(url, 'HOST') as host from {pages}", "select page_id, nullif(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1), '') as host from {pages}")

@@ -8,7 +8,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.operators import calendars, checks, contacts, discovery, numbering, periods, recon, sensors, tables, zones
+from sluice.functions import sql
+from sluice.operators import calendars, checks, contacts, discovery, histories, numbering, periods, recon, sensors, tables, zones
 from sluice.plans import catalog
 from sluice.sources import stores
 from sluice.streaming import feeds
@@ -460,3 +461,54 @@ def test_only_the_partitions_of_a_batch_are_overwritten(spark, tmp_path):
     stores.overwrite_partitions(spark.createDataFrame([(9, "a"), (8, "c")], "k int, p string"), path, ("p",))
     stores.overwrite_partitions(spark.createDataFrame([], "k int, p string"), path, ("p",))
     assert sorted(map(str, (tuple(r) for r in spark.read.parquet(path).collect()))) == sorted(map(str, [(9, "a"), (3, "b"), (4, None), (8, "c")]))
+
+
+def test_load_recovers_what_waited(spark):
+    """Fresh rows win over waiting ones of their key, required and optional lookups, nulls, repeats, clashing names."""
+    fresh = spark.createDataFrame([(1, 10, None, "x"), (2, 99, 5, "x"), (3, 10, 6, "x"), (None, None, 5, "x")], "id long, worker long, zone long, missed string")
+    waiting = spark.createDataFrame([(2, 10, 5, "old"), (4, 10, 5, "old"), (4, 10, 5, "old"), (5, 10, 6, "old"), (6, 10, 5, "late")], "id long, worker long, zone long, missed string")
+    workers = spark.createDataFrame([(10, "a"), (10, "b"), (None, "none")], "w long, name string")
+    zones_ = spark.createDataFrame([(5, "five")], "z long, place string")
+    looks = [histories.Lookup(workers, "worker", "w", ("name",)), histories.Lookup(zones_, "zone", "z", ("place",), False)]
+    rows = histories.load(fresh, waiting, ["id"], looks, F.col("id") < 6).collect()
+    got = sorted((r["id"] or 0, r["name"], r["place"], tuple(r["missed"]), r["waited"]) for r in rows)
+    assert got == [
+        (0, None, "five", ("worker",), False), (1, "b", None, (), False), (2, None, "five", ("worker",), False), (3, "b", None, ("zone",), False),
+        (4, "b", "five", (), True), (4, "b", "five", (), True), (5, "b", None, ("zone",), True), (6, "b", "five", ("retry",), True),
+    ]
+    empty = fresh.limit(0)
+    assert histories.load(empty, None, ["id"], looks).count() == 0 and histories.load(empty, waiting, ["id"], looks).count() == 5
+    assert sorted(r["name"] or "" for r in histories.named(fresh.withColumn("name", F.lit("mine")), looks[:1]).collect()) == ["", "", "b", "b"]
+
+
+def test_covering_takes_the_span_that_began_last(spark):
+    rows = spark.createDataFrame([(1, "d", 5), (2, "d", 10), (3, "d", 95), (4, "d", 1000), (5, "e", 5), (6, None, 7), (7, "d", None)], "id long, k string, at long")
+    spans = spark.createDataFrame([("d", 0, 10, "a"), ("d", 5, 6, "in"), ("d", 10, None, "b"), ("d", 90, 100, "c"), ("d", 90, 96, "bb"), ("d", 20, 20, "none"), (None, 7, 8, "null"), ("d", None, 9, "no")], "k string, a long, b long, what string")
+    for width in (1, 7, 5000):
+        got = {r["id"]: r["what"] for r in histories.covering(rows, spans, ["id"], ["k"], "at", "a", "b", width, ["what"]).collect()}
+        assert got == {1: "in", 2: "b", 3: "c", 4: "b", 5: None, 6: "null", 7: None}
+    assert histories.covering(rows.limit(0), spans, ["id"], ["k"], "at", "a", "b", 7, ["what"]).count() == 0
+    assert histories.covering(rows, spans.limit(0), ["id"], ["k"], "at", "a", "b", 7, ["what"]).count() == 7
+
+
+def test_periods_close_and_snapshots_merge(spark):
+    p = spark.createDataFrame([("w", "2024-01-01", None, 1), ("w", "2024-01-05", "2024-01-07", 2), ("w", "2024-01-05", None, 1), ("w", "2024-02-01", None, 3), ("w", None, None, 9)], "k string, a string, b string, n int").selectExpr("k", "date(a) as a", "date(b) as b", "n")
+    rows = histories.close_periods(p, ["k"], "a", "b", ["n"]).orderBy("a").collect()
+    assert [(r["n"], str(r["b"]), r["current"], r["days"]) for r in rows] == [(1, "2024-01-05", False, 4), (2, "2024-01-07", False, 2), (3, "None", True, None)]
+    ways = spark.createDataFrame([(1, 7, 0, 10, 1), (1, 8, 5, 15, 1), (1, 9, 20, 30, 2)], "c long, up long, a long, b long, level int")
+    wide = histories.levels_by_slice(ways, "c", "up", "a", "b", "level", 2)
+    assert [tuple(r) for r in wide.orderBy("a").collect()] == [(1, 0, 5, 1, 1, 7, None), (1, 5, 10, 1, 1, 8, None), (1, 10, 15, 1, 1, 8, None), (1, 15, 20, 0, 1, None, None), (1, 20, 30, 2, 1, None, 9)]
+    old = spark.createDataFrame([(1, 0, 5), (1, 3, 5), (2, 0, 5), (3, 0, 5)], "c long, a long, v long")
+    new = spark.createDataFrame([(1, 0, 6), (1, 9, 5), (3, 0, 9)], "c long, a long, v long")
+    touched = spark.createDataFrame([(1,), (2,), (2,)], "c long")  # 2 has nothing left, 3 was not looked at
+    got = sorted(tuple(r) for r in histories.merge_snapshots(old, new, ["c", "a"], touched, ["c"]).collect())
+    assert got == [(1, 0, 6, "updated"), (1, 9, 5, "inserted"), (3, 0, 5, "kept")]
+
+
+def test_strict_conversions_raise(spark):
+    sql.register(spark)
+    for text in ("sluice_to_boolean('maybe')", "sluice_number_to_boolean(cast('nan' as double))", "sluice_number_to_boolean(cast('-infinity' as double))", "sluice_to_decimal('x1')"):
+        with pytest.raises(Exception, match="not a"):
+            spark.sql(f"select {text}").collect()
+    row = spark.sql("select sluice_to_boolean('oN') as a, sluice_to_boolean(null) as b, sluice_is_integer('2147483648') as c, sluice_is_integer('-7') as d, sluice_is_integer('7.0') as e, sluice_to_decimal('2.5') as f").first()
+    assert (row.a, row.b, row.c, row.d, row.e, int(row.f)) == (True, None, False, True, False, 3)
