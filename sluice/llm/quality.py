@@ -108,43 +108,71 @@ def rules() -> dict:
     }
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 400, votes: float = 50.0, alarm: float = 0.04, own: float = 0.6):
-    """EM over vote patterns: (share of each class, rates[class, rule, vote + 1], posterior of the first class).
-
-    The first class is of good documents; then there is one kind of bad documents for each rule, of those in which
-    the rule mostly fires.  Votes are independent given the class, and an abstention is a third outcome with a rate of its
-    own, so that a rule that looks for one defect alone is learned too.  All rates and shares are estimated from the
-    documents, held by a prior worth `votes` pseudo-documents however many there are.  Two bounds keep the classes what
-    they are called: a rule votes bad on `own` at least of its kind, and on `alarm` at least of the good, for none is so
-    sure that it outvotes all others alone."""
-    votes_ = np.asarray(patterns, int)
-    counts = np.asarray(counts, float)
-    n_rules = votes_.shape[1]
-    hot = np.stack([votes_ == v for v in (-1, 0, 1)], 2).astype(float)
-    both = hot[:, :, 2].any(0)[:, None]  # the rules that vote good at times
-    start = np.tile(np.where(both, (0.05, 0.25, 0.70), (0.03, 0.97, 0.0)), (n_rules + 1, 1, 1))
-    start[np.arange(1, n_rules + 1), np.arange(n_rules)] = np.where(both, (0.8, 0.1, 0.1), (0.8, 0.2, 0.0))
-    start = np.maximum(start, 1e-6)
-    first = np.array([0.8, *[0.2 / n_rules] * n_rules])
-    least = np.zeros((n_rules + 1, n_rules))
-    least[0] = alarm
-    least[np.arange(1, n_rules + 1), np.arange(n_rules)] = own
-    share, rates, p = first, start, np.zeros((len(counts), n_rules + 1))
-    for _ in range(rounds if len(counts) else 0):
-        log = np.log(share) + np.einsum("irv,krv->ik", hot, np.log(rates))
-        p = np.exp(log - log.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        new = np.einsum("i,ik,irv->krv", counts, p, hot) + votes * start
-        new /= new.sum(2, keepdims=True)
-        low = new[:, :, 0] < least
-        others = new[:, :, 1:] * ((1 - least) / np.maximum(1 - new[:, :, 0], 1e-12))[:, :, None]
-        new = np.where(low[:, :, None], np.concatenate([least[:, :, None], others], 2), new)
-        now = (counts @ p + votes * first) / (counts.sum() + votes)
-        moved = max(np.abs(now - share).max(), np.abs(new - rates).max())
-        share, rates = now, new
-        if moved < 1e-9:
+def _em(hot: np.ndarray, counts: np.ndarray, p: np.ndarray, prior: float, rounds: int) -> tuple:
+    """EM from memberships p: (objective, log likelihood, shares, rates[class, rule, vote + 1], memberships)."""
+    flat, k = hot.reshape(len(counts), -1), p.shape[1]
+    mean = (counts @ flat).reshape(1, -1, 3) / counts.sum()
+    before = -np.inf
+    for _ in range(rounds):
+        share = (counts @ p + 1) / (counts.sum() + k)
+        rates = ((counts[:, None] * p).T @ flat).reshape(k, -1, 3) + prior * mean + 1e-9
+        rates /= rates.sum(2, keepdims=True)
+        log = np.log(share) + flat @ np.log(rates).reshape(k, -1).T
+        top = log.max(1)
+        total = top + np.log(np.exp(log - top[:, None]).sum(1))
+        likelihood = counts @ total
+        objective = likelihood + prior * (mean * np.log(rates)).sum() + np.log(share).sum()
+        p = np.exp(log - total[:, None])
+        if abs(objective - before) < 1e-6:
             break
-    return share, rates, p[:, 0]
+        before = objective
+    return objective, likelihood, share, rates, p
+
+
+def fit(patterns: np.ndarray, counts: np.ndarray, starts: int = 8, prior: float = 1.0, rounds: int = 500, agree: int = 2, seed: int = 0):
+    """EM over vote patterns: (share of each class, rates[class, rule, vote + 1], posterior of a good class, bad).
+
+    Documents are a mixture of classes in which the rules vote, or abstain, independently.  All rates and shares are
+    learned, without bounds; the prior is worth `prior` pseudo-documents at the rates of the whole corpus.  Each number of
+    classes, up to one more than there are rules, is fitted from `starts` seeded starts of which the likeliest stays, until two
+    more classes do not better the Bayesian information criterion.  What a class is follows from what was learned: it is bad
+    where `agree` rules at least vote bad on more than half of it each, as a lone alarm that no other rule shares is no
+    proof.  Good classes stand first, larger ones before smaller.  The work follows the number of distinct patterns; their order does not matter."""
+    votes, counts = np.asarray(patterns, int), np.asarray(counts, float)
+    n_rules = votes.shape[1]
+    if not len(counts):
+        return np.ones(1), np.full((1, n_rules, 3), 1 / 3), np.zeros(0), np.zeros(1, bool)
+    back = np.lexsort(votes.T)
+    votes, counts = votes[back], counts[back]
+    hot = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float)
+    free = ((np.einsum("i,irv->rv", counts, hot) > 0).sum(1) - 1).sum()
+    rng = np.random.default_rng(seed)
+    best, stale = None, 0
+    for k in range(1, n_rules + 2):
+        tops = []
+        for _ in range(starts if k > 1 else 1):
+            # around the commonest pattern and others far from those chosen, by weight
+            chosen = [int(counts.argmax())]
+            while len(chosen) < k:
+                weight = counts * np.min([(votes != votes[c]).sum(1) for c in chosen], 0) ** 2
+                if not weight.sum():
+                    break
+                chosen.append(int(rng.choice(len(counts), p=weight / weight.sum())))
+            p = np.exp(-1.5 * np.stack([(votes != votes[c]).sum(1) for c in chosen], 1))
+            tops.append(_em(hot, counts, p / p.sum(1, keepdims=True), prior, rounds))
+        top = max(tops, key=lambda t: t[0])
+        bic = (len(top[2]) - 1 + len(top[2]) * free) * np.log(counts.sum()) - 2 * top[1]
+        stale = 0 if best is None or bic < best[0] else stale + 1
+        if not stale:
+            best = bic, top
+        if stale == 2:
+            break
+    _, _, share, rates, p = best[1]
+    bad = (rates[:, :, 0] > 0.5).sum(1) >= agree
+    order = np.lexsort((-share, bad))
+    good = np.empty(len(counts))
+    good[back] = p[:, ~bad].sum(1)
+    return share[order], rates[order], good, bad[order]
 
 
 def judge(measured: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -154,7 +182,7 @@ def judge(measured: DataFrame, threshold: float = 0.5) -> DataFrame:
     keys = [f"__v_{k}" for k in named]
     table = voted.groupBy(*keys).count().collect()  # at most 3 ** len(rules) patterns
     patterns = np.array([[r[k] for k in keys] for r in table], int).reshape(-1, len(keys))
-    _, _, p = fit(patterns, np.array([r["count"] for r in table]))
+    _, _, p, _ = fit(patterns, np.array([r["count"] for r in table]))
     code = sum(((F.col(k) + 1) * 3**i for i, k in enumerate(keys)), F.lit(0)).cast("int")
     spark = measured.sparkSession
     weights = 3 ** np.arange(len(keys))

@@ -234,7 +234,8 @@ def test_em_recovers_accuracies():
         rates[k + 1, 3 * k : 3 * k + 3] = [0.9, 0.05, 0.05], [0.7, 0.2, 0.1], [0.8, 0.2, 0]
     votes = (rng.random((20000, 9, 1)) > rates[kind].cumsum(2)[:, :, :2]).sum(2) - 1
     patterns, counts = np.unique(votes, axis=0, return_counts=True)
-    share, got, p = quality.fit(patterns, counts)
+    share, got, p, kinds = quality.fit(patterns, counts)
+    assert kinds.tolist() == [False] + [True] * (len(kinds) - 1)
     table = {tuple(k): x for k, x in zip(patterns, p)}
     assert np.mean((np.array([table[tuple(v)] for v in votes]) > 0.5) == (kind == 0)) > 0.95
     # of all documents that are not good, how often each rule fires
@@ -244,6 +245,47 @@ def test_em_recovers_accuracies():
     assert len(quality.fit(np.zeros((0, 4)), np.zeros(0))[2]) == 0
 
 
+@pytest.mark.parametrize("alarms", [(0.001, 0.002, 0.001), (0.10, 0.15, 0.12), (0.0, 0.2, 0.01)])
+def test_em_recovers_quiet_noisy_and_mixed_rules(alarms):
+    """Rates that no start or prior holds: verdicts against those of the true rates, shares, and the good class's rates."""
+    rng = np.random.default_rng(2)
+    shares = np.array([0.85, 0.07, 0.05, 0.03])
+    kind = rng.choice(4, 20000, p=shares)
+    a, b, c = alarms
+    rates = np.tile([[a, 0.2 - a, 0.8], [b, 0.3 - b, 0.7], [c, 1 - c, 0]] * 3, (4, 1, 1)).reshape(4, 9, 3)
+    for k in range(3):
+        rates[k + 1, 3 * k : 3 * k + 3] = [0.9, 0.05, 0.05], [0.7, 0.2, 0.1], [0.8, 0.2, 0]
+    votes = (rng.random((20000, 9, 1)) > rates[kind].cumsum(2)[:, :, :2]).sum(2) - 1
+    patterns, back, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    share, got, p, bad = quality.fit(patterns, counts)
+    assert abs(share[~bad].sum() - 0.85) < 0.02 and np.abs(got[0, :, 0] - rates[0, :, 0]).max() < 0.02
+    # the best that can be done, by the rates that the votes were drawn from
+    like = shares * np.prod([[r[range(9), v + 1] for r in rates] for v in patterns], 2)
+    ideal = like[:, 0] / like.sum(1) > 0.5
+    mine = p > 0.5
+    assert np.mean((mine == ideal)[back.ravel()]) > 0.98
+    assert np.mean(mine[back.ravel()] == (kind == 0)) > np.mean(ideal[back.ravel()] == (kind == 0)) - 0.005
+    # the order of the patterns does not matter
+    turned = rng.permutation(len(counts))
+    assert np.allclose(quality.fit(patterns[turned], counts[turned])[2], p[turned])
+
+
+def test_quality_verdicts_by_a_plain_fit(spark):
+    """Verdicts of small tables: base rules, posteriors of the votes of each row, repeated rows alike, nulls last."""
+    good = "The river runs slowly past the old mill and nobody minds it much. " * 1 + " ".join(f"Word{i} follows word{i + 1} in line." for i in range(30))
+    rows = [(i, good + f" End {i}.") for i in range(60)] + [(100 + i, good + " # $ % & * | < >" * 9) for i in range(12)] + [(200, None), (201, ""), (202, "few words."), (300, good), (300, good), (None, good)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"kept": F.lit(1), "quality": F.lit("x")})
+    got = quality.quality(df).collect()
+    assert len(got) == len(rows)
+    voted = quality.measures(df).select("doc_id", *[v.cast("int").alias(k) for k, v in quality.rules().items()]).collect()
+    patterns, back, counts = np.unique([list(r[1:]) for r in voted], axis=0, return_inverse=True, return_counts=True)
+    p = quality.fit(patterns, counts)[2][back.ravel()]
+    want = Counter((r["doc_id"], round(float(x), 9)) for r, x in zip(voted, p))
+    assert Counter((r["doc_id"], round(r["quality"], 9)) for r in got) == want
+    kept = {r["doc_id"]: r["kept"] for r in got}
+    assert all(kept[i] for i in [*range(60), 300, None]) and not any(kept[i] for i in [*range(100, 112), 200, 201, 202])
+
+
 def test_language(spark, odd, none, docs):
     model = language.train(docs.where(~queries.held_out()), per_language=60)
     assert language.identify(none, model).count() == 0
