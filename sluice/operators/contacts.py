@@ -50,7 +50,9 @@ def pairs(readings: DataFrame, worker: str, at: str, place: list[str], within: f
     a = a.select(*place, "gt", "gx", "gy", same.alias("same"), *[F.col(c).alias(f"a_{c}") for c in own])
     b = r.select(*place, "gt", "gx", "gy", *[F.col(c).alias(f"b_{c}") for c in own])
     apart = periods.haversine_m(*map(F.col, ("a_y", "a_x", "b_y", "b_x"))) if sphere else F.sqrt(F.expr("(a_x - b_x) * (a_x - b_x) + (a_y - b_y) * (a_y - b_y)"))
-    met = a.join(b, [*place, "gt", "gx", "gy"]).where("a_worker <> b_worker and (not same or a_worker < b_worker)")
+    # merged, not broadcast: readings are as long as the feed, however small their file is; and dealt out in full, as each meets many
+    cell = [*place, "gt", "gx", "gy"]
+    met = periods.dealt(a, *cell).join(periods.dealt(b, *cell).hint("merge"), cell).where("a_worker <> b_worker and (not same or a_worker < b_worker)")
     met = met.where(F.abs(F.col("a_t") - F.col("b_t")) <= within * 1_000_000).withColumn("distance", apart).where(F.col("distance") <= reach)
     side = lambda one, two: F.struct(F.col(f"{one}_worker").alias("worker"), F.col(f"{two}_worker").alias("other"), F.timestamp_micros(f"{two}_t").alias("at"), F.col(f"{one}_zone").alias("zone"), F.col(f"{two}_active").alias("active"))
     return met.select(*place, F.explode(F.array(side("a", "b"), side("b", "a"))).alias("p"), "distance").select(*place, "p.*", "distance")

@@ -319,6 +319,13 @@ def test_time_categories(spark):
     assert [r[0] for r in texts.select(sensors.hours(F.col("t"))).collect()] == [8.5, 7.5, None, None, 10.25]
 
 
+def test_contacts_broadcast_no_readings(spark):
+    df = spark.createDataFrame([(1, i, datetime.datetime(2024, 1, 1), 0.0, 0.0) for i in range(3)], "floor int, w int, at timestamp, x double, y double")
+    met = contacts.pairs(df, "w", "at", ["floor"], 90, 3.0)
+    assert met.count() == 6
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+
+
 def test_nearest_points_widen(spark):
     rows = [(i, float(i % 5), float(i // 5)) for i in range(20)] + [(99, 5000.0, 5000.0), (100, None, 1.0)]
     df = spark.createDataFrame(rows, "id int, x double, y double")
