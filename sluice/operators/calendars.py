@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import periods
+
 
 def hours(start: Column, end: Column, rest: Column) -> Column:
     """Hours between two times given as minutes of the day, less a rest in minutes.
@@ -20,13 +22,13 @@ def by_weekday(details: DataFrame, shifts: DataFrame) -> DataFrame:
     details: shift_id, weekday or date, start, end, rest (minutes), valid_from, valid_to, deleted; shifts: shift_id, shift.  Deleted
     rows and rows of a date go; details without a shift have a null name."""
     rows = details.where(F.col("weekday").isNotNull() & F.col("date").isNull() & ~F.coalesce("deleted", F.lit(False)))
-    return rows.join(shifts, "shift_id", "left").select("shift_id", "shift", "weekday", "start", "end", "rest", hours(*map(F.col, ("start", "end", "rest"))).alias("hours"), "valid_from", "valid_to")
+    return rows.join(shifts.hint("merge"), "shift_id", "left").select("shift_id", "shift", "weekday", "start", "end", "rest", hours(*map(F.col, ("start", "end", "rest"))).alias("hours"), "valid_from", "valid_to")
 
 
 def by_date(details: DataFrame, shifts: DataFrame) -> DataFrame:
     """The view of special dates: shift_id, shift, date, start, end, rest, hours; a date with null times is a day off of 0 hours."""
     rows = details.where(F.col("date").isNotNull() & ~F.coalesce("deleted", F.lit(False)))
-    return rows.join(shifts, "shift_id", "left").select("shift_id", "shift", "date", "start", "end", "rest", hours(*map(F.col, ("start", "end", "rest"))).alias("hours"))
+    return rows.join(shifts.hint("merge"), "shift_id", "left").select("shift_id", "shift", "date", "start", "end", "rest", hours(*map(F.col, ("start", "end", "rest"))).alias("hours"))
 
 
 def days(details: DataFrame, shifts: DataFrame, first: str, last: str) -> DataFrame:
@@ -41,7 +43,7 @@ def days(details: DataFrame, shifts: DataFrame, first: str, last: str) -> DataFr
     weekly = held.withColumn("day", F.explode(span)).where(F.dayofweek("day") == F.col("weekday")).withColumn("special", F.lit(False))
     dated = by_date(details, shifts).withColumnRenamed("date", "day").where(F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date"))).withColumn("special", F.lit(True))
     names = ["shift_id", "shift", "day", "start", "end", "hours", "special"]
-    both = weekly.select(names).unionByName(dated.select(names))
+    both = periods.dealt(weekly.select(names).unionByName(dated.select(names)), "shift_id", "day")  # days pack well, and are sorted unpacked
     first_one = Window.partitionBy("shift_id", "day").orderBy(F.desc("special"), F.asc_nulls_last("start"), F.asc_nulls_last("end"))
     return both.withColumn("__n", F.row_number().over(first_one)).where("__n = 1").drop("__n")
 

@@ -326,6 +326,13 @@ def test_contacts_broadcast_no_readings(spark):
     assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["calendar_days"])
+def test_deals_in_full(spark, sf_dir, name):
+    """Tasks do not grow for few bytes, and nothing as long as a table is broadcast."""
+    plan = catalog.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_nearest_points_of_one_place(spark):
     """Copies share their place's look-up, and cells narrow where points stand closely."""
     rows = [(i, float(i % 40 // 5), float(i % 5)) for i in range(2000)]
