@@ -128,6 +128,18 @@ _STITCH = """with s as (select o_custkey, o_orderkey as a, o_orderkey + o_orderk
  g as (select *, sum(fresh) over (partition by o_custkey order by a rows between unbounded preceding and current row) as no from m)
  select o_custkey, min(a) as a, max(b) as b, count(*) as n from g group by o_custkey, no"""
 both("session_stitch", _STITCH)
-both("contact_network", "select a.l_orderkey % 100 as k, p.s_name as one, q.s_name as other, count(*) as n from {lineitem} a join {lineitem} b on a.l_orderkey = b.l_orderkey and a.l_suppkey <> b.l_suppkey join {supplier} p on p.s_suppkey = a.l_suppkey join {supplier} q on q.s_suppkey = b.l_suppkey group by 1, 2, 3")
+
+
+@frame("select a.l_orderkey % 100 as k, p.s_name as one, q.s_name as other, count(*) as n from lineitem a join lineitem b on a.l_orderkey = b.l_orderkey and a.l_suppkey <> b.l_suppkey join supplier p on p.s_suppkey = a.l_suppkey join supplier q on q.s_suppkey = b.l_suppkey group by 1, 2, 3")
+def contact_network(spark, d):
+    """Lines of an order in pairs: many more than lines, so orders and pairs are dealt out in full and no table is broadcast."""
+    names = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("name"))
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey").join(names.hint("merge"), "l_suppkey")
+    lines = periods.dealt(lines, "l_orderkey")
+    a, b = lines.alias("a"), lines.hint("merge").alias("b")
+    met = a.join(b, F.expr("a.l_orderkey = b.l_orderkey and a.l_suppkey <> b.l_suppkey")).selectExpr("a.l_orderkey % 100 as k", "a.name as one", "b.name as other")
+    return periods.dealt(met, "k", "one", "other").groupBy("k", "one", "other").agg(F.count(F.lit(1)).alias("n"))
+
+
 both("fn_to_array", "select c_custkey, case when c_mktsegment is null then null else array(c_mktsegment) end[0] as one from {customer}", "select c_custkey, [c_mktsegment][1] as one from {customer}")
 both("fn_map_keys_match", "select event_id, exists(map_keys(map(event_type, value)), k -> k like 'c%') as hit from {events}", "select event_id, event_type like 'c%' as hit from {events}")
