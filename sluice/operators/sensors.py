@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import periods
+
 DAY = 1440
 
 
@@ -124,14 +126,17 @@ def rule_scope(rules: DataFrame, members: DataFrame) -> DataFrame:
     crews = members.select("crew").distinct()
     spread = rules.where("scope = 'all'").crossJoin(crews).alias("r")
     every = spread.join(m, F.col("r.crew").eqNullSafe(F.col("m.crew"))).select("r.rule_id", "m.worker", *clip)
-    return own.unionByName(crew).unionByName(every).where("a < b").distinct()
+    return periods.dealt(own.unionByName(crew).unionByName(every).where("a < b"), "worker").distinct()
 
 
 def scoped(contacts: DataFrame, scope: DataFrame, level: str) -> DataFrame:
     """rule_id, level, contacts, workers: contacts (worker, at and a level column) that a rule covers, rolled up."""
-    c, s = contacts.alias("c"), scope.alias("s")
+    # counted by worker where the rows were dealt, so that no task gathers the workers of a rule
+    c, s = periods.dealt(contacts, "worker").alias("c"), periods.dealt(scope, "worker").hint("merge").alias("s")
     on = (F.col("c.worker") == F.col("s.worker")) & (F.col("s.a") <= F.col("c.at")) & (F.col("c.at") < F.col("s.b"))
-    return c.join(s, on).groupBy("s.rule_id", F.col(f"c.{level}").alias(level)).agg(F.count(F.lit(1)).alias("contacts"), F.count_distinct("c.worker").alias("workers"))
+    by = ["rule_id", level]
+    each = c.join(s, on).groupBy(F.col("c.worker").alias("worker"), F.col("s.rule_id").alias("rule_id"), F.col(f"c.{level}").alias(level)).agg(F.count(F.lit(1)).alias("contacts"))
+    return each.groupBy(*by).agg(F.sum("contacts").alias("contacts"), F.count(F.lit(1)).alias("workers"))
 
 
 def location_class(readings: DataFrame, areas: DataFrame) -> DataFrame:
@@ -139,8 +144,8 @@ def location_class(readings: DataFrame, areas: DataFrame) -> DataFrame:
 
     areas: worker, cell, a, b.  inside: the cell belongs to an area of the worker at that time; outside: the worker has
     areas then, elsewhere; unassigned: none."""
-    periods = areas.groupBy("worker", "a", "b").agg(F.collect_set("cell").alias("cells"))
-    r, p = readings.alias("r"), periods.alias("p")
+    held = areas.groupBy("worker", "a", "b").agg(F.collect_set("cell").alias("cells"))
+    r, p = readings.alias("r"), held.alias("p")
     on = (F.col("r.worker") == F.col("p.worker")) & (F.col("p.a") <= F.col("r.at")) & (F.col("r.at") < F.col("p.b"))
     met = r.join(p, on, "left").select("r.*", F.when(F.col("p.cells").isNull(), 0).when(F.array_contains("p.cells", F.col("r.cell")), 2).otherwise(1).alias("__k"))
     best = met.groupBy(*readings.columns).agg(F.max("__k").alias("__k"))

@@ -326,7 +326,7 @@ def test_contacts_broadcast_no_readings(spark):
     assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["calendar_days", "contact_network"])
+@pytest.mark.parametrize("name", ["calendar_days", "contact_network", "contacts_rule_scope"])
 def test_deals_in_full(spark, sf_dir, name):
     """Tasks do not grow for few bytes, and nothing as long as a table is broadcast."""
     plan = catalog.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
