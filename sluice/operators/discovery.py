@@ -39,13 +39,13 @@ def column_stats(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*one).alias("s")).select(F.inline("s"))
 
 
-def keys(df: DataFrame, widest: int = 3) -> list[tuple[str, ...]]:
+def keys(df: DataFrame, widest: int = 3, stats: list | None = None) -> list[tuple[str, ...]]:
     """The sets of columns, of the least size up to `widest`, whose values are distinct in every row; none for an empty table.
 
     Columns with nulls name no row, and measures (floating numbers) are not taken for names.  A set cannot be a key if the
     product of its columns' distinct counts stays below the rows; those left are counted approximately, fifty sets a pass, and
-    only those within the error of the row count exactly.  Sets stand in the order of the table's columns."""
-    stats = column_stats(df).collect()  # a row a column
+    only those within the error of the row count exactly.  Sets stand in the order of the table's columns.  stats: rows of column_stats, if there."""
+    stats = column_stats(df).collect() if stats is None else stats  # a row a column
     n = stats[0]["n"] if stats else 0
     if not n:
         return []
@@ -95,7 +95,7 @@ def discover(tables: dict[str, DataFrame], widest: int = 3, names: tuple[str, ..
     for name, df in tables.items():
         stats = column_stats(df)
         rows = stats.collect()
-        key = next(iter(keys(df, widest)), ())
+        key = next(iter(keys(df, widest, rows)), ())
         mark = next(iter(watermarks(df, rows, names)), None) if rows and rows[0]["n"] else None
         c = F.col("column_name")
         one = df.sparkSession.createDataFrame(rows, stats.schema).select(F.lit(name).alias("table_name"), "*", c.isin(*key).alias("in_key") if key else F.lit(False).alias("in_key"), (c == mark).alias("is_watermark") if mark else F.lit(False).alias("is_watermark"))

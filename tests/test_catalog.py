@@ -333,6 +333,13 @@ def test_deals_in_full(spark, sf_dir, name):
     assert "REPARTITION_BY_NUM" in plan and (name == "contacts_rule_scope" or "BroadcastHashJoin" not in plan)
 
 
+def test_discovery_counts_columns_once(spark, monkeypatch):
+    seen, stats = [], discovery.column_stats
+    monkeypatch.setattr(discovery, "column_stats", lambda df: seen.append(1) or stats(df))
+    rows = discovery.discover({"t": spark.createDataFrame([(1, 1), (1, 2)], "a int, b int")}).collect()
+    assert len(seen) == 1 and {r["column_name"]: r["in_key"] for r in rows} == {"a": False, "b": True}
+
+
 def test_nearest_points_of_one_place(spark):
     """Copies share their place's look-up, and cells narrow where points stand closely."""
     rows = [(i, float(i % 40 // 5), float(i % 5)) for i in range(2000)]
