@@ -13,12 +13,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import partitions, stored
-from .near import runs
 
 #: The share of true neighbours that a search must find, and the most queries by which each run measures it.
 RECALL, PROBES = 0.9, 128
@@ -83,6 +83,51 @@ class Curves:
         return out
 
 
+class Nearest:
+    """The m points of greatest inner product, for each of some queries, of all points shown so far."""
+
+    def __init__(self, qid: np.ndarray, queries: np.ndarray, m: int):
+        self.qid, self.queries = qid, queries
+        self.score = np.full((len(queries), m), -np.inf)
+        self.at = np.full((len(queries), m), -1)  # which of the points held; none: -1
+        self.pid, self.first, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), pa.array([], pa.list_(pa.int64()))
+
+    def show(self, pid: np.ndarray, p: np.ndarray, ids: pa.Array) -> None:
+        (n, width), m, held = p.shape, self.score.shape[1], len(self.pid)
+        self.pid = np.append(self.pid, pid)
+        self.first = np.append(self.first, pc.list_element(ids, 0).to_numpy())
+        slack = 1e-12 * np.abs(p).max() * width
+        for lo in range(0, len(self.queries), 256):
+            some, score, at = (x[lo : lo + 256] for x in (self.queries, self.score, self.at))
+            near = some @ p.T
+            least = score[:, -1]
+            if np.isneginf(least).any():
+                few = min(m, n)
+                least = np.maximum(least, np.partition(near, n - few, axis=1)[:, n - few])
+            # all that rounding could put among the m nearest
+            a, b = np.nonzero(near >= (least - slack * np.abs(some).max(1))[:, None])
+            # the score itself, summed in component order for every pair alike
+            exact = np.zeros(len(a))
+            for i in range(width):
+                exact += some[a, i] * p[b, i]
+            old = np.nonzero(at >= 0)
+            a, exact, b = np.append(old[0], a), np.append(score[old], exact), np.append(at[old], b + held)
+            order = np.lexsort((self.first[b], -exact, a))
+            a, exact, b = a[order], exact[order], b[order]
+            nth = np.arange(len(a)) - np.searchsorted(a, a)
+            kept = nth < m
+            score[a[kept], nth[kept]], at[a[kept], nth[kept]] = exact[kept], b[kept]
+        used = np.unique(self.at[self.at >= 0])
+        self.at = np.where(self.at >= 0, np.searchsorted(used, self.at), -1)
+        # a copy of what stays, so that the batch can go
+        self.pid, self.first, self.ids = self.pid[used], self.first[used], pa.concat_arrays([self.ids, ids]).take(pa.array(used))
+
+    def rows(self) -> pa.RecordBatch:
+        a, nth = np.nonzero(self.at >= 0)
+        at = self.at[a, nth]
+        return pa.RecordBatch.from_arrays([pa.array(self.qid[a]), pa.array(self.pid[at]), pa.array(self.score[a, nth]), self.ids.take(pa.array(at))], ["qid", "pid", "score", "ids"])
+
+
 def sound_vectors(table: DataFrame, vec: str = "embedding", vec_id: str = "vec_id") -> DataFrame:
     """vec_id and v (array<double>) of the rows that take part: an id, components all finite, not all zero."""
     v = F.col(vec).alias("v")  # in its own precision until it is multiplied
@@ -122,7 +167,8 @@ def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dim
     grows with the table where groups of vectors overlap in the projections: for groups of 25 in 64 dimensions a query
     met 0.041 of 100,000 and 0.041 of 200,000 points.  For evenly spread vectors of many dimensions no curve is short.
     Where the windows of all curves would meet as many points as there are, a query meets every point once instead and
-    the answer is exact.
+    the answer is exact.  Scores are then queries times points; points pass by bundles of queries, and of a query each
+    task gives one list, so the rows that leave grow with the queries alone.
     report, if given, takes window, recall and share (points met, at most, over all points); they go to the log too.
     sample: the most rows on which directions of spread are fitted, by a hash; every row is indexed."""
     spark = table.sparkSession
@@ -190,43 +236,51 @@ def search(table: DataFrame, k: int = 20, every: int = 20, curves: int = 16, dim
         whole = 3 * curves * block >= total
         at = at.where("curve = 0") if whole else at
     if whole:
-        block, found = max(1024, math.isqrt(total)), 1.0
+        block, found = total, 1.0
     facts = {"window": block, "recall": found, "share": 1.0 if whole else 3 * curves * block / total}
     (report if report is not None else {}).update(facts)
     logging.getLogger(__name__).info("%d points on %d curves: %s", total, 1 if whole else curves, facts)
-    at = at.withColumn("block", F.floor(F.col("place") / block)).drop("place")
-    blocks = F.sequence(F.lit(0).cast("long"), F.lit((total - 1) // block).cast("long")) if whole else F.sequence(F.col("block") - 1, F.col("block") + 1)
-    around = at.where("ids is null").withColumn("block", F.explode(blocks))
-    met = at.where("ids is not null").unionByName(around)
+    asked, shown = at.where("ids is null"), at.where("ids is not null")
+    if whole:
+        # bundles of queries, of some 2^20 components, meet the points slice by slice
+        bundles = max(1, math.ceil(asked.count() / max(256, 2**20 // width)))
+        slices = max(1, min(4 * n, total // 1024))
+        shown = shown.withColumn("part", F.floor(F.col("place") * slices / total)).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bundles - 1).cast("long"))))
+        asked = asked.withColumn("block", F.pmod(F.xxhash64("pid"), F.lit(bundles))).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
+    else:
+        shown, asked = (x.withColumn("block", F.floor(F.col("place") / block)).withColumn("part", F.lit(0).cast("long")) for x in (shown, asked))
+        asked = asked.withColumn("block", F.explode(F.sequence(F.col("block") - 1, F.col("block") + 1)))
+    met = shown.select("curve", "block", "part", "pid", "v", "ids").unionByName(asked.select("curve", "block", "part", "pid", "v", "ids"))
 
     def meet(batches):
-        for g in runs(batches, ["curve", "block"]):
-            v = np.array(g["v"].combine_chunks().flatten(), float).reshape(-1, width)
-            own = np.array([x is not None for x in g["ids"].to_pylist()])
-            ids = [x for x in g["ids"].to_pylist() if x is not None]
-            pid = g["pid"].to_numpy()
-            q, p = v[~own], v[own]
-            if not len(q) or not len(p):
+        # the queries of a block (with each slice anew) come before its points, so points stream past; a query's list
+        # leaves the task once, however many slices the task has
+        key, qid, q, best = None, [], [], None
+        for b in batches:
+            if not b.num_rows:
                 continue
-            m, first = min(k + 1, len(p)), np.array([x[0] for x in ids])
-            slack = 1e-12 * np.abs(p).max() * width
-            for lo in range(0, len(q), 256):
-                some = q[lo : lo + 256]
-                near = some @ p.T
-                # all that rounding could put among the m nearest
-                last = np.partition(near, len(p) - m, axis=1)[:, len(p) - m]
-                a, b = np.nonzero(near >= (last - slack * np.abs(some).max(1))[:, None])
-                # the score itself, summed in component order for every pair alike
-                score = np.zeros(len(a))
-                for i in range(width):
-                    score += some[a, i] * p[b, i]
-                order = np.lexsort((first[b], -score, a))
-                a, b, score = a[order], b[order], score[order]
-                few = np.arange(len(a)) - np.searchsorted(a, a) < m
-                a, b, score = a[few], b[few], score[few]
-                yield pa.RecordBatch.from_arrays([pa.array(pid[~own][lo : lo + 256][a]), pa.array(pid[own][b]), pa.array(score), pa.array([ids[x] for x in b.tolist()], pa.list_(pa.int64()))], ["qid", "pid", "score", "ids"])
-
-    found = met.repartition(n, "curve", "block").sortWithinPartitions("curve", "block").mapInArrow(meet, "qid long, pid long, score double, ids array<long>")
+            columns = [b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(5).is_valid().to_numpy(zero_copy_only=False)]
+            cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, b.num_rows]):
+                some = b.slice(lo, hi - lo)
+                pid, v = some.column(3).to_numpy(), np.array(some.column(4).flatten(), float).reshape(-1, width)
+                if key != (columns[0][lo], columns[1][lo]):
+                    if best:
+                        yield best.rows()
+                    key, qid, q, best = (columns[0][lo], columns[1][lo]), [], [], None
+                if not columns[2][lo]:
+                    new = np.append(not qid or pid[0] != qid[-1][-1], pid[1:] != pid[:-1])
+                    if new.any():
+                        qid.append(pid[new])
+                        q.append(v[new])
+                elif qid:
+                    best = best or Nearest(np.concatenate(qid), np.concatenate(q), k + 1)
+                    best.show(pid, v, some.column(5))
+        if best:
+            yield best.rows()
+
+    dealt = met.repartition(n, "curve", "block", "part").sortWithinPartitions("curve", "block", F.col("ids").isNotNull(), "pid")
+    found = dealt.mapInArrow(meet, "qid long, pid long, score double, ids array<long>")
     pairs = found.groupBy("qid", "pid").agg(F.max("score").alias("score"), F.first("ids").alias("ids"))
     nearest = Window.partitionBy("qid").orderBy(F.desc("score"), F.element_at("ids", 1))
     # k + 1 points hold the k nearest ids, for a point may be the query alone

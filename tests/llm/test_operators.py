@@ -6,6 +6,7 @@ from hashlib import sha256
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -428,6 +429,47 @@ def test_neighbours_meet_a_small_share(spark):
     assert facts["share"] < 0.1
 
 
+def rows_out(spark, node):
+    """The rows that each plan node of this name has given so far in the session, by execution and node."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    store, out = spark._jsparkSession.sharedState().statusStore(), {}
+    runs = store.executionsList()
+    for run in (runs.apply(i).executionId() for i in range(runs.size())):
+        nodes, values = store.planGraph(run).allNodes(), store.executionMetrics(run)
+        for n in (nodes.apply(i) for i in range(nodes.size())):
+            for m in (n.metrics().apply(i) for i in range(n.metrics().size())):
+                if n.name() == node and m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                    out[run, n.id()] = int(values.apply(m.accumulatorId()).replace(",", ""))
+    return out
+
+
+def test_neighbours_leave_a_task_in_one_list(spark):
+    """Where a query meets every point, a task gives its k + 1 nearest once, not once for every thousand points."""
+    earlier = rows_out(spark, "MapInArrow")
+    v, facts = directions(12000, 3), {}
+    assert recall(spark, v, report=facts) == 1 and facts["share"] == 1
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    last = max(found := {k: n for k, n in rows_out(spark, "MapInArrow").items() if k not in earlier})[0]
+    assert 600 * 21 <= max(n for (run, _), n in found.items() if run == last) <= 600 * 21 * tasks
+
+
+def test_neighbours_shown_in_parts():
+    """Points shown a few at a time leave the lists that all at once leave, ties by least id among them."""
+    rng = np.random.default_rng(8)
+    p, q = rng.integers(-2, 3, (700, 4)).astype(float), rng.integers(-2, 3, (300, 4)).astype(float)
+    pid, first = np.arange(700) + 5000, rng.permutation(700)
+    ids = pa.array([[int(x), int(x) + 1000] for x in first])
+    best = neighbours.Nearest(np.arange(300), q, 21)
+    for lo, hi in ((0, 3), (3, 40), (40, 41), (41, 600), (600, 700)):
+        best.show(pid[lo:hi], p[lo:hi], ids[lo:hi])
+    got = defaultdict(list)
+    for r in best.rows().to_pylist():
+        got[r["qid"]].append((r["pid"], r["score"], r["ids"]))
+    for i, x in enumerate(q):
+        want = sorted(range(700), key=lambda j: (-(p[j] @ x), first[j]))[:21]
+        assert got[i] == [(pid[j], p[j] @ x, [first[j], first[j] + 1000]) for j in want]
+
+
 def test_neighbours_ties_by_id(spark):
     """Distinct vectors of equal products: those of smaller ids come first, at the cut too."""
     v = np.zeros((400, 16), np.float32)
